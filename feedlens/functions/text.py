@@ -45,6 +45,11 @@ def words(text: Column) -> Column:
     return F.array_remove(split, "")
 
 
+def listed_words(text: Column, wanted: list[str]) -> Column:
+    """Those of ``words(text)`` that are in the list (a hash set once it is long)."""
+    return F.filter(words(text), lambda w: w.isin(wanted))
+
+
 def is_numeric(word: Column) -> Column:
     return word.rlike(r"^\p{N}+$")
 
@@ -75,11 +80,11 @@ def whole_word_pattern(alternatives: list[str]) -> str:
 
 def clean_text(text: Column) -> Column:
     """One line, URLs replaced, pictographs removed, case kept."""
-    out = F.regexp_replace(text, r"[\r\n]+", " ")
-    out = F.regexp_replace(out, URL, "<URL>")
+    has_url = F.contains(text, F.lit("://")) | F.contains(text, F.lit("www."))
+    out = F.when(has_url, F.regexp_replace(text, URL, "<URL>")).otherwise(text)
     out = F.regexp_replace(out, EMOJI, "")
-    out = F.regexp_replace(out, rf"[{WHITESPACE}]+", " ")
-    return strip(out)
+    # a line break is white space like any other: each run becomes one blank
+    return F.trim(F.regexp_replace(out, rf"[{WHITESPACE}]+", " "))
 
 
 def dataset_name(country: Column, start: Column, end: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, SparkSession
 
+from feedlens.session import lookup_table
+
 # Default keywords of the organisation-mention flag.
 DEFAULT_KEYWORDS = [
     "червоний хрест", "червоного хреста", "червоному хресту", "червоним хрестом",
@@ -32,4 +34,4 @@ def stopword_table(spark: SparkSession, langs: list[str]) -> DataFrame:
         for lang in langs
         for word in StopWordsRemover.loadDefaultStopWords(STOPWORD_LANGUAGES[lang])
     ]
-    return spark.createDataFrame(rows, "lang string, word string")
+    return lookup_table(spark, rows, "lang string, word string")

@@ -19,9 +19,9 @@ MAX_INLINE_ANCHORS = 10_000
 
 
 def _grams(text: Column, lengths: list[int]) -> Column:
-    """All distinct substrings of the given lengths, each found in one linear pass."""
+    """All substrings of the given lengths, each length found in one linear pass."""
     found = [F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in lengths]
-    return F.array_distinct(F.concat(*found) if len(found) > 1 else found[0])
+    return F.concat(*found) if len(found) > 1 else found[0]
 
 
 def contains_join(
@@ -53,8 +53,7 @@ def contains_join(
             return texts.join(anchored.drop("_anchor"), F.lit(False))
         lengths = sorted({len(a) for a in anchors})
         hits = F.array_intersect(_grams(F.col(text), lengths), F.lit(anchors))
-        probed = texts.withColumn("_hits", hits).where(F.size("_hits") > 0)
-        candidates = probed.withColumn("_anchor", F.explode("_hits")).drop("_hits")
+        candidates = texts.withColumn("_anchor", F.explode(hits))
         return candidates.join(anchored, "_anchor").where(holds).drop("_anchor")
 
     lengths = sorted(
@@ -62,6 +61,6 @@ def contains_join(
     )
     if not lengths:
         return texts.join(anchored.drop("_anchor"), F.lit(False))
-    grams = texts.select(*key, F.explode(_grams(F.col(text), lengths)).alias("_anchor"))
+    grams = texts.select(*key, F.explode(F.array_distinct(_grams(F.col(text), lengths))).alias("_anchor"))
     pairs = grams.join(anchored, "_anchor").drop("_anchor")
     return null_safe_join(texts, pairs, key).where(holds)

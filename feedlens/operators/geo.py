@@ -75,7 +75,8 @@ def match_place_names(
     """
     key = list(key or MESSAGE_KEY)
     names = place_names(gazetteer, fields)
-    texts = messages.select(*key, fold(F.col("text")).alias("_text"))
+    # names have no white space at their ends, so the text need not be stripped
+    texts = messages.select(*key, F.lower("text").alias("_text"))
     few = None if force_shuffle else _inline_names(names)
     if few is not None:
         hits = F.filter(few, lambda n: F.contains(F.col("_text"), n["name"]))
@@ -178,11 +179,12 @@ def geolocate(
 
     if names is not None and rings is not None:
         by_name = F.filter(
-            names, lambda n: F.coalesce(F.contains(fold(F.col("text")), n["name"]), F.lit(False))
+            names, lambda n: F.coalesce(F.contains(F.col("_lower"), n["name"]), F.lit(False))
         )
         by_point = _region_hits(rings, F.col("info.coordinates.lon"), F.col("info.coordinates.lat"))
         found = F.when(has_point, as_locations(by_point)).otherwise(as_locations(by_name))
-        return messages.withColumn("info", add_locations(F.col("info"), found))
+        lowered = messages.withColumn("_lower", F.lower("text"))
+        return lowered.withColumn("info", add_locations(F.col("info"), found)).drop("_lower")
 
     hits = match_place_names(messages.where(~has_point), gazetteer, fields, key)
     if regions is not None:

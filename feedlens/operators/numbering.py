@@ -8,6 +8,8 @@ from pyspark.sql import Window
 
 from feedlens.session import cut_lineage
 
+MAX_BROADCAST_ROWS = 200_000
+
 
 def number_rows(df: DataFrame, group: list[str], order: list[Column], column: str = "number") -> DataFrame:
     """Add 1, 2, 3… within ``group`` by ``order``, which must break every tie.
@@ -31,7 +33,7 @@ def number_rows(df: DataFrame, group: list[str], order: list[Column], column: st
     )
     before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = stretches.withColumn("_skip", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    renamed = offsets.select(
+    renamed = cut_lineage(offsets).select(
         *[F.col(f"`{c}`").alias(f"_g{i}") for i, c in enumerate(group)],
         F.col("_part").alias("_p"),
         "_from",
@@ -40,6 +42,8 @@ def number_rows(df: DataFrame, group: list[str], order: list[Column], column: st
     on = F.col("_part") == F.col("_p")
     for i, c in enumerate(group):
         on = on & F.col(f"`{c}`").eqNullSafe(F.col(f"_g{i}"))
-    numbered = fixed.join(renamed, on)
+    # one row per partition and one per group border: counted, then sent to the rows
+    small = renamed.count() <= MAX_BROADCAST_ROWS
+    numbered = fixed.join(F.broadcast(renamed) if small else renamed, on)
     number = F.col("_at") - F.col("_from") + F.col("_skip") + 1
     return numbered.select(*[F.col(f"`{c}`") for c in df.columns], number.alias(column))

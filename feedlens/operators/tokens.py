@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.functions.text import words
+from feedlens.functions.text import WORD, listed_words, words
 from feedlens.operators.joins import null_safe_left_join
 from feedlens.operators.sizing import MAX_INLINE_ROWS, rows_if_small
 
@@ -26,41 +26,45 @@ def class_votes(
     """Add ``column``: for each label of ``table(label, word)`` found, its number of hits.
 
     ``distinct`` counts each word once. A short table is folded into an
-    expression: nothing is shuffled. A long one is joined to the words; each
-    task has reduced a message's words to one row per word before that, and to
-    one row per label before the exchange.
+    expression: nothing is shuffled. A long one is joined to the words, and each
+    task reduces a message's hits to one count per label before the exchange.
     """
-    pairs = table.select(F.col(label).alias("label"), "word").distinct()
+    # a word with a blank or a punctuation mark in it is never met in a text
+    proper = (F.col("word") != "") & ~F.col("word").rlike(f"[^{WORD}]")
+    pairs = table.where(proper).select(F.col(label).alias("label"), "word").distinct()
     rows = rows_if_small(pairs, max_inline)
     if rows is not None:
+        every = sorted({row["word"] for row in rows})
         listed: dict[str, list[str]] = {}
         for row in rows:
             listed.setdefault(row["label"], []).append(row["word"])
         counted = []
         for name in sorted(listed):
-            wanted = F.lit(sorted(listed[name]))
+            wanted = sorted(listed[name])
             if distinct:
-                n = F.size(F.array_intersect(F.col("_words"), wanted))
+                n = F.size(F.array_intersect(F.col("_words"), F.lit(wanted)))
             else:
-                n = F.size(F.filter("_words", lambda w: F.array_contains(wanted, w)))
+                n = F.size(F.filter("_words", lambda w: w.isin(wanted)))
             counted.append(F.struct(F.lit(name).alias("label"), n.cast("bigint").alias("n")))
-        votes = F.array(*counted).cast(VOTES) if counted else F.array().cast(VOTES)
+        if not counted:
+            return messages.withColumn(column, F.array().cast(VOTES))
+        found = listed_words(text, every)
         return (
-            messages.withColumn("_words", F.coalesce(words(text), F.array().cast("array<string>")))
-            .withColumn(column, F.filter(votes, lambda v: v["n"] > 0))
+            messages.withColumn("_words", F.coalesce(found, F.array().cast("array<string>")))
+            .withColumn(column, F.filter(F.array(*counted).cast(VOTES), lambda v: v["n"] > 0))
             .drop("_words")
         )
 
     key = list(key or MESSAGE_KEY)
-    per_word = (
+    hits = (
         messages.select(*key, F.explode(words(text)).alias("word"))
-        .groupBy(*key, "word")
-        .agg(F.count("*").alias("n"))
         .join(pairs, "word")
+        .select(*key, "label", "word")
     )
     votes = (
-        per_word.groupBy(*key, "label")
-        .agg((F.count("*") if distinct else F.sum("n")).alias("n"))
+        (hits.distinct() if distinct else hits)
+        .groupBy(*key, "label")
+        .agg(F.count("*").alias("n"))
         .groupBy(*key)
         .agg(F.collect_list(F.struct("label", "n")).cast(VOTES).alias(column))
     )

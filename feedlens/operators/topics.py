@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedlens.session import lookup_table
+
 
 def topic_vocabulary(messages: DataFrame, fallback: list[str] | None = None) -> DataFrame:
     """``(topic, messages)`` over all classifications.
@@ -18,7 +20,7 @@ def topic_vocabulary(messages: DataFrame, fallback: list[str] | None = None) ->
     )
     spark = messages.sparkSession
     if fallback:
-        spare = spark.createDataFrame([(label,) for label in fallback], "topic string")
+        spare = lookup_table(spark, [(label,) for label in fallback], "topic string")
         spare = spare.select("topic", F.lit(0).cast("bigint").alias("messages"))
         return used.unionByName(spare.where(~used.exists()))
     reason = "no classifications found in messages, a label list must be specified"

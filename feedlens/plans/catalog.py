@@ -18,7 +18,7 @@ from feedlens.operators import classify, compare, dedupe, filters, geo, keywords
 from feedlens.operators import review, threads, topics, translate, wordfreq
 from feedlens.plans import testtables as tt
 from feedlens.plans.pipeline import dataset_column, enrich
-from feedlens.session import scratch_dir
+from feedlens.session import lookup_table, scratch_dir
 from feedlens.sources import files, raw
 from feedlens.sources.store import MessageStore
 from feedlens.streaming import streams
@@ -37,6 +37,17 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def _spread(df: DataFrame, keep: list, array: str, name: str) -> DataFrame:
+    """One row per array element with its index.
+
+    The outer form is used and its null rows dropped: for the inner one Catalyst
+    adds a filter on the array's size, pushes it down to the scan and so computes
+    the array twice.
+    """
+    spread = df.select(*keep, F.posexplode_outer(array).alias("ix", name))
+    return spread.where("ix is not null").withColumn("ix", F.col("ix").cast("bigint"))
+
+
 def _channel() -> Column:
     return F.col("group").alias("channel")
 
@@ -296,7 +307,7 @@ def keyword_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def keyword_flag_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same flag from a keyword table too long for one pattern: here every benchmark text too."""
-    listed = spark.createDataFrame([(k,) for k in tt.KEYWORDS], "keyword string")
+    listed = lookup_table(spark, [(k,) for k in tt.KEYWORDS], "keyword string")
     table = listed.unionByName(tt.table(spark, sf_dir, "benchmark").select(F.col("text").alias("keyword")))
     flagged = keywords.keyword_flag(tt.documents(spark, sf_dir), table, max_inline=0)
     return flagged.select("id_", "keyword_flag")
@@ -341,8 +352,8 @@ def _translate(messages: DataFrame, max_inline: int = translate.MAX_INLINE_LEXIC
 
 
 def _exploded_translations(messages: DataFrame) -> DataFrame:
-    spread = messages.select("id_", F.posexplode("translations").alias("ix", "t"))
-    return spread.select("id_", F.col("ix").cast("bigint").alias("ix"), "t.from_lang", "t.to_lang", "t.text")
+    spread = _spread(messages, ["id_"], "translations", "t")
+    return spread.select("id_", "ix", "t.from_lang", "t.to_lang", "t.text")
 
 
 @query
@@ -389,10 +400,8 @@ def text_for_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _exploded_classifications(messages: DataFrame) -> DataFrame:
-    spread = messages.select("id_", F.posexplode("classifications").alias("ix", "c"))
-    return spread.select(
-        "id_", F.col("ix").cast("bigint").alias("ix"), "c.topic", F.round("c.score", 6).alias("score"), "c.agent"
-    )
+    spread = _spread(messages, ["id_"], "classifications", "c")
+    return spread.select("id_", "ix", "c.topic", F.round("c.score", 6).alias("score"), "c.agent")
 
 
 def _classify(messages: DataFrame) -> DataFrame:
@@ -412,7 +421,7 @@ def classify_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def classify_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = classify.centroid_scores(tt.table(spark, sf_dir, "embeddings"), list(range(10)))
-    spread = scored.select("vec_id", F.explode("scores").alias("s"))
+    spread = _spread(scored, ["vec_id"], "scores", "s")
     return spread.select("vec_id", F.col("s.label").alias("label"), F.round("s.score", 6).alias("score"))
 
 
@@ -487,9 +496,9 @@ def region_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _exploded_locations(messages: DataFrame) -> DataFrame:
-    spread = messages.select("source", "id_", F.posexplode("info.locations").alias("ix", "l"))
+    spread = _spread(messages, ["source", "id_"], "info.locations", "l")
     return spread.select(
-        "source", "id_", F.col("ix").cast("bigint").alias("ix"), "l.name",
+        "source", "id_", "ix", "l.name",
         F.round("l.longitude", 6).alias("lon"), F.round("l.latitude", 6).alias("lat"),
     )
 

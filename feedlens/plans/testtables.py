@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from feedlens.functions.nested import translation
 from feedlens.schema import info_struct, to_messages
+from feedlens.session import lookup_table, spread
 
 EPOCH = "2024-01-01 00:00:00"
 SCRAPED_AT = "2024-02-01 12:00:00"
@@ -54,6 +55,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows cost much work each: dealt out when the scan is too narrow."""
+    return spread(table(spark, sf_dir, name))
+
+
 def _after_epoch(hours: Column, minutes: Column | None = None) -> Column:
     mins = F.lit(0) if minutes is None else minutes.cast("int")
     shift = F.make_dt_interval(F.lit(0), hours.cast("int"), mins)
@@ -73,10 +79,10 @@ def _country_of(lang: Column) -> Column:
 
 def documents(spark: SparkSession, sf_dir: str, with_members: bool = False, keep_lang: bool = False) -> DataFrame:
     """``documents`` as messages; the member count is the number of texts of the source."""
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir, "documents")
     members = F.lit(None)
     if with_members:
-        sizes = docs.groupBy("source").agg(F.count("*").alias("members"))
+        sizes = table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("members"))
         docs = docs.join(sizes, "source")
         members = F.col("members")
     rows = docs.select(
@@ -149,7 +155,7 @@ def _lat() -> Column:
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pages`` as messages: title and address; no country where the language is unknown."""
-    pg = table(spark, sf_dir, "pages")
+    pg = texts(spark, sf_dir, "pages")
     title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
     lang = F.regexp_extract("url", r"^https?://[^/]+/(en|de|fr)/", 1)
     return to_messages(
@@ -215,7 +221,7 @@ def raw_event_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_document_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("id"),
         F.col("source").alias("user"),
         F.col("text"),
@@ -244,7 +250,7 @@ def translated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
+    return lookup_table(spark, rows, schema)
 
 
 def stopwords(spark: SparkSession) -> DataFrame:

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -50,6 +53,30 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def lookup_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table given in the program, as a local relation.
+
+    Its size is known to the optimiser, which then broadcasts it by its own
+    threshold; a table made from an RDD has no known size and is shuffled.
+    """
+    kind = StructType.fromDDL(schema)
+    columns = [pa.array([row[i] for row in rows], to_arrow_type(f.dataType)) for i, f in enumerate(kind)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, names=kind.fieldNames()), kind)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows of a scan that cannot use the cluster.
+
+    One row group, one zipped file or one multi-line file is read by one task,
+    and per-text work would stay there. A scan with at least two partitions per
+    core, which any large table has, is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= 2 * cores:
+        return df
+    return df.repartition(cores)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows survive the loss of any executor."""
     spark = df.sparkSession

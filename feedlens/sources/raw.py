@@ -150,11 +150,11 @@ def user_timeline(posts: DataFrame, users: list[str] | DataFrame) -> DataFrame:
 
 def search_posts(posts: DataFrame, queries: DataFrame, force_shuffle: bool = False) -> DataFrame:
     """Posts whose text contains one of the query strings, case-insensitively, once per post."""
-    # the lower-cased text travels alone; a post with several hits is told by its id
-    texts = posts.select("id", F.lower("text").alias("_text"))
+    # posts with a hit carry their columns along, so no other post is shuffled
+    texts = posts.withColumn("_text", F.lower("text"))
     phrases = queries.select(fold(F.col("query")).alias("_query")).distinct()
-    found = contains_join(texts, "_text", phrases, "_query", ["id"], force_shuffle).select("id").distinct()
-    return posts.join(found, "id", "left_semi")
+    found = contains_join(texts, "_text", phrases, "_query", ["id"], force_shuffle)
+    return found.select(*[F.col(f"`{c}`") for c in posts.columns]).dropDuplicates(["id"])
 
 
 def scan_posts(
