@@ -427,7 +427,7 @@ def classify_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def classify_trained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = tt.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = tt.texts(spark, sf_dir, "documents").select("doc_id", "text")
     labelled = tt.table(spark, sf_dir, "labels").join(docs, "doc_id").select("text", F.col("quality").alias("label"))
     model = classify.fit_topics(labelled)
     return _exploded_classifications(classify.classify_trained(tt.documents(spark, sf_dir), model, ["bad", "good"]))

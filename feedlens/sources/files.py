@@ -10,6 +10,9 @@ from feedlens.schema import MESSAGE_COLUMNS, to_messages
 
 CSV_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in MESSAGE_COLUMNS])
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
+# An unquoted empty cell is null, a quoted one an empty text: they only stay
+# apart when the mark for null is not itself the empty string.
+READ_OPTIONS = {**CSV_OPTIONS, "multiLine": True, "nullValue": "\0", "emptyValue": ""}
 
 
 def messages_path(path: str) -> str:
@@ -36,7 +39,7 @@ def read_csv(spark: SparkSession, path: str, legacy: bool = False) -> DataFrame:
     from the number of files. ``legacy`` files have their own column order and
     hold nested parts as Python literals.
     """
-    reader = spark.read.options(**CSV_OPTIONS, multiLine=True)
+    reader = spark.read.options(**READ_OPTIONS)
     if legacy:
         flat = reader.option("inferSchema", False).csv(messages_path(path))
         return to_messages(decode_legacy_nested(flat))
