@@ -10,7 +10,9 @@ def message_diff(left: DataFrame, right: DataFrame, key: list[str], fields: list
     """``(field, differing)``: null-safe differences of matched rows, plus rows on one side only.
 
     Both sides are expected to be unique by ``key``. Values are compared by hash,
-    so the join moves keys and eight bytes per field. One pass counts all fields.
+    so the join moves keys and eight bytes per field, and two different values pass
+    for equal with odds of 2^-64. One pass counts
+    all fields.
     """
 
     def hashed(df: DataFrame, prefix: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.operators.joins import null_safe_join
-from feedlens.operators.sizing import rows_if_small
+from feedlens.operators.sizing import constant, rows_if_small
 
 ANCHOR_LENGTH = 8
 # Anchors kept in one array inside the plan: a few hundred kB at most.
@@ -52,7 +52,7 @@ def contains_join(
         if not anchors:
             return texts.join(anchored.drop("_anchor"), F.lit(False))
         lengths = sorted({len(a) for a in anchors})
-        hits = F.array_intersect(_grams(F.col(text), lengths), F.lit(anchors))
+        hits = F.array_intersect(_grams(F.col(text), lengths), constant(anchors, "array<string>"))
         candidates = texts.withColumn("_anchor", F.explode(hits))
         return candidates.join(anchored, "_anchor").where(holds).drop("_anchor")
 

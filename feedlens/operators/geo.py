@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +10,7 @@ from feedlens.functions.nested import add_locations
 from feedlens.functions.text import fold
 from feedlens.operators.contains import contains_join
 from feedlens.operators.joins import null_safe_left_join
-from feedlens.operators.sizing import rows_if_small
+from feedlens.operators.sizing import constant, rows_if_small
 from feedlens.operators.tokens import MESSAGE_KEY
 
 MAX_INLINE_NAMES = 200
@@ -48,17 +46,12 @@ def place_names(gazetteer: DataFrame, fields: list[str]) -> DataFrame:
     )
 
 
-def _literal(rows: list[dict], kind: str) -> Column:
-    """A constant of a nested type; Catalyst folds it at planning time."""
-    return F.from_json(F.lit(json.dumps(rows)), kind)
-
-
 def _inline_names(names: DataFrame) -> Column | None:
     rows = rows_if_small(names, MAX_INLINE_NAMES)
     if rows is None:
         return None
     ordered = sorted((r.asDict() for r in rows), key=lambda r: (r["field_ix"], r["loc_id"], r["name"]))
-    return _literal(ordered, HITS)
+    return constant(ordered, HITS)
 
 
 def match_place_names(
@@ -98,7 +91,7 @@ def _ring_rows(regions: DataFrame) -> list[dict] | None:
 def _region_hits(rings: list[dict], lon: Column, lat: Column) -> Column:
     """Locations at the point itself, one per region around it."""
     inside = F.filter(
-        _literal(rings, RINGS),
+        constant(rings, RINGS),
         lambda r: in_box(lon, lat, r["box"]) & in_ring(lon, lat, r["ring"]),
     )
     return F.transform(

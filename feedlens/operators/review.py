@@ -73,8 +73,14 @@ def submitted_only(with_answers: DataFrame) -> DataFrame:
 
 
 def first_records(records: DataFrame, limit: int = MAX_REVIEW_RECORDS) -> DataFrame:
-    """The first records of a pull, by data set and number."""
-    return records.orderBy("workspace", "dataset", "metadata.number", "external_id").limit(limit)
+    """The first ``limit`` records of each data set, by number.
+
+    The rows are ranked where they lie; a top-n operator would gather all of
+    them, up to a million texts, in one task.
+    """
+    order = [F.col("metadata.number").asc(), F.col("external_id").asc()]
+    ranked = number_rows(records, ["workspace", "dataset"], order, "_nth")
+    return ranked.where(F.col("_nth") <= limit).drop("_nth")
 
 
 def review_import(

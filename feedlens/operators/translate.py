@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +12,7 @@ from feedlens.functions.nested import add_translation, translation
 from feedlens.operators.engines import BatchTextFn, run_on_distinct_texts
 from feedlens.operators.joins import null_safe_left_join
 from feedlens.operators.language import detect_language
-from feedlens.operators.sizing import rows_if_small
+from feedlens.operators.sizing import constant, rows_if_small
 from feedlens.operators.tokens import MESSAGE_KEY
 
 MAX_INLINE_LEXICON = 200
@@ -46,7 +45,7 @@ def _look_up_words(
             by_lang.setdefault(row["_lang"], {})[row["_word"]] = row["_new"]
         out: Column = F.col("text")
         for code, entries in sorted(by_lang.items()):
-            words = F.from_json(F.lit(json.dumps(entries)), "map<string,string>")
+            words = constant(entries, "map<string,string>")
             replaced = F.array_join(
                 F.transform(tokens, lambda w: F.coalesce(F.try_element_at(words, F.lower(w)), w)), " "
             )

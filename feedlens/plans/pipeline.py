@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from feedlens.functions.text import dataset_name
 from feedlens.operators.filters import min_length, non_empty
 from feedlens.operators.review import review_export
+from feedlens.session import cut_lineage
 from feedlens.sources.raw import read_messages
 from feedlens.sources.reviewset import write_review_set
 from feedlens.sources.store import MessageStore
@@ -63,6 +64,7 @@ class Pipeline:
         if transform:
             self.messages = enrich(self.messages, **self.stages)
         if save_output:
+            self.messages = cut_lineage(self.messages)
             self.store.upsert(self.messages)
         return self.messages
 
@@ -92,7 +94,8 @@ def run_listening(
         "SELECT CAST(date_sub(DATE(:d), :n) AS STRING), CAST(DATE(:d) AS STRING)", {"d": as_of, "n": days}
     ).first()
     messages = read_messages(spark, source, path, first, country, scraped_at, **source_options)
-    ready = enrich(min_length(non_empty(messages), minimum), **(stages or {}))
+    # the upsert looks at its batch twice; engines must not run twice for that
+    ready = cut_lineage(enrich(min_length(non_empty(messages), minimum), **(stages or {})))
     store.upsert(ready)
 
     name = f"{country}-{first}-{last}"

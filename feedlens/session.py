@@ -22,6 +22,9 @@ SESSION_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# application id -> folder of a local session that names none
+_local_dirs: dict[str, str] = {}
+
 
 def build_session(app: str = "feedlens", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs rely on; ``conf`` overrides them."""
@@ -41,10 +44,12 @@ def shared_dir(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        named = tempfile.mkdtemp(prefix="feedlens-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", named)
+        if context.applicationId not in _local_dirs:
+            _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="feedlens-", dir="/tmp")
+        named = _local_dirs[context.applicationId]
     return named.rstrip("/")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from feedlens.functions.codec import decode_legacy_nested, decode_nested, encode_rows
 from feedlens.schema import MESSAGE_COLUMNS, to_messages
+from feedlens.session import spread
 
 CSV_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in MESSAGE_COLUMNS])
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
@@ -36,15 +37,15 @@ def read_csv(spark: SparkSession, path: str, legacy: bool = False) -> DataFrame:
     """Messages from a CSV file or folder.
 
     Texts hold line breaks, so a file is read as a whole and parallelism comes
-    from the number of files. ``legacy`` files have their own column order and
+    from the number of files; the rows of a few files are dealt out afterwards. ``legacy`` files have their own column order and
     hold nested parts as Python literals.
     """
     reader = spark.read.options(**READ_OPTIONS)
     if legacy:
         flat = reader.option("inferSchema", False).csv(messages_path(path))
-        return to_messages(decode_legacy_nested(flat))
+        return to_messages(decode_legacy_nested(spread(flat)))
     flat = reader.schema(CSV_SCHEMA).csv(messages_path(path))
-    return to_messages(decode_nested(flat))
+    return to_messages(decode_nested(spread(flat)))
 
 
 def save_snapshot(messages: DataFrame, folder: str, source: str, start: str, end: str) -> str:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +31,21 @@ def stream_files(
     return reader.load(path)
 
 
+def _thin_copies(messages: DataFrame, key: list[str]) -> DataFrame:
+    """Drop copies inside each Arrow batch, before any exchange.
+
+    A stream has no partial aggregation, so without this every row of a hot id
+    would travel to the one task that keeps its state.
+    """
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.select(key).to_pandas()
+            yield batch.filter(pa.array(~keys.duplicated().to_numpy()))
+
+    return messages.mapInArrow(thin, messages.schema)
+
+
 def dedupe_stream(messages: DataFrame, window: str = "14 days", key: list[str] | None = None) -> DataFrame:
     """One row per id within the window, the first one seen.
 
@@ -35,6 +53,7 @@ def dedupe_stream(messages: DataFrame, window: str = "14 days", key: list[str] |
     zone-free time is read as UTC (``session.SESSION_CONF``).
     """
     key = list(key or ["id_"])
+    messages = _thin_copies(messages, key)
     timed = messages.withColumn("_event_time", F.col("datetime_").cast("timestamp"))
     return timed.withWatermark("_event_time", window).dropDuplicatesWithinWatermark(key).drop("_event_time")
 
@@ -54,7 +73,12 @@ def upsert_stream(messages: DataFrame, store: MessageStore, checkpoint: str) ->
     """Upsert each micro-batch. A batch that is replayed leaves the store as it was."""
 
     def merge(batch: DataFrame, _: int) -> None:
-        store.upsert(batch.select(*[F.col(f"`{c}`") for c in MESSAGE_COLUMNS]))
+        # the upsert looks at its batch twice; a lost block is read again from its files
+        rows = batch.select(*[F.col(f"`{c}`") for c in MESSAGE_COLUMNS]).persist()
+        try:
+            store.upsert(rows)
+        finally:
+            rows.unpersist()
 
     return (
         messages.writeStream.foreachBatch(merge)
