@@ -7,10 +7,13 @@ partial aggregates. No key's rows ever meet in one task unreduced.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from feedlens.operators.sizing import rows_if_small
 from feedlens.schema import id_number
 
 STORED_KEY = ["country", "source", "id_", "datetime_", "text"]
@@ -92,16 +95,20 @@ def new_rows_strict(incoming: DataFrame, stored: DataFrame, key: list[str] | Non
     key = list(key or STORED_KEY)
     pair = ["country", "source"]
     bounds = batch_bounds(incoming)
-    window = (
-        stored.join(bounds, pair)
-        .where(F.col("datetime_").between(F.col("min_datetime"), F.col("max_datetime")))
-        .select(*stored.columns)
-    )
+    within = F.col("datetime_").between(F.col("min_datetime"), F.col("max_datetime"))
+    window = stored.select(*pair, "datetime_").join(bounds, pair).where(within)
     active = window.select(*pair).distinct()
-    unchecked = incoming.join(active, pair, "left_anti").select(*incoming.columns)
-    checked = incoming.join(active, pair, "left_semi").select(*incoming.columns)
-
-    single = _grouped_with_stored(checked, window, key).where("_n = 1 and _stored = 0")
+    rows = rows_if_small(active)
+    if rows is not None:
+        is_active = reduce(Column.__or__, [(F.col("country") == r[0]) & (F.col("source") == r[1]) for r in rows], F.lit(False))
+        is_active = F.coalesce(is_active, F.lit(False))
+        unchecked, checked = incoming.where(~is_active), incoming.where(is_active)
+    else:
+        unchecked = incoming.join(active, pair, "left_anti").select(*incoming.columns)
+        checked = incoming.join(active, pair, "left_semi").select(*incoming.columns)
+
+    # the key holds the time: stored rows outside the window meet nothing
+    single = _grouped_with_stored(checked, stored, key).where("_n = 1 and _stored = 0")
     return unchecked.unionByName(_unpack(single, incoming))
 
 

@@ -72,7 +72,7 @@ def scan_channel_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_posts_with_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tt.raw_channels(spark, sf_dir)
     found = raw.scan_channels(
-        rows, rows.select("channel"), "2024-01-02", "NLD", tt.SCRAPED_AT, with_replies=True
+        rows, tt.conversation_channels(spark, sf_dir), "2024-01-02", "NLD", tt.SCRAPED_AT, with_replies=True
     )
     return found.select("id_", "datetime_", _channel(), "text", "reply", "reply_to")
 
@@ -251,7 +251,7 @@ QUERIES["message_json"] = QUERIES.pop("message_json_rows")
 @query
 def message_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents against a reload that lost the short ones and was cleaned."""
-    left = tt.documents(spark, sf_dir)
+    left = tt.documents(spark, sf_dir, heavy=True)
     reloaded = filters.min_length(left, 200).withColumn("text", clean_text(F.col("text")))
     right = reloaded.unionByName(tt.conversations(spark, sf_dir))
     fields = ["datetime_", "country", "group", "text", "reply_to"]
@@ -272,12 +272,12 @@ def thread_reply_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def word_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wordfreq.word_frequency(tt.documents(spark, sf_dir), tt.stopwords(spark), tt.lemmas(spark))
+    return wordfreq.word_frequency(tt.documents(spark, sf_dir, heavy=True), tt.stopwords(spark), tt.lemmas(spark))
 
 
 @query
 def word_frequency_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wordfreq.word_frequency(tt.documents(spark, sf_dir), tt.stopwords(spark), by=["country"])
+    return wordfreq.word_frequency(tt.documents(spark, sf_dir, heavy=True), tt.stopwords(spark), by=["country"])
 
 
 @query
@@ -287,7 +287,7 @@ def word_frequency_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def word_frequency_translated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    german = tt.documents(spark, sf_dir).where("country = 'DEU'")
+    german = tt.documents(spark, sf_dir, heavy=True).where("country = 'DEU'")
     none = tt.stopwords(spark).where(F.lit(False))
     counted = wordfreq.word_frequency(german, none, tt.lemmas(spark))
     return wordfreq.translate_words(counted, tt.lexicon(spark), "de", "en")
@@ -295,12 +295,12 @@ def word_frequency_translated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def lemma_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wordfreq.lemmatize(wordfreq.word_counts(tt.documents(spark, sf_dir)), tt.lemmas(spark))
+    return wordfreq.lemmatize(wordfreq.word_counts(tt.documents(spark, sf_dir, heavy=True)), tt.lemmas(spark))
 
 
 @query
 def keyword_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flagged = keywords.keyword_flag(tt.documents(spark, sf_dir), tt.KEYWORDS)
+    flagged = keywords.keyword_flag(tt.documents(spark, sf_dir, heavy=True), tt.KEYWORDS)
     return flagged.select("id_", "keyword_flag")
 
 
@@ -309,13 +309,13 @@ def keyword_flag_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same flag from a keyword table too long for one pattern: here every benchmark text too."""
     listed = lookup_table(spark, [(k,) for k in tt.KEYWORDS], "keyword string")
     table = listed.unionByName(tt.table(spark, sf_dir, "benchmark").select(F.col("text").alias("keyword")))
-    flagged = keywords.keyword_flag(tt.documents(spark, sf_dir), table, max_inline=0)
+    flagged = keywords.keyword_flag(tt.documents(spark, sf_dir, heavy=True), table, max_inline=0)
     return flagged.select("id_", "keyword_flag")
 
 
 @query
 def clean_text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = tt.documents(spark, sf_dir).unionByName(tt.pages(spark, sf_dir))
+    both = tt.documents(spark, sf_dir, heavy=True).unionByName(tt.pages(spark, sf_dir, heavy=True))
     return both.select("source", "id_", clean_text(F.col("text")).alias("cleaned"))
 
 
@@ -324,20 +324,20 @@ QUERIES["clean_text"] = QUERIES.pop("clean_text_rows")
 
 @query
 def detect_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = language.detect_language(tt.documents(spark, sf_dir), tt.stopwords(spark))
+    found = language.detect_language(tt.documents(spark, sf_dir, heavy=True), tt.stopwords(spark))
     return found.select("id_", "detected_lang")
 
 
 @query
 def detect_language_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same vote by the join that serves long stop-word tables."""
-    found = language.detect_language(tt.documents(spark, sf_dir), tt.stopwords(spark), max_inline=0)
+    found = language.detect_language(tt.documents(spark, sf_dir, heavy=True), tt.stopwords(spark), max_inline=0)
     return found.select("id_", "detected_lang")
 
 
 @query
 def detect_language_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = language.detect_language(tt.documents(spark, sf_dir, keep_lang=True), tt.stopwords(spark))
+    found = language.detect_language(tt.documents(spark, sf_dir, keep_lang=True, heavy=True), tt.stopwords(spark))
     return language.language_confusion(found)
 
 
@@ -358,13 +358,13 @@ def _exploded_translations(messages: DataFrame) -> DataFrame:
 
 @query
 def translate_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _exploded_translations(_translate(tt.documents(spark, sf_dir)))
+    return _exploded_translations(_translate(tt.documents(spark, sf_dir, heavy=True)))
 
 
 @query
 def translate_lexicon_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same translation by the join that serves long lexicons."""
-    return _exploded_translations(_translate(tt.documents(spark, sf_dir), max_inline=0))
+    return _exploded_translations(_translate(tt.documents(spark, sf_dir, heavy=True), max_inline=0))
 
 
 def _reversing_engine(source: str, target: str):
@@ -376,7 +376,7 @@ def _reversing_engine(source: str, target: str):
 
 @query
 def translate_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = translate.translate_with_engine(tt.documents(spark, sf_dir), _reversing_engine, "", "en", pause=0.0)
+    done = translate.translate_with_engine(tt.documents(spark, sf_dir, heavy=True), _reversing_engine, "", "en", pause=0.0)
     return _exploded_translations(done)
 
 
@@ -410,12 +410,12 @@ def _classify(messages: DataFrame) -> DataFrame:
 
 @query
 def classify_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _exploded_classifications(classify.classify_sentiment(tt.documents(spark, sf_dir), tt.polarity(spark)))
+    return _exploded_classifications(classify.classify_sentiment(tt.documents(spark, sf_dir, heavy=True), tt.polarity(spark)))
 
 
 @query
 def classify_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _exploded_classifications(_classify(tt.documents(spark, sf_dir)))
+    return _exploded_classifications(_classify(tt.documents(spark, sf_dir, heavy=True)))
 
 
 @query
@@ -427,17 +427,17 @@ def classify_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def classify_trained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = tt.texts(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = tt.texts(spark, sf_dir, "documents", "doc_id").select("doc_id", "text")
     labelled = tt.table(spark, sf_dir, "labels").join(docs, "doc_id").select("text", F.col("quality").alias("label"))
     model = classify.fit_topics(labelled)
-    return _exploded_classifications(classify.classify_trained(tt.documents(spark, sf_dir), model, ["bad", "good"]))
+    return _exploded_classifications(classify.classify_trained(tt.documents(spark, sf_dir, heavy=True), model, ["bad", "good"]))
 
 
 @query
 def top_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ties are frequent here: several labels often have all their terms in a text."""
     human = F.array(nested.classification(F.lit("human topic"), F.lit(2.0), F.lit("human")))
-    docs = _classify(tt.documents(spark, sf_dir))
+    docs = _classify(tt.documents(spark, sf_dir, heavy=True))
     docs = docs.withColumn("classifications", nested.add_classifications(human, F.col("classifications")))
     best = nested.top_model_classification(F.col("classifications"))
     return docs.select("id_", best["topic"].alias("topic"), F.round(best["score"], 6).alias("score"))
@@ -445,7 +445,7 @@ def top_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def topic_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = classify.classify_sentiment(_classify(tt.documents(spark, sf_dir)), tt.polarity(spark))
+    docs = classify.classify_sentiment(_classify(tt.documents(spark, sf_dir, heavy=True)), tt.polarity(spark))
     certain = F.filter("classifications", lambda c: c["score"] > 0)
     return topics.topic_vocabulary(docs.withColumn("classifications", certain), ["unused"])
 
@@ -461,13 +461,13 @@ def _typed_hits(hits: DataFrame) -> DataFrame:
 
 @query
 def geo_text_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _typed_hits(geo.match_place_names(tt.documents(spark, sf_dir), tt.gazetteer(spark), PLACE_FIELDS))
+    return _typed_hits(geo.match_place_names(tt.documents(spark, sf_dir, heavy=True), tt.gazetteer(spark), PLACE_FIELDS))
 
 
 @query
 def geo_text_match_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = geo.match_place_names(
-        tt.documents(spark, sf_dir), tt.gazetteer(spark), PLACE_FIELDS, force_shuffle=True
+        tt.documents(spark, sf_dir, heavy=True), tt.gazetteer(spark), PLACE_FIELDS, force_shuffle=True
     )
     return _typed_hits(hits)
 
@@ -510,7 +510,7 @@ def _geolocate(messages: DataFrame) -> DataFrame:
 
 @query
 def geolocate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = tt.events(spark, sf_dir).unionByName(tt.documents(spark, sf_dir))
+    both = tt.events(spark, sf_dir).unionByName(tt.documents(spark, sf_dir, heavy=True))
     return _exploded_locations(_geolocate(both))
 
 
@@ -519,13 +519,13 @@ def geolocate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def anonymize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = tt.documents(spark, sf_dir).unionByName(tt.pages(spark, sf_dir))
+    both = tt.documents(spark, sf_dir, heavy=True).unionByName(tt.pages(spark, sf_dir, heavy=True))
     return anon.anonymize(both).select("source", "id_", "text")
 
 
 @query
 def anonymize_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    redacted = tt.documents(spark, sf_dir).select(redact(F.col("text")).alias("text"))
+    redacted = tt.documents(spark, sf_dir, heavy=True).select(redact(F.col("text")).alias("text"))
     found = [F.struct(F.lit(k).alias("kind"), placeholder_count(F.col("text"), k).alias("n")) for k in KINDS]
     counted = redacted.select(F.inline(F.array(*found))).groupBy("kind")
     return counted.agg(F.sum("n").alias("matches"), F.count_if(F.col("n") > 0).alias("messages"))
@@ -533,8 +533,8 @@ def anonymize_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def anonymize_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = anon.anonymize(_translate(tt.documents(spark, sf_dir).where("country <> 'GBR'")), "en")
-    untouched = anon.anonymize(tt.documents(spark, sf_dir).where("country = 'GBR'"), "en")
+    done = anon.anonymize(_translate(tt.documents(spark, sf_dir, heavy=True).where("country <> 'GBR'")), "en")
+    untouched = anon.anonymize(tt.documents(spark, sf_dir, heavy=True).where("country = 'GBR'"), "en")
     both = done.unionByName(untouched)
     return both.select("id_", "text", nested.first_translation(F.col("translations"), "text").alias("translated"))
 
@@ -544,7 +544,7 @@ def anonymize_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def enrich_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ready = filters.min_length(filters.non_empty(tt.documents(spark, sf_dir)))
+    ready = filters.min_length(filters.non_empty(tt.documents(spark, sf_dir, heavy=True)))
     done = enrich(ready, _translate, _classify, _geolocate, anon.anonymize)
     best = nested.top_model_classification(F.col("classifications"))
     return done.select(
@@ -558,7 +558,7 @@ def enrich_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _review_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _classify(_translate(tt.documents(spark, sf_dir, with_members=True)))
+    return _classify(_translate(tt.documents(spark, sf_dir, with_members=True, heavy=True)))
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:

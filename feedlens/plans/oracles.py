@@ -409,7 +409,8 @@ _oracle(
 )
 _oracle(
     "classify_centroid",
-    """SELECT vec_id, l AS label, round(dot / (sqrt(nv) * sqrt(nm)), 6) AS score FROM (
+    """SELECT vec_id, l AS label, CASE WHEN round(dot / (sqrt(nv) * sqrt(nm)), 6) = 0 THEN CAST(0 AS DOUBLE)
+              ELSE round(dot / (sqrt(nv) * sqrt(nm)), 6) END AS score FROM (
          SELECT vec_id, means.label AS l, sum(v * m) AS dot, sum(v * v) AS nv, sum(m * m) AS nm
          FROM dims JOIN means USING (d) GROUP BY ALL)""",
     """dims AS (SELECT vec_id, label, unnest(range(len(embedding))) AS d,

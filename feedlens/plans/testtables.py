@@ -55,9 +55,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
     """A table whose rows cost much work each: dealt out when the scan is too narrow."""
-    return spread(table(spark, sf_dir, name))
+    return spread(table(spark, sf_dir, name), key)
 
 
 def _after_epoch(hours: Column, minutes: Column | None = None) -> Column:
@@ -77,9 +77,18 @@ def _country_of(lang: Column) -> Column:
     return out
 
 
-def documents(spark: SparkSession, sf_dir: str, with_members: bool = False, keep_lang: bool = False) -> DataFrame:
-    """``documents`` as messages; the member count is the number of texts of the source."""
-    docs = texts(spark, sf_dir, "documents")
+def documents(
+    spark: SparkSession,
+    sf_dir: str,
+    with_members: bool = False,
+    keep_lang: bool = False,
+    heavy: bool = False,
+) -> DataFrame:
+    """``documents`` as messages; the member count is the number of texts of the source.
+
+    ``heavy`` announces much work per text, worth an exchange if the scan is narrow.
+    """
+    docs = texts(spark, sf_dir, "documents", "doc_id") if heavy else table(spark, sf_dir, "documents")
     members = F.lit(None)
     if with_members:
         sizes = table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("members"))
@@ -153,9 +162,9 @@ def _lat() -> Column:
     return F.pmod(F.col("value"), F.lit(90.0))
 
 
-def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pages(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
     """``pages`` as messages: title and address; no country where the language is unknown."""
-    pg = texts(spark, sf_dir, "pages")
+    pg = texts(spark, sf_dir, "pages", "page_id") if heavy else table(spark, sf_dir, "pages")
     title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
     lang = F.regexp_extract("url", r"^https?://[^/]+/(en|de|fr)/", 1)
     return to_messages(
@@ -204,6 +213,11 @@ def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def conversation_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = table(spark, sf_dir, "conversations")
+    return conv.select(F.concat(F.lit("conv_"), F.col("conv_id").cast("string")).alias("channel"))
+
+
 def channel_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return docs.groupBy(F.col("source").alias("channel")).agg(F.count("*").alias("members"))
@@ -221,7 +235,7 @@ def raw_event_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_document_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return texts(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir, "documents", "doc_id").select(
         F.col("doc_id").alias("id"),
         F.col("source").alias("user"),
         F.col("text"),

@@ -69,7 +69,7 @@ def lookup_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFra
     return spark.createDataFrame(pa.Table.from_arrays(columns, names=kind.fieldNames()), kind)
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal out the rows of a scan that cannot use the cluster.
 
     One row group, one zipped file or one multi-line file is read by one task,
@@ -79,7 +79,7 @@ def spread(df: DataFrame) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.isStreaming or df.rdd.getNumPartitions() >= 2 * cores:
         return df
-    return df.repartition(cores)
+    return df.repartition(cores, *keys)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
