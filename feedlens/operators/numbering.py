@@ -18,7 +18,7 @@ def number_rows(df: DataFrame, group: list[str], order: list[Column], column: st
     range-partitioned, so a large group spans many tasks; each task numbers its
     stretch, and the stretches are offset by a prefix sum over their counts.
     Range bounds are sampled and may differ between two evaluations, so the
-    partitioned rows are checkpointed before they are counted.
+    partitioned rows are written to the shared folder before they are counted.
     """
     keys = [F.col(f"`{c}`").asc() for c in group]
     spread = (

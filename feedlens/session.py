@@ -83,8 +83,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows survive the loss of any executor."""
+    """The rows, written once to the shared folder and read from there.
+
+    They survive the loss of any executor, are computed once however often they
+    are used, and later readers fetch only the columns they need.
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = scratch_dir(spark, "cut")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

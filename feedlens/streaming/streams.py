@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 from feedlens.schema import MESSAGE_COLUMNS
 from feedlens.sources.store import MessageStore
 
+SALTS = 32
+
 
 def stream_files(
     spark: SparkSession,
@@ -31,31 +30,23 @@ def stream_files(
     return reader.load(path)
 
 
-def _thin_copies(messages: DataFrame, key: list[str]) -> DataFrame:
-    """Drop copies inside each Arrow batch, before any exchange.
-
-    A stream has no partial aggregation, so without this every row of a hot id
-    would travel to the one task that keeps its state.
-    """
-
-    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.select(key).to_pandas()
-            yield batch.filter(pa.array(~keys.duplicated().to_numpy()))
-
-    return messages.mapInArrow(thin, messages.schema)
-
-
 def dedupe_stream(messages: DataFrame, window: str = "14 days", key: list[str] | None = None) -> DataFrame:
     """One row per id within the window, the first one seen.
 
     State holds the ids of the window only. A watermark needs an instant, so the
-    zone-free time is read as UTC (``session.SESSION_CONF``).
+    zone-free time is read as UTC (``session.SESSION_CONF``). A stream has no
+    partial aggregation: the copies of a hot id are first reduced in ``SALTS``
+    places, by the input partition they come from, and then in one.
     """
     key = list(key or ["id_"])
-    messages = _thin_copies(messages, key)
-    timed = messages.withColumn("_event_time", F.col("datetime_").cast("timestamp"))
-    return timed.withWatermark("_event_time", window).dropDuplicatesWithinWatermark(key).drop("_event_time")
+    timed = messages.withColumns(
+        {
+            "_event_time": F.col("datetime_").cast("timestamp"),
+            "_salt": F.pmod(F.spark_partition_id(), F.lit(SALTS)),
+        }
+    ).withWatermark("_event_time", window)
+    once_per_salt = timed.dropDuplicatesWithinWatermark([*key, "_salt"])
+    return once_per_salt.dropDuplicatesWithinWatermark(key).drop("_event_time", "_salt")
 
 
 def write_stream(messages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
