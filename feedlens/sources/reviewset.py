@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 def write_review_set(records: DataFrame, path: str, replace: bool = True) -> None:
     """Store records per (workspace, dataset); an old set of that name is replaced or is an error."""
-    writer = records.write.partitionBy("workspace", "dataset")
+    # adaptive execution splits a large set over several files and merges small ones
+    gathered = records.hint("rebalance", F.col("workspace"), F.col("dataset"))
+    writer = gathered.write.partitionBy("workspace", "dataset")
     if replace:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
         return
