@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 
 from feedlens.operators.joins import null_safe_join
 from feedlens.operators.sizing import constant, rows_if_small
+from feedlens.session import cut_lineage
 
 ANCHOR_LENGTH = 8
 # Anchors kept in one array inside the plan: a few hundred kB at most.
 MAX_INLINE_ANCHORS = 10_000
+# Anchors sent to every executor: each of at most ANCHOR_LENGTH characters.
+MAX_BROADCAST_ANCHORS = 1_000_000
 
 
 def _grams(text: Column, lengths: list[int]) -> Column:
@@ -37,8 +40,9 @@ def contains_join(
     ``key`` identifies a row of ``texts`` and is unique in it. Null and empty phrases match nothing.
     Few distinct anchors (checked): they become one array in the plan, texts are
     probed in place and only rows with a hit go on; no text is shuffled. More:
-    grams and anchors meet in an equi-join that carries keys only, and the
-    candidates fetch their text afterwards.
+    grams that are an anchor are kept, by a broadcast semi-join up to a counted
+    bound and a shuffled one beyond; they carry keys only, and the candidates
+    fetch their text afterwards.
     """
     anchored = phrases.where(F.col(phrase).isNotNull() & (F.col(phrase) != "")).withColumn(
         "_anchor", F.left(F.col(phrase), F.lit(ANCHOR_LENGTH))
@@ -62,5 +66,11 @@ def contains_join(
     if not lengths:
         return texts.join(anchored.drop("_anchor"), F.lit(False))
     grams = texts.select(*key, F.explode(F.array_distinct(_grams(F.col(text), lengths))).alias("_anchor"))
-    pairs = grams.join(anchored, "_anchor").drop("_anchor")
+    anchors = anchored.select("_anchor").distinct()
+    if anchors.count() <= MAX_BROADCAST_ANCHORS:
+        anchors = F.broadcast(anchors)
+    known = grams.join(anchors, "_anchor", "left_semi")
+    # written, the candidates have a known size: while they are few Spark sends
+    # them to the texts and shuffles no text
+    pairs = cut_lineage(known.join(anchored, "_anchor").drop("_anchor"))
     return null_safe_join(texts, pairs, key).where(holds)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import pandas as pd
@@ -18,7 +19,7 @@ from feedlens.operators import classify, compare, dedupe, filters, geo, keywords
 from feedlens.operators import review, threads, topics, translate, wordfreq
 from feedlens.plans import testtables as tt
 from feedlens.plans.pipeline import dataset_column, enrich
-from feedlens.session import lookup_table, scratch_dir
+from feedlens.session import lookup_table, scratch_dir, tune
 from feedlens.sources import files, raw
 from feedlens.sources.store import MessageStore
 from feedlens.streaming import streams
@@ -33,8 +34,12 @@ DOC_KEY = ["id_"]
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(tune(spark), sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def _spread(df: DataFrame, keep: list, array: str, name: str) -> DataFrame:

@@ -36,12 +36,12 @@ def _country(lang: str) -> str:
 # message views -----------------------------------------------------------------
 
 DOCS = f"""docs AS (
-  SELECT CAST(doc_id AS VARCHAR) AS id_, doc_id AS num, {EPOCH} + to_hours(doc_id) AS datetime_,
+  SELECT CAST(doc_id AS VARCHAR) AS id_, doc_id AS num, {EPOCH} + to_hours(doc_id % {tt.HOURS}) AS datetime_,
          {_country("lang")} AS country, 'documents' AS source, source AS channel, text, lang, n_chars
   FROM documents)"""
 CONV = f"""conv AS (
   SELECT CAST(conv_id * 1000 + turn AS VARCHAR) AS id_, conv_id * 1000 + turn AS num,
-         {EPOCH} + to_hours(conv_id) + to_minutes(turn) AS datetime_, 'NLD' AS country,
+         {EPOCH} + to_hours(conv_id % {tt.HOURS}) + to_minutes(turn) AS datetime_, 'NLD' AS country,
          'conversations' AS source, 'conv_' || conv_id AS channel, text, turn > 0 AS reply,
          CASE WHEN turn > 0 THEN CAST(conv_id * 1000 + turn - 1 AS VARCHAR) END AS reply_to
   FROM conversations)"""
@@ -52,13 +52,13 @@ EVENTS = """ev AS (
          (user_id % 36) * 10 - 180 + CAST(0.25 AS DOUBLE) AS lon, value % CAST(90 AS DOUBLE) AS lat
   FROM events)"""
 PAGES = f"""pg AS (
-  SELECT CAST(page_id AS VARCHAR) AS id_, page_id AS num, {EPOCH} + to_hours(page_id) AS datetime_,
+  SELECT CAST(page_id AS VARCHAR) AS id_, page_id AS num, {EPOCH} + to_hours(page_id % {tt.HOURS}) AS datetime_,
          {_country("regexp_extract(url, '^https?://[^/]+/(en|de|fr)/', 1)")} AS country, 'pages' AS source,
          regexp_extract(url, '^https?://([^/?#]+)', 1) AS channel,
          regexp_extract(html, '<title>([^<]*)</title>', 1) || ' ' || url AS text
   FROM pages)"""
 RAW = f"""rawc AS (
-  SELECT c.conv_id * 1000 + c.turn AS id, {EPOCH} + to_hours(c.conv_id) + to_minutes(c.turn) AS date,
+  SELECT c.conv_id * 1000 + c.turn AS id, {EPOCH} + to_hours(c.conv_id % {tt.HOURS}) + to_minutes(c.turn) AS date,
          c.text AS message, 'conv_' || c.conv_id AS channel, c.turn % 2 = 0 AS top,
          CASE WHEN c.turn % 2 = 1 THEN c.conv_id * 1000 + c.turn - 1 END AS parent,
          c.role <> 'system' AS post, n.turn IS NOT NULL AS answered, c.conv_id % 3 <> 0 AS broadcast

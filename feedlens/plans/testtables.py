@@ -60,9 +60,13 @@ def texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
     return spread(table(spark, sf_dir, name), key)
 
 
+HOURS = 1_000_000
+
+
 def _after_epoch(hours: Column, minutes: Column | None = None) -> Column:
+    """The hour of a row number; numbers start over after a million, within the range of dates."""
     mins = F.lit(0) if minutes is None else minutes.cast("int")
-    shift = F.make_dt_interval(F.lit(0), hours.cast("int"), mins)
+    shift = F.make_dt_interval(F.lit(0), F.pmod(hours, F.lit(HOURS)).cast("int"), mins)
     return F.lit(EPOCH).cast("timestamp_ntz") + shift
 
 

@@ -63,13 +63,8 @@ SQL_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def parse_datetime(value: Column) -> Column:
-    """A zone-free timestamp from either text form; null when neither fits."""
-    text = value.cast("string")
-    return F.coalesce(
-        F.try_to_timestamp(text, F.lit(ISO_FORMAT)).cast("timestamp_ntz"),
-        F.try_to_timestamp(text, F.lit(SQL_FORMAT)).cast("timestamp_ntz"),
-        text.try_cast("timestamp_ntz"),
-    )
+    """A zone-free timestamp from either text form; a zone is dropped, other text gives null."""
+    return value.cast("string").try_cast("timestamp_ntz")
 
 
 def info_struct(

@@ -22,6 +22,8 @@ SESSION_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+RUNTIME_CONF = [k for k in SESSION_CONF if k.startswith("spark.sql.adaptive.")]
+
 # application id -> folder of a local session that names none
 _local_dirs: dict[str, str] = {}
 
@@ -36,6 +38,13 @@ def build_session(app: str = "feedlens", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Adaptive settings for a session that somebody else has built."""
+    for key in RUNTIME_CONF:
+        spark.conf.set(key, SESSION_CONF[key])
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 

@@ -184,16 +184,19 @@ def test_geolocate_by_point_else_by_name_on_both_paths(make, spark, monkeypatch)
         assert {r.id_: [x.name for x in r.info.locations] for r in got} == wanted
 
 
-def test_contains_join_equals_brute_force(spark):
+def test_contains_join_equals_brute_force(spark, monkeypatch):
     import random
 
+    from feedlens.operators import contains
+
     rng = random.Random(7)
     texts = [(i, "".join(rng.choice("abcß ") for _ in range(rng.randint(0, 60)))) for i in range(60)]
     phrases = [(i, "".join(rng.choice("abcß ") for _ in range(rng.randint(1, 12)))) for i in range(40)] + [(99, ""), (98, None)]
     wanted = {(i, j) for i, t in texts for j, p in phrases if p and p in t}
     t = spark.createDataFrame(texts, "id int, t string")
     p = spark.createDataFrame(phrases, "pid int, p string")
-    for forced in (False, True):
+    for forced, bound in ((False, 0), (True, 1000), (True, 0)):
+        monkeypatch.setattr(contains, "MAX_BROADCAST_ANCHORS", bound)
         got = [(r.id, r.pid) for r in contains_join(t, "t", p, "p", ["id"], forced).collect()]
         assert len(got) == len(set(got)) and set(got) == wanted
 
