@@ -25,7 +25,7 @@ def class_votes(
 ) -> DataFrame:
     """Add ``column``: for each label of ``table(label, word)`` found, its number of hits.
 
-    ``distinct`` counts each word once. A short table is folded into an
+    ``distinct`` counts each word once. ``key`` tells messages apart. A short table is folded into an
     expression: nothing is shuffled. A long one is joined to the words, and each
     task reduces a message's hits to one count per label before the exchange.
     """

@@ -72,7 +72,9 @@ def translate_with_lexicon(
     key: list[str] | None = None,
     max_inline: int = MAX_INLINE_LEXICON,
 ) -> DataFrame:
-    """Append word-by-word translations. A short lexicon needs no shuffle.
+    """Append word-by-word translations. A short lexicon needs no shuffle; for a
+    long one the words of each message are looked up in a join and put together
+    again under ``key``, which must be unique.
 
     With ``from_lang=""`` the stop-word vote fills the source language, and a
     message of undetected language keeps its text. Null and empty texts pass

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -16,6 +17,8 @@ from feedlens.sources.raw import read_messages
 from feedlens.sources.reviewset import write_review_set
 from feedlens.sources.store import MessageStore
 
+log = logging.getLogger(__name__)
+
 Step = Callable[[DataFrame], DataFrame]
 
 STAGES = ("translate", "classify", "geolocate", "anonymize")
@@ -83,7 +86,7 @@ def run_listening(
     days: int = 14,
     minimum: int = 20,
     **source_options,
-) -> dict[str, str]:
+) -> dict[str, str | int]:
     """Landed exports of the last ``days`` days to the store and to a review set.
 
     The review set is made from the stored rows of the same window, so the
@@ -96,13 +99,21 @@ def run_listening(
     messages = read_messages(spark, source, path, first, country, scraped_at, **source_options)
     # the upsert looks at its batch twice; engines must not run twice for that
     ready = cut_lineage(enrich(min_length(non_empty(messages), minimum), **(stages or {})))
+    processed = ready.count()
+    log.info("processed %s messages", processed)
     store.upsert(ready)
 
     name = f"{country}-{first}-{last}"
     stamped = F.col("datetime_scraped_") == F.lit(scraped_at).cast("timestamp_ntz")
     saved = store.read(start=first, country=country).where(stamped)
     write_review_set(review_export(saved, keywords, name, country), review_path)
-    return {"country": country, "dataset": name, "start": first, "end": last}
+    return {
+        "country": country,
+        "dataset": name,
+        "start": first,
+        "end": last,
+        "processed": processed,
+    }
 
 
 def dataset_column(start: str, end: str):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from feedlens.functions.codec import message_json
 from feedlens.plans.pipeline import Pipeline, run_listening
 from feedlens.sources import files, gazetteer, raw
+from feedlens.sources.labels import read_labels
 from feedlens.sources.store import MessageStore
 from feedlens.streaming import streams
 
@@ -164,6 +165,15 @@ def test_gazetteer_features(spark, tmp_path):
     assert (round(rows["box"].lon, 6), round(rows["box"].lat, 6), len(rows["box"].ring)) == (2.0, 1.0, 4)
 
 
+def test_read_labels(spark, tmp_path):
+    path = tmp_path / "labels.json"
+    path.write_text(json.dumps({str(i): f"topic {i}" for i in reversed(range(29))}, indent=1))
+    assert read_labels(spark, str(path)) == [f"topic {i}" for i in range(29)]
+    path.write_text('{"0": "a", "2": "b"}')
+    with pytest.raises(ValueError, match="indexes"):
+        read_labels(spark, str(path))
+
+
 def test_stream_dedupe_over_batches_and_replay(spark, make, tmp_path):
     landed, out = str(tmp_path / "in"), str(tmp_path / "out")
     schema = make({}).schema
@@ -197,7 +207,7 @@ def test_end_to_end(spark, tmp_path):
             spark, "telegram", path, "ukr", "2024-01-15", "2024-01-15 12:00:00", store, str(tmp_path / "sets"),
             ["ifrc"], {"anonymize": lambda df: df}, channels=["c1"],
         )
-    assert made["dataset"] == "UKR-2024-01-01-2024-01-15"
+    assert made["dataset"] == "UKR-2024-01-01-2024-01-15" and made["processed"] == 2
     assert sorted(r.id_ for r in store.all().collect()) == ["1", "3"]
     assert [r.external_id for r in spark.read.parquet(str(tmp_path / "sets")).collect()] == ["1"]
 
