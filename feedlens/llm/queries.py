@@ -5,13 +5,15 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from feedlens.llm import exact_dedup, simhash_dedup
+from feedlens.llm import exact_dedup, mixing, packing, simhash_dedup
 from feedlens.llm.common import batches, table
 from feedlens.session import tune
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +28,16 @@ def query(fn: Query) -> Query:
     return run
 
 
+@query
+def op1_mix_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words that a curriculum of 150% of all words takes of each document."""
+    mixed = mixing.assign(table(spark, sf_dir, "documents"), share=1.5, max_repeats=2)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op1_mix_curriculum"] = mixing.ORACLE_SQL
+
+
 @query
 def op5_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 3-word shingles, at most 3 bits apart."""
@@ -47,3 +59,9 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
        row_number() OVER w = 1 AS kept, h AS text_sha256
 FROM d WINDOW w AS (PARTITION BY h ORDER BY doc_id DESC NULLS LAST, r DESC)
 """
+
+
+@query
+def op10_pack_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, capacity=1024, end_id=2)
