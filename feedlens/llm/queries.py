@@ -7,9 +7,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feedlens.llm import exact_dedup, mixing, packing, simhash_dedup
+from feedlens.llm import exact_dedup, mixing, packing, quality, simhash_dedup, toxicity
 from feedlens.llm.common import batches, table
+from feedlens.llm.labelled import held_out
 from feedlens.session import tune
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -44,6 +46,28 @@ def op5_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+@query
+def op6_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document; one fold of the labels is never learnt."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = quality.train(docs, table(spark, sf_dir, "labels"), modulus=5, remainder=0)
+    return quality.add_scores(docs, trees, "score").select(
+        "doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op7_toxicity_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document; one fold of the labels is never learnt."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), modulus=3, remainder=1)
+    return toxicity.add_scores(docs, model, "score").select(
+        "doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The kept row of every group of equal texts, for all documents."""
