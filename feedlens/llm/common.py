@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")  # the default of a parameter
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: rows and bytes of one Arrow batch: a Python worker holds a few batches at a time

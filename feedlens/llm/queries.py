@@ -5,17 +5,15 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-import public_tokenizers
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens.llm import exact_dedup, mixing, packing, quality, simhash_dedup, toxicity
-from feedlens.llm.common import batches, table
+from feedlens.llm.common import TOKENIZER, batches, table
 from feedlens.llm.labelled import held_out
 from feedlens.session import tune
 
-TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
-
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +28,16 @@ def query(fn: Query) -> Query:
     return run
 
 
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed sequences of the whole corpus pipeline."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 @query
 def op1_mix_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words that a curriculum of 150% of all words takes of each document."""
