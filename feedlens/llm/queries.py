@@ -9,7 +9,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import exact_dedup, mixing, packing, quality, simhash_dedup, toxicity
+from feedlens.llm import exact_dedup, mixing, packing, quality, rp_forest, simhash_dedup, toxicity
 from feedlens.llm.common import TOKENIZER, batches, table
 from feedlens.llm.labelled import held_out
 from feedlens.session import tune
@@ -93,6 +93,12 @@ FROM d WINDOW w AS (PARTITION BY h ORDER BY doc_id DESC NULLS LAST, r DESC)
 """
 
 
+@query
+def op9_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of all embeddings with a cosine of at least 0.9, and their components."""
+    return rp_forest.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 @query
 def op10_pack_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 tokens."""
