@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import public_tokenizers
 import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,15 +53,25 @@ def words(text: bytes) -> list[bytes]:
     return text.split()
 
 
-def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``mapInArrow`` for a function of one batch."""
+def send(spark: SparkSession, value: object) -> Broadcast:
+    """Broadcasts a value; classes of this package go along, so that it need not be installed on the executors."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(sent: Broadcast) -> object:
+    """The value of ``send``, unpacked: once per task, not per batch."""
+    return pickle.loads(sent.value)
+
+
+def map_batches(df: DataFrame, function: Callable[..., pa.RecordBatch], schema: str | T.StructType,
+                sent: Broadcast | None = None) -> DataFrame:
+    """``mapInArrow`` for a function of one batch, and of the value of ``send`` if there is one."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        more = () if sent is None else (received(sent),)
         for batch in stream:
             if batch.num_rows:
-                made = function(batch)
-                if made is not None:
-                    yield made
+                yield function(batch, *more)
 
     return df.mapInArrow(run, schema)
 

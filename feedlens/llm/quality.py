@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from feedlens.llm.common import batches, map_batches, utf8, with_fields
+from feedlens.llm.common import batches, map_batches, send, utf8, with_fields
 from feedlens.llm.labelled import sample_ids, sample_texts
 
 PER_CLASS = 10_000
@@ -165,11 +165,10 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int =
 
 def add_scores(docs: DataFrame, trees: Trees, name: str, text: str = "text") -> DataFrame:
     """``docs`` with the probability of label 1 in column ``name``."""
-    held = docs.sparkSession.sparkContext.broadcast(trees)
 
-    def score(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def score(batch: pa.RecordBatch, trees: Trees) -> pa.RecordBatch:
         x = np.array([statistics(t) for t in utf8(batch, text)]).reshape(-1, len(STATISTICS))
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(held.value.scores(x))],
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(trees.scores(x))],
                                           names=[*batch.schema.names, name])
 
-    return map_batches(docs, score, with_fields(docs.schema, (name, "double")))
+    return map_batches(docs, score, with_fields(docs.schema, (name, "double")), send(docs.sparkSession, trees))

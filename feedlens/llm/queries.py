@@ -9,7 +9,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import exact_dedup, mixing, packing, quality, rp_forest, simhash_dedup, toxicity
+from feedlens.llm import exact_dedup, lattice_lm, mixing, packing, quality, rp_forest, simhash_dedup, toxicity
 from feedlens.llm.common import TOKENIZER, batches, table
 from feedlens.llm.labelled import held_out
 from feedlens.session import tune
@@ -48,6 +48,12 @@ def op1_mix_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op1_mix_curriculum"] = mixing.ORACLE_SQL
 
 
+@query
+def op2_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The marginal log10 probability of every document over all segmentations of its words."""
+    return lattice_lm.score_texts(table(spark, sf_dir, "documents"), TOKENIZER, modulus=10, remainder=0)
+
+
 @query
 def op5_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 3-word shingles, at most 3 bits apart."""

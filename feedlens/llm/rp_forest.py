@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import batches, map_batches
+from feedlens.llm.common import batches, map_batches, received, send
 from feedlens.llm.components import components, forest
 from feedlens.session import cut_lineage
 
@@ -186,12 +186,13 @@ def near_duplicates(table: DataFrame, vector: str = "embedding", id_column: str
     n_nodes = nodes.count()
     sample = [bytes(r["packed"]) for r in nodes.orderBy(F.xxhash64("key"), "key").limit(sample_rows).select("packed").collect()]
     grown = grow(unit_rows(sample) if sample else np.zeros((0, 1)), n_nodes, trees, spill, leaf_rows)
-    held = spark.sparkContext.broadcast(grown)
+    sent = send(spark, grown)
 
     def index(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees_ = received(sent)
         for batch in stream:
             if batch.num_rows:
-                row, leaf = held.value.leaves(unit_rows(batch.column("packed").to_pylist()))
+                row, leaf = trees_.leaves(unit_rows(batch.column("packed").to_pylist()))
                 order = np.lexsort((leaf, row))
                 ends = np.searchsorted(row[order], np.arange(batch.num_rows + 1))
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(leaf[order]))

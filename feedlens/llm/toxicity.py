@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import batches, map_batches, utf8, with_fields
+from feedlens.llm.common import batches, map_batches, send, utf8, with_fields
 from feedlens.llm.labelled import sample_ids, sample_texts
 from feedlens.session import cut_lineage
 
@@ -227,14 +227,14 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int =
     model = Model(ids, np.array(words_by), np.array(leading), contexts, key[order],
                   rows[["c0", "c1"]].to_numpy(np.float64).T[:, order])
 
-    def features(batch: pa.RecordBatch) -> pa.RecordBatch:
-        x = held.value.features(utf8(batch, "text"))
+    def features(batch: pa.RecordBatch, model: Model) -> pa.RecordBatch:
+        x = model.features(utf8(batch, "text"))
         return pa.RecordBatch.from_arrays(
             [pa.array(x.tolist(), pa.list_(pa.float64())), batch.column("target")], names=["x", "y"]
         )
 
-    held = spark.sparkContext.broadcast(model)
-    fit = map_batches(sample.where(aside), features, "x array<double>, y int").toPandas()  # a part of the sample
+    counted_pairs = send(spark, model)
+    fit = map_batches(sample.where(aside), features, "x array<double>, y int", counted_pairs).toPandas()  # a part of the sample
     if fit["y"].nunique() == 2 and (model.words.sum(axis=1) > 0).all():
         model.weights = logistic(np.array(fit["x"].tolist()), fit["y"].to_numpy(float))
     return model
@@ -242,10 +242,9 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int =
 
 def add_scores(docs: DataFrame, model: Model, name: str, text: str = "text") -> DataFrame:
     """``docs`` with the probability of being toxic in column ``name``."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
 
-    def score(batch: pa.RecordBatch) -> pa.RecordBatch:
-        made = held.value.scores(utf8(batch, text))
+    def score(batch: pa.RecordBatch, model: Model) -> pa.RecordBatch:
+        made = model.scores(utf8(batch, text))
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(made)], names=[*batch.schema.names, name])
 
-    return map_batches(docs, score, with_fields(docs.schema, (name, "double")))
+    return map_batches(docs, score, with_fields(docs.schema, (name, "double")), send(docs.sparkSession, model))
