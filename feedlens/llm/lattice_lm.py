@@ -280,8 +280,9 @@ def _re_estimated(words: DataFrame, lattices: list[Lattice], sizes: list[Counts]
 
     expected = words.where("c > 0").mapInArrow(expect, "kind int, piece long, uses double")
     uses = [np.zeros(len(x.pieces)) for x in lattices]
-    for row in expected.groupBy("kind", "piece").agg(F.sum("uses").alias("uses")).collect():  # subwords times kinds
-        uses[row["kind"]][row["piece"]] = row["uses"]
+    found = expected.groupBy("kind", "piece").agg(F.sum("uses").alias("uses")).toArrow()  # subwords times kinds
+    for kind, piece, used in zip(*(c.to_numpy() for c in found.columns)):
+        uses[kind][piece] = used
     out = []
     for lattice, used, size in zip(lattices, uses, sizes):
         ends = size.distinct + 1
@@ -314,11 +315,11 @@ def _weighed(words: DataFrame, lattices: list[Lattice], everything: Counts, size
     return cut_lineage(map_batches(words, weigh, f"word binary, c long, {columns}", sent))
 
 
-def _head_sums(rows: DataFrame, head: list, n_kinds: int) -> DataFrame:
+def _head_sums(rows: DataFrame, head: pa.Table, n_kinds: int) -> DataFrame:
     """Per document what the frequent words sum to, and its other words with their counts; written once."""
-    index = {bytes(r["word"]): i for i, r in enumerate(head)}
-    bases = np.log10(np.array([r["c"] for r in head], float) + 0.1)
-    scores = np.array([[r[f"s{k}"] for k in range(n_kinds)] for r in head], np.int64).reshape(len(head), n_kinds)
+    index = {word: i for i, word in enumerate(head.column("word").to_pylist())}
+    bases = np.log10(head.column("c").to_numpy() + 0.1)
+    scores = np.stack([head.column(f"s{k}").to_numpy() for k in range(n_kinds)], axis=1)
 
     def look_up(batch: pa.RecordBatch, model: tuple) -> pa.RecordBatch:
         index, bases, scores = model
@@ -377,7 +378,7 @@ def score_texts(docs: DataFrame, vocabulary_path: str, modulus: int = 10, remain
     end_share = (n_docs + 0.1) / denominator if n else 0.5
 
     weighed = _weighed(words, lattices, everything, sizes, end_share)
-    top = weighed.where("c > 0").orderBy(F.col("c").desc(), "word").limit(head).collect()  # bounded by head
+    top = weighed.where("c > 0").orderBy(F.col("c").desc(), "word").limit(head).toArrow()  # bounded by head
     parts = _head_sums(rows, top, n_kinds)
     tail = parts.select("row_no", F.explode("rest").alias("r")).select("row_no", "r.word", "r.times").join(weighed, "word")
     tail = tail.groupBy("row_no").agg(

@@ -39,8 +39,8 @@ from feedlens.llm.labelled import sample_ids, sample_texts
 from feedlens.session import cut_lineage
 
 PER_CLASS = 12_000
-MAX_WORDS = 1 << 17
-MAX_PAIRS = 1 << 19
+MAX_WORDS = 1 << 16
+MAX_PAIRS = 1 << 18
 WORD_DISCOUNT, PAIR_DISCOUNT = 0.75, 4.0
 MARKED = 3.0
 CALIBRATION_FOLDS = 4
@@ -204,28 +204,27 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int =
 
     least = max(LEAST_TEXTS, int(LEAST_SHARE * counted.count()))
     top = _texts_with(counted).where(F.col("n") >= least).orderBy(F.col("n").desc(), "word").limit(max_words)
-    ids = {bytes(row["word"]): i for i, row in enumerate(top.collect(), 1)}  # bounded by max_words
+    ids = {word: i for i, word in enumerate(top.select("word").toArrow().column(0).to_pylist(), 1)}  # max_words at most
     v = len(ids) + 1
     sent = spark.sparkContext.broadcast(ids)
     pairs = cut_lineage(_pair_counts(counted, sent))
 
     def spread(column: str, width: int, *sums) -> list[np.ndarray]:
         """Sums over pairs by word id: at most ``width`` rows."""
-        out = [np.zeros(width) for _ in sums]
-        for row in pairs.groupBy(column).agg(*(s.alias(f"s{i}") for i, s in enumerate(sums))).collect():
-            for i in range(len(sums)):
-                out[i][row[column]] = row[f"s{i}"]
-        return out
+        found = pairs.groupBy(column).agg(*(s.alias(f"s{i}") for i, s in enumerate(sums))).toArrow()
+        out = np.zeros((len(sums), width))
+        out[:, found.column(0).to_numpy()] = [c.to_numpy() for c in found.columns[1:]]
+        return list(out)
 
     total = F.col("c0") + F.col("c1")
     contexts, *words_by = spread("second", v, F.count("*"), F.sum("c0"), F.sum("c1"))
     leading = spread("first", v + 1, F.sum("c0"), F.sum("c1"))
     kept = pairs.where(total > 1).orderBy(total.desc(), "first", "second").limit(max_pairs)
-    rows = kept.toPandas()  # bounded by max_pairs
-    key = (rows["first"] * (v + 1) + rows["second"]).to_numpy(np.int64)
+    first, second, *by_class = (c.to_numpy() for c in kept.toArrow().columns)  # bounded by max_pairs
+    key = first * (v + 1) + second
     order = np.argsort(key)
     model = Model(ids, np.array(words_by), np.array(leading), contexts, key[order],
-                  rows[["c0", "c1"]].to_numpy(np.float64).T[:, order])
+                  np.array(by_class, np.float64)[:, order])
 
     def features(batch: pa.RecordBatch, model: Model) -> pa.RecordBatch:
         x = model.features(utf8(batch, "text"))
