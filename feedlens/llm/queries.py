@@ -9,7 +9,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import exact_dedup, lattice_lm, mixing, packing, quality, rp_forest, simhash_dedup, toxicity
+from feedlens.llm import exact_dedup, lattice_lm, mixing, packing, quality, rp_forest, simhash_dedup, toxicity, warc_derivatives
 from feedlens.llm.common import TOKENIZER, batches, table
 from feedlens.llm.labelled import held_out
 from feedlens.session import tune
@@ -54,6 +54,17 @@ def op2_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score_texts(table(spark, sf_dir, "documents"), TOKENIZER, modulus=10, remainder=0)
 
 
+@query
+def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metadata and conversion records of all pages, blocks by their digest and length."""
+    derived = warc_derivatives.derive(warc_derivatives.responses(table(spark, sf_dir, "pages")))
+    return derived.select(
+        "page_id", "record_type", "record_id", "refers_to", "target_uri", "content_type", "block_digest",
+        "payload_digest", F.octet_length("block").cast("long").alias("content_length"),
+        F.sha2("headers", 256).alias("headers_sha256"),
+    )
+
+
 @query
 def op5_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 3-word shingles, at most 3 bits apart."""
