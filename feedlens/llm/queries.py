@@ -9,7 +9,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import exact_dedup, lattice_lm, mixing, packing, quality, rp_forest, simhash_dedup, toxicity, warc_derivatives
+from feedlens.llm import exact_dedup, lattice_lm, mixing, packing, quality, rp_forest, simhash_dedup, substring_dedup, toxicity, warc_derivatives
 from feedlens.llm.common import TOKENIZER, batches, table
 from feedlens.llm.labelled import held_out
 from feedlens.session import tune
@@ -65,6 +65,13 @@ def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_substring_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 20-word windows that occur earlier."""
+    left = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=20)
+    return left.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @query
 def op5_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 3-word shingles, at most 3 bits apart."""
