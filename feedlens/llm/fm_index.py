@@ -81,6 +81,7 @@ class FMIndex:
             here = padded[rows[1:] + j]
             same &= (here == padded[np.minimum(rows[:-1] + j, self.n + depth - 1)]) & (here >= 0)
             common[1:] += same
+        common[0] = -1  # the first row begins an interval at any length
         self.common = common
         self._bounds: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         starts = np.flatnonzero(common < depth)
