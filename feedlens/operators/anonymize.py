@@ -31,14 +31,19 @@ def anonymize(
 
 
 def anonymize_with_engine(
-    messages: DataFrame, setup: Callable[[], BatchTextFn], tries: int = 10, pause: float = 10.0
+    messages: DataFrame, setup: Callable[[], BatchTextFn], tries: int = 10, pause: float = 10.0,
+    failed: str = "anonymization_failed",
 ) -> DataFrame:
-    """The text as rewritten by a Python engine (frame column ``text``), unchanged on failure."""
+    """The text as rewritten by a Python engine (frame column ``text``), unchanged on failure.
+
+    A text that the engine could not take keeps its personal data: the column
+    ``failed`` says so for each message. Only such texts fail, not their batch.
+    """
     answer = T.StructType([T.StructField("_new", T.StringType())])
 
     def prepare() -> BatchTextFn:
         engine = setup()
         return lambda texts: engine(texts).rename(columns={"text": "_new"})
 
-    done = run_on_distinct_texts(messages, prepare, answer, tries=tries, pause=pause)
+    done = run_on_distinct_texts(messages, prepare, answer, tries=tries, pause=pause, failed=failed)
     return done.withColumn("text", F.coalesce("_new", "text")).drop("_new")

@@ -105,13 +105,17 @@ def translate_with_engine(
     to_lang: str | list[str],
     tries: int = 10,
     pause: float = 10.0,
+    failed: str | None = None,
 ) -> DataFrame:
     """Append translations made by a Python engine, run once per distinct text.
 
     ``setup(from, to)`` is called in each task and returns the batch function,
     whose frame has ``text`` and, for an empty ``from``, the detected ``lang``.
-    After ``tries`` failures the text stays as it is.
+    After ``tries`` failures a text stays as it is; the other texts of its batch
+    are translated. ``failed`` names a column for how many pairs failed.
     """
+    if failed is not None:
+        messages = messages.withColumn(failed, F.lit(0))
     answer = T.StructType(
         [T.StructField("_new", T.StringType()), T.StructField("_lang", T.StringType())]
     )
@@ -126,10 +130,12 @@ def translate_with_engine(
 
             return run
 
-        done = run_on_distinct_texts(messages, prepare, answer, tries=tries, pause=pause)
+        done = run_on_distinct_texts(messages, prepare, answer, tries=tries, pause=pause, failed="_bad")
+        if failed is not None:
+            done = done.withColumn(failed, F.col(failed) + F.col("_bad").cast("int"))
         lang = F.coalesce("_lang", F.lit("")) if source == "" else F.lit(source)
         entry = translation(F.coalesce("_new", "text"), lang, F.lit(target))
         messages = done.withColumn("translations", add_translation(F.col("translations"), entry)).drop(
-            "_new", "_lang"
+            "_new", "_lang", "_bad"
         )
     return messages

@@ -385,6 +385,25 @@ def translate_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _exploded_translations(done)
 
 
+def _failing_engine(source: str, target: str):
+    """An engine that refuses a batch with any text whose length is a multiple of 97."""
+
+    def run(texts: pd.Series) -> pd.DataFrame:
+        if (texts.str.len() % 97 == 0).any():
+            raise ValueError("refused")
+        return pd.DataFrame({"text": texts.str[::-1], "lang": "xx"})
+
+    return run
+
+
+@query
+def translate_udf_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that an engine refuses stay as they are; the others of their batches are translated."""
+    docs = tt.documents(spark, sf_dir, heavy=True)
+    done = translate.translate_with_engine(docs, _failing_engine, "", "en", tries=2, pause=0.0, failed="failed")
+    return done.select("id_", "failed", F.element_at("translations", -1)["text"].alias("text"))
+
+
 @query
 def translation_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set the (fr, en) translation: replaced where it exists, appended elsewhere."""
@@ -655,6 +674,6 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "stream-store")
     store = MessageStore(spark, path)
     store.append(stored)
-    edited = _edited(_event_stream(spark, sf_dir).where("`group` <> 'view'"))
+    edited = _edited(_event_stream(spark, sf_dir))
     streams.upsert_stream(edited, store, f"{path}-progress").awaitTermination()
     return store.all().select("id_", "datetime_", "datetime_scraped_", "country", _channel(), "text")

@@ -148,7 +148,7 @@ _oracle(
     "scan_posts_with_replies",
     """SELECT CAST(id AS VARCHAR) AS id_, date AS datetime_, channel, message AS text, NOT top AS reply,
               CAST(parent AS VARCHAR) AS reply_to
-       FROM recent r WHERE message <> '' AND (top OR EXISTS (
+       FROM recent r WHERE message <> '' AND (top OR NOT broadcast OR EXISTS (
          SELECT 1 FROM recent p WHERE p.channel = r.channel AND p.id = r.parent
          AND p.top AND p.post AND p.answered AND p.broadcast))""",
     RAW,
@@ -375,6 +375,12 @@ _oracle(
     "SELECT id_, CAST(0 AS BIGINT) AS ix, 'xx' AS from_lang, 'en' AS to_lang, reverse(text) AS text FROM docs",
     DOCS,
 )
+_oracle(
+    "translate_udf_failures",
+    """SELECT id_, CASE WHEN length(text) % 97 = 0 THEN 1 ELSE 0 END AS failed,
+              CASE WHEN length(text) % 97 = 0 THEN text ELSE reverse(text) END AS text FROM docs""",
+    DOCS,
+)
 _oracle(
     "translation_upsert",
     """SELECT id_, CAST(0 AS BIGINT) AS ix, CASE lang WHEN 'en' THEN 'fr' ELSE lang END AS from_lang, 'en' AS to_lang,
@@ -574,9 +580,7 @@ _oracle(
 _oracle("stream_dedupe", "SELECT id_, datetime_, country, channel, text FROM ev", EVENTS)
 _oracle(
     "stream_upsert",
-    f"""SELECT id_, datetime_,
-               {SCRAPED} + CASE WHEN channel = 'view' THEN INTERVAL 0 DAY ELSE INTERVAL 1 DAY END AS datetime_scraped_,
-               country, channel, CASE WHEN channel = 'view' THEN text ELSE 'edited ' || text END AS text
-        FROM ev WHERE channel <> 'view' OR id_ IN (SELECT id_ FROM stored)""",
+    f"""SELECT id_, datetime_, {SCRAPED} + INTERVAL 1 DAY AS datetime_scraped_, country, channel,
+               'edited ' || text AS text FROM ev""",
     EVENTS, _SPLIT,
 )

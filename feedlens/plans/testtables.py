@@ -197,7 +197,7 @@ def raw_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("message"),
         F.concat(F.lit("conv_"), F.col("conv_id").cast("string")).alias("channel"),
         F.when(~is_post, header).alias("reply_to"),
-        (F.col("role") != "system").alias("post"),
+        (is_post & (F.col("role") != "system")).alias("post"),
         F.when(is_post, F.col("replies")).alias("replies"),
         (F.pmod("conv_id", F.lit(3)) != 0).alias("broadcast"),
     )

@@ -107,9 +107,11 @@ def scan_channels(
 ) -> DataFrame:
     """Messages of the channels from the start of the day ``since``, no upper bound.
 
-    A channel without data contributes nothing. ``with_replies`` treats rows that
-    have a reply header as landed replies and keeps those whose parent is a
-    broadcast post with replies. Ids are made unique (default key: the id alone;
+    A channel without data contributes nothing. Replies to the posts of a
+    broadcast channel come from outside its history: such landed rows (a reply
+    header, no post) are kept if their parent is a broadcast post with replies;
+    without ``with_replies`` they are taken unchecked. Everything else is history and stays, answers
+    within a group chat included. Ids are made unique (default key: the id alone;
     ``["source", "group", "id_"]`` where ids of channels can collide), empty
     texts dropped.
     """
@@ -118,8 +120,9 @@ def scan_channels(
         recent = recent.join(channels.select("channel").distinct(), "channel", "left_semi")
     else:
         recent = recent.where(F.col("channel").isin(channels))
+    landed = F.col("reply_to").isNotNull() & F.col("broadcast") & ~F.coalesce("post", F.lit(False))
+    is_reply = F.coalesce(landed, F.lit(False))
     if with_replies:
-        is_reply = F.col("reply_to").isNotNull()
         recent = posts_with_replies(recent.where(~is_reply), recent.where(is_reply))
     messages = normalize_channel_rows(recent, country, scraped_at, members)
     return first_per_key(non_empty(messages), key)
@@ -149,12 +152,15 @@ def user_timeline(posts: DataFrame, users: list[str] | DataFrame) -> DataFrame:
 
 
 def search_posts(posts: DataFrame, queries: DataFrame, force_shuffle: bool = False) -> DataFrame:
-    """Posts whose text contains one of the query strings, case-insensitively, once per post."""
+    """Posts whose text contains one of the query strings, case-insensitively, once per row.
+
+    Copies of a post are left to the caller, who knows which is first.
+    """
     # posts with a hit carry their columns along, so no other post is shuffled
     texts = posts.withColumn("_text", F.lower("text"))
     phrases = queries.select(fold(F.col("query")).alias("_query")).distinct()
     found = contains_join(texts, "_text", phrases, "_query", ["id"], force_shuffle)
-    return found.select(*[F.col(f"`{c}`") for c in posts.columns]).dropDuplicates(["id"])
+    return found.select(*[F.col(f"`{c}`") for c in posts.columns])
 
 
 def scan_posts(

@@ -1,51 +1,141 @@
-"""The message store: Parquet files partitioned by country."""
+"""The message store: versioned Parquet files by country and day, and commits that name the live ones.
+
+Every write puts its files into a version directory of its own, then adds a
+commit: a small table of the (version, country, day) partitions of the store and
+whether each is live. Readers follow the newest commit. Nothing that a commit
+names is ever overwritten, so a write that stops at any point leaves the store as
+it was, and running it again completes it; what it left behind is never read.
+One writer works at a time; a second one that started from the same commit fails
+when it commits.
+"""
 
 from __future__ import annotations
 
-from datetime import datetime
+import uuid
+from collections import defaultdict
+from datetime import date, datetime
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from feedlens.operators.dedupe import batch_bounds, last_version, new_rows, new_rows_strict
+from feedlens.operators.dedupe import batch_bounds, insert_counts, last_version, new_rows, new_rows_strict
 from feedlens.operators.filters import optional_range, require_not_null, required_range
 from feedlens.operators.sizing import rows_if_small
 from feedlens.schema import MESSAGE_COLUMNS, MESSAGE_SCHEMA
+from feedlens.session import cut_lineage, lookup_table
 
 MAX_BOUNDS = 300
+PARTS = "version string, country string, day date, live boolean"
+STORED_SCHEMA = T.StructType([*MESSAGE_SCHEMA.fields, T.StructField("version", T.StringType()),
+                              T.StructField("day", T.DateType())])
 
 
 def balanced(messages: DataFrame) -> DataFrame:
-    """Rows gathered by country into files of even size, in order of time.
+    """Rows gathered by country and day into files of even size, in order of time.
 
-    Without it every task would leave a file in every country. Adaptive execution
-    splits a country with much data and merges small ones; the order lets a time
+    Without it every task would leave a file in every partition. Adaptive execution
+    splits a partition with much data and merges small ones; the order lets a time
     filter skip row groups.
     """
-    gathered = messages.hint("rebalance", F.col("country"))
-    return gathered.sortWithinPartitions("country", "datetime_")
+    gathered = messages.hint("rebalance", F.col("country"), F.col("day"))
+    return gathered.sortWithinPartitions("country", "day", "datetime_")
+
+
+def _with_day(messages: DataFrame) -> DataFrame:
+    columns = [F.col(f"`{c}`") for c in MESSAGE_COLUMNS]
+    return messages.select(*columns, F.col("datetime_").cast("date").alias("day"))
+
+
+def _within(parts: set[tuple[str | None, date | None]]) -> Column:
+    """Whether a row's country and day are among ``parts``: a filter on partitions alone."""
+    by_country: dict[str | None, list] = defaultdict(list)
+    for country, day in parts:
+        by_country[country].append(day)
+    tests = []
+    for country, days in by_country.items():
+        known = [d for d in days if d is not None]
+        on_day = F.col("day").isin(known) if known else F.lit(False)
+        if len(known) < len(days):
+            on_day = F.col("day").isNull() | on_day
+        tests.append(F.col("country").eqNullSafe(F.lit(country)) & F.coalesce(on_day, F.lit(False)))
+    return reduce(Column.__or__, tests, F.lit(False))
 
 
 class MessageStore:
     """Read with filters, insert only what is new, or upsert by id.
 
-    A message is identified by country and id, the country being the partition.
+    A message is identified by country and id.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
+    # --- commits ---------------------------------------------------------------
+
+    def _folder(self, path: str):
+        """A path and its file system, as Hadoop sees them."""
+        found = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return found, found.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def last_commit(self) -> int:
+        """The number of the newest commit, 0 before the first."""
+        folder, files = self._folder(f"{self.path}/commits")
+        if not files.exists(folder):
+            return 0
+        names = [status.getPath().getName() for status in files.listStatus(folder)]
+        return max((int(name) for name in names if name.isdigit()), default=0)
+
+    def _parts(self, commit: int) -> list[tuple]:
+        """(version, country, day, live) of a commit: as many rows as the store has partitions."""
+        if not commit:
+            return []
+        return [tuple(row) for row in self.spark.read.schema(PARTS).parquet(f"{self.path}/commits/{commit}").collect()]
+
+    def _commit(self, base: int, parts: list[tuple]) -> None:
+        """Makes ``parts`` the store, if ``base`` is still its newest commit."""
+        live = {version for version, _, _, is_live in parts if is_live}
+        table = lookup_table(self.spark, [p for p in parts if p[0] in live], PARTS)
+        pending = f"{self.path}/pending/{uuid.uuid4().hex}"
+        table.coalesce(1).write.parquet(pending)
+        made, files = self._folder(pending)
+        target, _ = self._folder(f"{self.path}/commits/{base + 1}")
+        files.mkdirs(target.getParent())
+        if files.exists(target) or not files.rename(made, target):
+            raise RuntimeError(f"{self.path} was written to by somebody else since commit {base}")
+
+    def _write(self, rows: DataFrame) -> list[tuple]:
+        """Writes rows with their day as a new version; its parts, all live."""
+        version = uuid.uuid4().hex
+        path = f"{self.path}/data/version={version}"
+        balanced(rows).write.partitionBy("country", "day").parquet(path)
+        made = self._stored([version])
+        return [(version, r["country"], r["day"], True) for r in made.select("country", "day").distinct().collect()]
+
+    def _stored(self, versions: list[str]) -> DataFrame:
+        paths = [f"{self.path}/data/version={version}" for version in versions]
+        return self.spark.read.schema(STORED_SCHEMA).option("basePath", f"{self.path}/data").parquet(*paths)
+
+    def _live(self, parts: list[tuple]) -> DataFrame:
+        """All rows of the live parts; replaced parts are left out by partition."""
+        if not any(is_live for *_, is_live in parts):
+            return self.spark.createDataFrame([], STORED_SCHEMA)
+        replaced = defaultdict(set)
+        for version, country, day, is_live in parts:
+            if not is_live:
+                replaced[version].add((country, day))
+        rows = self._stored(sorted({p[0] for p in parts}))
+        for version, gone in replaced.items():
+            rows = rows.where(~((F.col("version") == version) & _within(gone)))
+        return rows
+
+    # --- reading ---------------------------------------------------------------
+
     def all(self) -> DataFrame:
         """Everything stored; an empty frame while nothing is."""
-        try:
-            stored = self.spark.read.schema(MESSAGE_SCHEMA).parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], MESSAGE_SCHEMA)
-        return stored.select(*[F.col(f"`{c}`") for c in MESSAGE_COLUMNS])
+        return self._live(self._parts(self.last_commit())).select(*[F.col(f"`{c}`") for c in MESSAGE_COLUMNS])
 
     def read(
         self,
@@ -61,8 +151,11 @@ class MessageStore:
         """As ``read``, all four filters being mandatory."""
         return required_range(self.all(), start, end, country, source)
 
+    # --- writing ---------------------------------------------------------------
+
     def append(self, messages: DataFrame) -> None:
-        balanced(messages).write.mode("append").partitionBy("country").parquet(self.path)
+        base = self.last_commit()
+        self._commit(base, self._parts(base) + self._write(_with_day(messages)))
 
     def _beside(self, incoming: DataFrame) -> DataFrame:
         """The stored rows that can equal an incoming one.
@@ -71,8 +164,11 @@ class MessageStore:
         constants: only its partitions and row groups are read.
         """
         bounds = rows_if_small(batch_bounds(incoming), MAX_BOUNDS)
-        if bounds is None:
-            return self.all()
+        if bounds is None:  # one wide time window for all countries and sources
+            ends = incoming.agg(F.min("datetime_").alias("min"), F.max("datetime_").alias("max")).first()
+            return self.all().where(F.col("datetime_").between(
+                F.lit(ends["min"]).cast("timestamp_ntz"), F.lit(ends["max"]).cast("timestamp_ntz")
+            ))
         wanted: Column = F.lit(False)
         for b in bounds:
             wanted = wanted | (
@@ -84,38 +180,45 @@ class MessageStore:
             )
         return self.all().where(wanted)
 
-    def insert_new(self, incoming: DataFrame, scraped_at: datetime | str, strict: bool = False) -> None:
-        """Append the rows that are not stored yet, stamped with the time of scraping."""
-        incoming = require_not_null(incoming)
+    def insert_new(self, incoming: DataFrame, scraped_at: datetime | str, strict: bool = False) -> DataFrame:
+        """Append the rows that are not stored yet, stamped with the time of scraping.
+
+        Returns what happened: ``source, offered, inserted, duplicates``. The batch
+        is computed once, whatever engines stand behind it.
+        """
+        incoming = cut_lineage(require_not_null(incoming))
         select = new_rows_strict if strict else new_rows
-        fresh = select(incoming, self._beside(incoming))
+        fresh = cut_lineage(select(incoming, self._beside(incoming)))
         self.append(fresh.withColumn("datetime_scraped_", F.lit(str(scraped_at)).cast("timestamp_ntz")))
+        return insert_counts(incoming, fresh)
 
     def upsert(self, incoming: DataFrame, version: list[Column] | None = None) -> None:
         """The last version of each message wins over the stored one.
 
-        Only the countries of the batch are rewritten. Files cannot be read and
-        replaced in one job, so the new content is first written next to the store
-        and then takes the partitions' place. Running the same upsert again, after
-        a failure too, gives the same store.
+        Only the (country, day) parts that the batch falls into, or that hold an
+        older version of one of its messages, are read whole and written anew. To
+        find the latter, of the batch's countries only the ids are read.
         """
         version = version or [F.col("datetime_scraped_").desc_nulls_last(), F.col("datetime_").desc_nulls_last()]
-        incoming = require_not_null(incoming, ["country"])
-        touched = rows_if_small(incoming.select("country").distinct(), MAX_BOUNDS)
-        beside = self.all()
-        if touched is not None:
-            beside = beside.where(F.col("country").isin([row["country"] for row in touched]))
-        merged = last_version(beside, incoming, ["country", "id_"], version).select(
-            *[F.col(f"`{c}`") for c in MESSAGE_COLUMNS]
-        )
-        staged = f"{self.path}_staged"
-        # static: whatever an earlier upsert staged must go
-        aside = balanced(merged).write.mode("overwrite").option("partitionOverwriteMode", "static")
-        aside.partitionBy("country").parquet(staged)
-        # the staged files are already cut by country: no exchange the second time
-        content = self.spark.read.schema(MESSAGE_SCHEMA).parquet(staged)
-        replace = content.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        replace.partitionBy("country").parquet(self.path)
+        incoming = cut_lineage(_with_day(require_not_null(incoming, ["country"])))
+        base = self.last_commit()
+        parts = self._parts(base)
+        stored = self._live(parts)
+        countries = incoming.select("country").distinct()
+        named = rows_if_small(countries, MAX_BOUNDS)
+        older = stored if named is None else stored.where(F.col("country").isin([r["country"] for r in named]))
+        older = older.select("country", "day", "id_").join(incoming.select("country", "id_"), ["country", "id_"], "left_semi")
+        days = incoming.select("country", "day").unionByName(older.select("country", "day")).distinct()
+        touched = {(r["country"], r["day"]) for r in days.collect()}  # parts, not messages
+        merged = last_version(stored.where(_within(touched)).drop("version"), incoming, ["country", "id_"], version)
+        written = self._write(merged)
+        kept = [(v, c, d, is_live and (c, d) not in touched) for v, c, d, is_live in parts]
+        self._commit(base, kept + written)
+
+    def compact(self) -> None:
+        """Rewrites all live parts as one version; older versions stay for readers that hold them."""
+        base = self.last_commit()
+        self._commit(base, self._write(self._live(self._parts(base)).drop("version")))
 
 
 def append_jdbc(messages: DataFrame, url: str, table: str, **options: str) -> None:

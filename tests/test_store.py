@@ -214,3 +214,52 @@ def test_end_to_end(spark, tmp_path):
     pipe = Pipeline(store, stages={"anonymize": lambda df: df.withColumn("text", F.lit("x"))})
     pipe.run(extract=False, country="UKR")
     assert {r.text for r in store.all().collect()} == {"x"}
+
+
+def test_upsert_survives_a_stop_between_any_two_steps(spark, make, tmp_path, monkeypatch):
+    store = MessageStore(spark, str(tmp_path / "store"))
+    store.append(make(*({"id_": str(i), "country": c, "text": "old"} for i, c in enumerate(["NLD", "NLD", "UKR", "BBB"]))))
+    update = make({"id_": "1", "text": "new", "datetime_scraped_": "2023-12-02 00:00:00"}, {"id_": "7", "text": "new"})
+    before = {(r.id_, r.text) for r in store.all().collect()}
+    for step in ("_write", "_commit"):
+        def stop(*_):
+            raise OSError("stopped")
+
+        with monkeypatch.context() as m:
+            m.setattr(MessageStore, step, stop)
+            with pytest.raises(OSError):
+                store.upsert(update)
+        assert {(r.id_, r.text) for r in store.all().collect()} == before
+    for _ in range(2):
+        store.upsert(update)
+        want = {("0", "old"), ("1", "new"), ("2", "old"), ("3", "old"), ("7", "new")}
+        assert {(r.id_, r.text) for r in store.all().collect()} == want
+    store.compact()
+    assert {(r.id_, r.text) for r in store.all().collect()} == want
+
+
+def test_upsert_touches_only_the_parts_of_its_messages(spark, make, tmp_path):
+    store = MessageStore(spark, str(tmp_path / "store"))
+    store.append(make(*({"id_": str(d), "datetime_": f"2023-11-{d:02d} 10:00:00"} for d in range(1, 11))))
+    # message 3 moves to another day: its old part is rewritten, too
+    store.upsert(make({"id_": "3", "datetime_": "2023-11-05 09:00:00", "text": "moved"}))
+    parts = store._parts(store.last_commit())
+    fresh = {str(day) for version, _, day, live in parts if live and version != parts[0][0]}
+    assert {str(day) for _, _, day, live in parts if not live} == {"2023-11-03", "2023-11-05"} and fresh == {"2023-11-05"}
+    assert sorted(int(r.id_) for r in store.all().collect()) == list(range(1, 11))
+    assert [r.text for r in store.read(start="2023-11-05 09:00:00", end="2023-11-05 09:00:00").collect()] == ["moved"]
+
+
+def test_second_writer_fails(spark, make, tmp_path):
+    store = MessageStore(spark, str(tmp_path / "store"))
+    store.append(make({"id_": "1"}))
+    with pytest.raises(RuntimeError, match="somebody else"):
+        store._commit(0, [("v", "NLD", None, True)])
+    assert store.all().count() == 1
+
+
+def test_insert_returns_its_counts(spark, make, tmp_path):
+    store = MessageStore(spark, str(tmp_path / "store"))
+    rows = make({"id_": "1", "text": "a"}, {"id_": "1", "text": "a"}, {"id_": "2", "text": "b"})
+    assert [tuple(r) for r in store.insert_new(rows, AT).collect()] == [("Telegram", 3, 2, 1)]
+    assert [tuple(r) for r in store.insert_new(rows, AT).collect()] == [("Telegram", 3, 0, 3)]
