@@ -19,7 +19,7 @@ from feedlens.functions.nested import (
 from feedlens.functions.text import clean_text
 from feedlens.operators.engines import run_on_distinct_texts
 from feedlens.operators.sizing import MAX_INLINE_ROWS
-from feedlens.operators.tokens import class_votes, votes_for
+from feedlens.operators.tokens import class_votes, vote_terms, votes_for
 from feedlens.schema import CLASSIFICATION
 
 NO_CLASSIFICATIONS = "array<struct<topic:string,score:double,agent:string>>"
@@ -44,7 +44,6 @@ def classify_sentiment(
     messages: DataFrame,
     polarity: DataFrame,
     lang: str | None = None,
-    key: list[str] | None = None,
     max_inline: int = MAX_INLINE_ROWS,
 ) -> DataFrame:
     """Two entries: the winning label with its share of the polar words, and the complement.
@@ -53,7 +52,7 @@ def classify_sentiment(
     """
     text = text_to_classify(lang)
     table = polarity.select("word", F.when(F.col("sign") > 0, POSITIVE).otherwise(NEGATIVE).alias("label"))
-    voted = class_votes(messages, table, "label", text, key=key, max_inline=max_inline)
+    voted = class_votes(messages, table, "label", text, max_inline=max_inline)
     good = votes_for(F.col("_votes"), POSITIVE).cast("double")
     bad = votes_for(F.col("_votes"), NEGATIVE).cast("double")
     share = F.coalesce(F.greatest(good, bad) / F.nullif(good + bad, F.lit(0.0)), F.lit(0.5))
@@ -68,7 +67,6 @@ def classify_labels(
     label_terms: DataFrame,
     labels: list[str],
     lang: str | None = None,
-    key: list[str] | None = None,
     max_inline: int = MAX_INLINE_ROWS,
 ) -> DataFrame:
     """One entry per given label, in that order: the share of its terms found in the text."""
@@ -78,9 +76,9 @@ def classify_labels(
     table = label_terms.where(F.col("label").isin(labels)).select("label", F.lower("term").alias("word"))
     sizes = {
         row["label"]: row["n"]
-        for row in table.distinct().groupBy("label").agg(F.count("*").alias("n")).limit(len(labels)).collect()
+        for row in vote_terms(table, "label").groupBy("label").agg(F.count("*").alias("n")).limit(len(labels)).collect()
     }
-    voted = class_votes(messages, table, "label", text, distinct=True, key=key, max_inline=max_inline)
+    voted = class_votes(messages, table, "label", text, distinct=True, max_inline=max_inline)
     agent = F.lit("model")
     made = F.array(
         *[

@@ -7,18 +7,22 @@ phrase contains the anchor, so anchors found in a text give all candidates and
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.operators.joins import null_safe_join
+from feedlens.operators.joins import with_text_key
 from feedlens.operators.sizing import constant, rows_if_small
 from feedlens.session import cut_lineage
 
 ANCHOR_LENGTH = 8
 # Anchors kept in one array inside the plan: a few hundred kB at most.
 MAX_INLINE_ANCHORS = 10_000
-# Anchors sent to every executor: each of at most ANCHOR_LENGTH characters.
-MAX_BROADCAST_ANCHORS = 1_000_000
+# Bits of the table that grams are tested against: 128 kB inside the plan. More
+# anchors only let more grams through to the join.
+TABLE_BITS = 1 << 20
+HELD_KEY = ["_held_1", "_held_2"]
 
 
 def _grams(text: Column, lengths: list[int]) -> Column:
@@ -27,22 +31,38 @@ def _grams(text: Column, lengths: list[int]) -> Column:
     return F.concat(*found) if len(found) > 1 else found[0]
 
 
+def _maybe_anchor(anchors: DataFrame) -> Callable[[Column], Column]:
+    """A test that every anchor passes and few other grams: bits of a constant table, indexed by hash."""
+    at = F.pmod(F.xxhash64("_anchor"), F.lit(TABLE_BITS))
+    filled = anchors.groupBy(F.floor(at / 64).alias("w")).agg(F.collect_set(F.pmod(at, F.lit(64))).alias("bits")).collect()
+    words = [0] * (TABLE_BITS // 64)  # at most so many rows came
+    for row in filled:
+        for bit in row["bits"]:
+            words[row["w"]] |= 1 << bit
+    table = constant([w - (1 << 64) if w >> 63 else w for w in words], "array<bigint>")
+
+    def test(gram: Column) -> Column:
+        spot = F.pmod(F.xxhash64(gram), F.lit(TABLE_BITS))
+        return F.getbit(F.get(table, F.floor(spot / 64).cast("int")), F.pmod(spot, F.lit(64)).cast("int")) == 1
+
+    return test
+
+
 def contains_join(
     texts: DataFrame,
     text: str,
     phrases: DataFrame,
     phrase: str,
-    key: list[str],
     force_shuffle: bool = False,
 ) -> DataFrame:
     """Every pair (row of ``texts``, row of ``phrases``) whose text contains the phrase.
 
-    ``key`` identifies a row of ``texts`` and is unique in it. Null and empty phrases match nothing.
-    Few distinct anchors (checked): they become one array in the plan, texts are
-    probed in place and only rows with a hit go on; no text is shuffled. More:
-    grams that are an anchor are kept, by a broadcast semi-join up to a counted
-    bound and a shuffled one beyond; they carry keys only, and the candidates
-    fetch their text afterwards.
+    Null and empty phrases match nothing; rows of ``texts`` need no key.
+    Few distinct anchors (checked): texts are probed in place against a constant
+    set and only rows with a hit go on; no text is shuffled. More: grams are
+    tested in their row against a constant bit table, and those that pass meet the
+    anchors in a join that carries a hash of the text only; the candidates fetch
+    their texts afterwards.
     """
     anchored = phrases.where(F.col(phrase).isNotNull() & (F.col(phrase) != "")).withColumn(
         "_anchor", F.left(F.col(phrase), F.lit(ANCHOR_LENGTH))
@@ -56,7 +76,7 @@ def contains_join(
         if not anchors:
             return texts.join(anchored.drop("_anchor"), F.lit(False))
         lengths = sorted({len(a) for a in anchors})
-        hits = F.array_intersect(_grams(F.col(text), lengths), constant(anchors, "array<string>"))
+        hits = F.array_distinct(F.filter(_grams(F.col(text), lengths), lambda g: g.isin(anchors)))
         candidates = texts.withColumn("_anchor", F.explode(hits))
         return candidates.join(anchored, "_anchor").where(holds).drop("_anchor")
 
@@ -65,12 +85,11 @@ def contains_join(
     )
     if not lengths:
         return texts.join(anchored.drop("_anchor"), F.lit(False))
-    grams = texts.select(*key, F.explode(F.array_distinct(_grams(F.col(text), lengths))).alias("_anchor"))
     anchors = anchored.select("_anchor").distinct()
-    if anchors.count() <= MAX_BROADCAST_ANCHORS:
-        anchors = F.broadcast(anchors)
-    known = grams.join(anchors, "_anchor", "left_semi")
+    likely = F.array_distinct(F.filter(_grams(F.col(text), lengths), _maybe_anchor(anchors)))
+    keyed = with_text_key(texts, F.col(text), names=HELD_KEY)
+    grams = keyed.select(*HELD_KEY, F.explode(likely).alias("_anchor")).distinct()
     # written, the candidates have a known size: while they are few Spark sends
     # them to the texts and shuffles no text
-    pairs = cut_lineage(known.join(anchored, "_anchor").drop("_anchor"))
-    return null_safe_join(texts, pairs, key).where(holds)
+    pairs = cut_lineage(grams.join(anchored, "_anchor").drop("_anchor"))
+    return keyed.join(pairs, HELD_KEY).where(holds).drop(*HELD_KEY)

@@ -9,7 +9,8 @@ from feedlens.functions.geometry import bounding_box, centroid, in_box, in_ring
 from feedlens.functions.nested import add_locations
 from feedlens.functions.text import fold
 from feedlens.operators.contains import contains_join
-from feedlens.operators.joins import null_safe_left_join
+from feedlens.operators.dedupe import first_per_key
+from feedlens.operators.joins import TEXT_KEY, with_text_key
 from feedlens.operators.sizing import constant, rows_if_small
 from feedlens.operators.tokens import MESSAGE_KEY
 
@@ -74,7 +75,7 @@ def match_place_names(
     if few is not None:
         hits = F.filter(few, lambda n: F.contains(F.col("_text"), n["name"]))
         return texts.select(*key, F.inline(hits))
-    found = contains_join(texts, "_text", names, "name", key, force_shuffle)
+    found = contains_join(texts, "_text", names, "name", force_shuffle)
     return found.select(*key, "field_ix", "loc_id", "name", "lon", "lat")
 
 
@@ -149,15 +150,14 @@ def geolocate(
     gazetteer: DataFrame,
     fields: list[str],
     regions: DataFrame | None = None,
-    key: list[str] | None = None,
+    force_shuffle: bool = False,
 ) -> DataFrame:
     """Append locations to ``info``: by coordinates where a message has them, else by name.
 
     With a small gazetteer and few regions this is a projection. Otherwise the
-    hits of a message, at most one per place and field, are gathered under its
-    key and joined back.
+    hits of a text or point, at most one per place and field, are gathered once
+    for all messages that share it and joined back.
     """
-    key = list(key or MESSAGE_KEY)
     has_point = F.col("info.coordinates").isNotNull()
     names = _inline_names(place_names(gazetteer, fields))
     rings = [] if regions is None else _ring_rows(regions)
@@ -170,7 +170,7 @@ def geolocate(
             ),
         )
 
-    if names is not None and rings is not None:
+    if names is not None and rings is not None and not force_shuffle:
         by_name = F.filter(
             names, lambda n: F.coalesce(F.contains(F.col("_lower"), n["name"]), F.lit(False))
         )
@@ -179,12 +179,16 @@ def geolocate(
         lowered = messages.withColumn("_lower", F.lower("text"))
         return lowered.withColumn("info", add_locations(F.col("info"), found)).drop("_lower")
 
-    hits = match_place_names(messages.where(~has_point), gazetteer, fields, key)
+    # hits depend on the text and the point alone: found once for each, joined back by their hash
+    point = F.col("info.coordinates")
+    keyed = with_text_key(messages, F.col("text"), point["lon"], point["lat"])
+    unique = first_per_key(keyed.select(*TEXT_KEY, "text", "info"), TEXT_KEY, [F.col(TEXT_KEY[0])])
+    hits = match_place_names(unique.where(~has_point), gazetteer, fields, TEXT_KEY, force_shuffle)
     if regions is not None:
-        hits = hits.unionByName(match_regions(messages, regions, key))
-    gathered = hits.groupBy(*key).agg(
+        hits = hits.unionByName(match_regions(unique, regions, TEXT_KEY, force_grid=force_shuffle))
+    gathered = hits.groupBy(*TEXT_KEY).agg(
         F.sort_array(F.collect_list(F.struct("field_ix", "loc_id", "name", "lon", "lat"))).alias("_hits")
     )
-    joined = null_safe_left_join(messages, gathered, key)
+    joined = keyed.join(gathered, TEXT_KEY, "left")
     found = as_locations(F.coalesce("_hits", F.array().cast(HITS)))
-    return joined.withColumn("info", add_locations(F.col("info"), found)).drop("_hits")
+    return joined.withColumn("info", add_locations(F.col("info"), found)).drop("_hits", *TEXT_KEY)

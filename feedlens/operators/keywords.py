@@ -7,9 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.functions.text import WORD, whole_word_pattern
+from feedlens.functions.text import WHITESPACE, WORD, strip, whole_word_pattern
 from feedlens.operators.contains import contains_join
-from feedlens.operators.joins import null_safe_left_join
+from feedlens.operators.joins import TEXT_KEY, with_text_key
 from feedlens.operators.sizing import MAX_INLINE_ROWS, rows_if_small
 
 
@@ -30,7 +30,6 @@ def keyword_expression(text: Column, keywords: list[str]) -> Column:
 def keyword_flag(
     messages: DataFrame,
     keywords: DataFrame | list[str],
-    key: list[str] | None = None,
     column: str = "keyword_flag",
     max_inline: int = MAX_INLINE_ROWS,
 ) -> DataFrame:
@@ -42,16 +41,14 @@ def keyword_flag(
         listed = [row["keyword"] for row in rows]
         return messages.withColumn(column, keyword_expression(F.col("text"), listed))
 
-    key = list(key or ["source", "group", "id_"])
-    lowered = messages.select(*key, F.lower("text").alias("_lower"))
-    table = keywords.select(F.lower("keyword").alias("_keyword"))
+    lowered = with_text_key(messages, F.col("text")).withColumn("_lower", F.lower("text"))
+    table = keywords.select(F.lower("keyword").alias("_keyword")).where(strip(F.col("_keyword")) != "").distinct()
     quoted = F.regexp_replace(F.col("_keyword"), r"([\\.\[\]{}()*+\-?^$|&~#])", r"\\$1")
     as_word = F.concat(F.lit(rf"(^|[^{WORD}])("), quoted, F.lit(rf")($|[^{WORD}])"))
-    several = F.size(F.split(F.trim("_keyword"), r"\s+")) > 1
-    hits = contains_join(lowered, "_lower", table, "_keyword", key).where(
+    several = F.size(F.split(strip(F.col("_keyword")), rf"[{WHITESPACE}]+")) > 1
+    hits = contains_join(lowered.select(*TEXT_KEY, "_lower"), "_lower", table, "_keyword").where(
         several | F.regexp_like(F.col("_lower"), as_word)
     )
-    flagged = hits.select(*key).distinct().withColumn("_hit", F.lit(True))
-    joined = null_safe_left_join(messages, flagged, key)
-    return joined.withColumn(column, F.coalesce("_hit", F.lit(False))).drop("_hit")
-
+    flagged = hits.select(*TEXT_KEY).distinct().withColumn("_hit", F.lit(True))
+    joined = lowered.drop("_lower").join(flagged, TEXT_KEY, "left")
+    return joined.withColumn(column, F.coalesce("_hit", F.lit(False))).drop("_hit", *TEXT_KEY)

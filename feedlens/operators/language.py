@@ -13,12 +13,11 @@ def detect_language(
     messages: DataFrame,
     stopwords: DataFrame,
     column: str = "detected_lang",
-    key: list[str] | None = None,
     max_inline: int = MAX_INLINE_ROWS,
 ) -> DataFrame:
     """Add the language with most stop-word occurrences; the lower code wins a tie, null without any."""
     voted = class_votes(
-        messages, stopwords, "lang", F.col("text"), key=key, max_inline=max_inline
+        messages, stopwords, "lang", F.col("text"), max_inline=max_inline
     )
     ballots = F.transform(
         "_votes", lambda v: F.struct((-v["n"]).alias("n"), v["label"].alias("lang"))

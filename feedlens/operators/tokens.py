@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.functions.text import WORD, listed_words, words
-from feedlens.operators.joins import null_safe_left_join
+from feedlens.functions.text import listed_words, words
+from feedlens.operators.contains import contains_join
+from feedlens.operators.joins import TEXT_KEY, with_text_key
 from feedlens.operators.sizing import MAX_INLINE_ROWS, rows_if_small
 
 MESSAGE_KEY = ["source", "group", "id_"]
@@ -20,56 +21,77 @@ def class_votes(
     text: Column,
     column: str = "_votes",
     distinct: bool = False,
-    key: list[str] | None = None,
     max_inline: int = MAX_INLINE_ROWS,
 ) -> DataFrame:
     """Add ``column``: for each label of ``table(label, word)`` found, its number of hits.
 
-    ``distinct`` counts each word once. ``key`` tells messages apart. A short table is folded into an
-    expression: nothing is shuffled. A long one is joined to the words, and each
-    task reduces a message's hits to one count per label before the exchange.
+    ``distinct`` counts each word once. A short table is folded into an expression:
+    nothing is shuffled. A long one is joined to the distinct words of each text;
+    what comes back is a text's hits only, and the votes are counted in the
+    message's own row, so both ways give the same votes.
     """
-    # a word with a blank or a punctuation mark in it is never met in a text
-    proper = (F.col("word") != "") & ~F.col("word").rlike(f"[^{WORD}]")
-    pairs = table.where(proper).select(F.col(label).alias("label"), "word").distinct()
+    pairs = vote_terms(table, label)
     rows = rows_if_small(pairs, max_inline)
+    with_words = messages.withColumn("_words", F.coalesce(words(text), F.array().cast("array<string>")))
     if rows is not None:
-        every = sorted({row["word"] for row in rows})
         listed: dict[str, list[str]] = {}
         for row in rows:
             listed.setdefault(row["label"], []).append(row["word"])
         counted = []
         for name in sorted(listed):
-            wanted = sorted(listed[name])
+            single = sorted(w for w in listed[name] if " " not in w)
             if distinct:
-                n = F.size(F.array_intersect(F.col("_words"), F.lit(wanted)))
+                n = F.size(F.array_intersect(F.col("_words"), F.lit(single))) if single else F.lit(0)
             else:
-                n = F.size(F.filter("_words", lambda w: w.isin(wanted)))
+                n = F.size(F.filter("_words", lambda w: w.isin(single))) if single else F.lit(0)
+            for phrase in sorted(w for w in listed[name] if " " in w):
+                uses = _uses(F.lit(phrase))
+                n = n + (F.least(uses, F.lit(1)) if distinct else uses)
             counted.append(F.struct(F.lit(name).alias("label"), n.cast("bigint").alias("n")))
         if not counted:
             return messages.withColumn(column, F.array().cast(VOTES))
-        found = listed_words(text, every)
-        return (
-            messages.withColumn("_words", F.coalesce(found, F.array().cast("array<string>")))
-            .withColumn(column, F.filter(F.array(*counted).cast(VOTES), lambda v: v["n"] > 0))
-            .drop("_words")
-        )
-
-    key = list(key or MESSAGE_KEY)
-    hits = (
-        messages.select(*key, F.explode(words(text)).alias("word"))
-        .join(pairs, "word")
-        .select(*key, "label", "word")
-    )
-    votes = (
-        (hits.distinct() if distinct else hits)
-        .groupBy(*key, "label")
-        .agg(F.count("*").alias("n"))
-        .groupBy(*key)
-        .agg(F.collect_list(F.struct("label", "n")).cast(VOTES).alias(column))
-    )
-    joined = null_safe_left_join(messages, votes, key)
-    return joined.withColumn(column, F.coalesce(column, F.array().cast(VOTES)))
+        every = sorted({row["word"] for row in rows})
+        if all(" " not in word for word in every):  # only listed words are counted: keep no others
+            found = F.coalesce(listed_words(text, every), F.array().cast("array<string>"))
+            with_words = messages.withColumn("_words", found)
+        votes = F.filter(F.array(*counted).cast(VOTES), lambda v: v["n"] > 0)
+        return with_words.withColumn(column, votes).drop("_words")
+
+    keyed = with_text_key(with_words, text)
+    single, several = (pairs.where(F.contains(F.col("word"), F.lit(" ")) == c) for c in (False, True))
+    hits = keyed.select(*TEXT_KEY, F.explode(F.array_distinct("_words")).alias("word")).join(single, "word")
+    spaced = keyed.select(*TEXT_KEY, F.concat(F.lit(" "), F.array_join("_words", " "), F.lit(" ")).alias("_spaced"))
+    phrases = several.withColumn("_phrase", F.concat(F.lit(" "), F.col("word"), F.lit(" ")))
+    met = contains_join(spaced, "_spaced", phrases, "_phrase")
+    hits = hits.select(*TEXT_KEY, "label", "word").unionByName(met.select(*TEXT_KEY, "label", "word"))
+    gathered = hits.groupBy(*TEXT_KEY).agg(F.collect_set(F.struct("label", "word")).alias("_hits"))
+    joined = keyed.join(gathered, TEXT_KEY, "left")
+    labels = F.array_sort(F.array_distinct(F.transform("_hits", lambda h: h["label"])))
+
+    def vote(name: Column) -> Column:
+        own = F.filter("_hits", lambda h: h["label"] == name)
+        n = F.size(own) if distinct else F.aggregate(own, F.lit(0), lambda total, h: total + _uses(h["word"]))
+        return F.struct(name.alias("label"), n.cast("bigint").alias("n"))
+
+    votes = F.coalesce(F.transform(labels, vote).cast(VOTES), F.array().cast(VOTES))
+    return joined.withColumn(column, votes).drop("_hits", "_words", *TEXT_KEY)
+
+
+def vote_terms(table: DataFrame, label: str) -> DataFrame:
+    """``label, word``: terms in the form in which texts hold them, their words joined by one blank.
+
+    A term may have several words or marks in it ("clean water", "it's"); one
+    without any letter or digit is left out.
+    """
+    plain = F.array_join(words(F.col("word")), " ")
+    return table.select(F.col(label).alias("label"), plain.alias("word")).where("word <> ''").distinct()
+
+
+def _uses(phrase: Column) -> Column:
+    """How often the words of a phrase stand in ``_words``, one after the other."""
+    parts = F.split(phrase, " ")
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("_words") - F.size(parts) + 1))
+    return F.size(F.filter(starts, lambda i: F.slice("_words", i, F.size(parts)) == parts))
 
 
 def votes_for(votes: Column, label: str) -> Column:

@@ -10,10 +10,9 @@ from pyspark.sql import types as T
 
 from feedlens.functions.nested import add_translation, translation
 from feedlens.operators.engines import BatchTextFn, run_on_distinct_texts
-from feedlens.operators.joins import null_safe_left_join
+from feedlens.operators.joins import TEXT_KEY, with_text_key
 from feedlens.operators.language import detect_language
 from feedlens.operators.sizing import constant, rows_if_small
-from feedlens.operators.tokens import MESSAGE_KEY
 
 MAX_INLINE_LEXICON = 200
 
@@ -29,7 +28,7 @@ def language_pairs(from_lang: str | list[str], to_lang: str | list[str]) -> list
 
 
 def _look_up_words(
-    messages: DataFrame, lexicon: DataFrame, lang: str, to_lang: str, key: list[str], max_inline: int
+    messages: DataFrame, lexicon: DataFrame, lang: str, to_lang: str, max_inline: int
 ) -> DataFrame:
     """Add ``_translated``: blank-separated words replaced where the lexicon has them."""
     table = (
@@ -52,15 +51,20 @@ def _look_up_words(
             out = F.when(F.col(lang) == code, replaced).otherwise(out)
         return messages.withColumn("_translated", out)
 
-    spread = messages.select(*key, F.col(lang).alias("_lang"), F.posexplode(tokens).alias("_pos", "_token"))
-    rebuilt = (
-        spread.withColumn("_word", F.lower("_token"))
-        .join(table, ["_lang", "_word"], "left")
-        .groupBy(*key)
-        .agg(F.sort_array(F.collect_list(F.struct("_pos", F.coalesce("_new", "_token").alias("w")))).alias("_words"))
-        .select(*key, F.array_join(F.col("_words.w"), " ").alias("_translated"))
+    keyed = with_text_key(messages, F.col("text"))
+    hits = (
+        keyed.select(*TEXT_KEY, F.col(lang).alias("_lang"),
+                     F.explode(F.array_distinct(F.transform(tokens, F.lower))).alias("_word"))
+        .join(table, ["_lang", "_word"])
+        .groupBy(*TEXT_KEY, "_lang")
+        .agg(F.map_from_entries(F.collect_set(F.struct("_word", "_new"))).alias("_hits"))
     )
-    return null_safe_left_join(messages, rebuilt, key)
+    joined = keyed.join(hits.withColumnRenamed("_lang", lang), [*TEXT_KEY, lang], "left")
+    replaced = F.array_join(
+        F.transform(tokens, lambda w: F.coalesce(F.try_element_at("_hits", F.lower(w)), w)), " "
+    )
+    out = F.when(F.col("_hits").isNull(), F.col("text")).otherwise(replaced)
+    return joined.withColumn("_translated", out).drop("_hits", *TEXT_KEY)
 
 
 def translate_with_lexicon(
@@ -69,27 +73,25 @@ def translate_with_lexicon(
     from_lang: str | list[str],
     to_lang: str | list[str],
     stopwords: DataFrame | None = None,
-    key: list[str] | None = None,
     max_inline: int = MAX_INLINE_LEXICON,
 ) -> DataFrame:
     """Append word-by-word translations. A short lexicon needs no shuffle; for a
-    long one the words of each message are looked up in a join and put together
-    again under ``key``, which must be unique.
+    long one the distinct words of each text are looked up in a join, and the text
+    is rebuilt in its own row from the hits that come back.
 
     With ``from_lang=""`` the stop-word vote fills the source language, and a
     message of undetected language keeps its text. Null and empty texts pass
     through unchanged.
     """
-    key = list(key or MESSAGE_KEY)
     pairs = language_pairs(from_lang, to_lang)
     if any(f == "" for f, _ in pairs):
         if stopwords is None:
             raise ValueError("language detection needs a stop-word table")
-        messages = detect_language(messages, stopwords, "_detected", key)
+        messages = detect_language(messages, stopwords, "_detected")
     for source, target in pairs:
         lang = F.coalesce("_detected", F.lit("")) if source == "" else F.lit(source)
         looked_up = _look_up_words(
-            messages.withColumn("_from", lang), lexicon, "_from", target, key, max_inline
+            messages.withColumn("_from", lang), lexicon, "_from", target, max_inline
         )
         entry = translation(F.col("_translated"), F.col("_from"), F.lit(target))
         messages = looked_up.withColumn(

@@ -159,7 +159,7 @@ def search_posts(posts: DataFrame, queries: DataFrame, force_shuffle: bool = Fal
     # posts with a hit carry their columns along, so no other post is shuffled
     texts = posts.withColumn("_text", F.lower("text"))
     phrases = queries.select(fold(F.col("query")).alias("_query")).distinct()
-    found = contains_join(texts, "_text", phrases, "_query", ["id"], force_shuffle)
+    found = contains_join(texts, "_text", phrases, "_query", force_shuffle)
     return found.select(*[F.col(f"`{c}`") for c in posts.columns])
 
 

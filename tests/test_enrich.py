@@ -195,9 +195,9 @@ def test_contains_join_equals_brute_force(spark, monkeypatch):
     wanted = {(i, j) for i, t in texts for j, p in phrases if p and p in t}
     t = spark.createDataFrame(texts, "id int, t string")
     p = spark.createDataFrame(phrases, "pid int, p string")
-    for forced, bound in ((False, 0), (True, 1000), (True, 0)):
-        monkeypatch.setattr(contains, "MAX_BROADCAST_ANCHORS", bound)
-        got = [(r.id, r.pid) for r in contains_join(t, "t", p, "p", ["id"], forced).collect()]
+    for forced, bound in ((False, 64), (True, 1 << 20), (True, 64)):
+        monkeypatch.setattr(contains, "TABLE_BITS", bound)
+        got = [(r.id, r.pid) for r in contains_join(t, "t", p, "p", forced).collect()]
         assert len(got) == len(set(got)) and set(got) == wanted
 
 
@@ -209,3 +209,49 @@ def test_stages_run_in_fixed_order(make):
     assert done.first().text == "1234"
     with pytest.raises(ValueError, match="unknown stage"):
         Pipeline(store=None, stages={"polish": mark("x")})
+
+
+def test_long_tables_give_the_same_as_short_ones_on_equal_keys(spark, make):
+    texts = ["a und b", "c und d", "", None, "the und water pipe clean water clean water", "THE it's fine", "a und b"]
+    rows = make(*({"id_": None if i % 2 else "same", "group": None, "text": t} for i, t in enumerate(texts)))
+    stop = spark.createDataFrame([("de", "und"), ("en", "the"), ("en", "it's")], "lang string, word string")
+    terms = spark.createDataFrame(
+        [("w", "clean water"), ("w", "und"), ("v", "It's"), ("v", "water pipe"), ("v", "?")], "label string, term string")
+    words = spark.createDataFrame([("de", "en", "und", "and"), ("de", "en", "c", "see")],
+                                  "from_lang string, to_lang string, word string, translation string")
+    keys = spark.createDataFrame([("water pipe",), ("und",), (" ",), ("it's fine",)], "keyword string")
+    places = spark.createDataFrame([(1, "b", 1.0, 2.0), (2, "water", 3.0, 4.0)], "loc_id int, name string, lon double, lat double")
+
+    def collected(df, *columns):
+        return sorted(map(repr, df.select("text", *columns).collect()))
+
+    from feedlens.operators.keywords import keyword_flag
+    from feedlens.operators.language import detect_language
+
+    for short, long, columns in (
+        (*(detect_language(rows, stop, max_inline=n) for n in (500, 0)), ["detected_lang"]),
+        (*(classify.classify_labels(rows, terms, ["w", "v"], max_inline=n) for n in (500, 0)), ["classifications"]),
+        (*(translate.translate_with_lexicon(rows, words, "de", "en", max_inline=n) for n in (500, 0)), ["translations"]),
+        (*(keyword_flag(rows, keys, max_inline=n) for n in (500, 0)), ["keyword_flag"]),
+        (*(geo.geolocate(rows, places, ["name"], force_shuffle=f) for f in (False, True)), ["info.locations"]),
+    ):
+        assert collected(short, *columns) == collected(long, *columns)
+    scores = classify.classify_labels(rows.where("text like '%pipe%'"), terms, ["w", "v"]).first()["classifications"]
+    assert [c["score"] for c in scores] == [1.0, 0.5]
+
+
+def test_a_bad_text_fails_alone(make):
+    import pandas as pd
+
+    def setup(source, target):
+        def run(texts: pd.Series) -> pd.DataFrame:
+            if (texts == "bad").any():
+                raise ValueError("refused")
+            return pd.DataFrame({"text": texts.str.upper()})
+
+        return run
+
+    rows = make(*({"id_": str(i), "text": t} for i, t in enumerate([*map(str, range(40)), "bad", "", "bad"])))
+    got = translate.translate_with_engine(rows, setup, "de", "en", tries=2, pause=0.0, failed="failed").collect()
+    assert {r.text for r in got if r.failed} == {"bad"} and sum(r.failed for r in got) == 2
+    assert all(r.translations[0].text == r.text.upper() for r in got if r.text and not r.failed)

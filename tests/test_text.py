@@ -108,11 +108,11 @@ def test_language_vote_ties_and_silence(make, spark):
         assert {r.id_: r.detected_lang for r in got.collect()} == {"0": "en", "1": "es", "2": None, "3": None}
 
 
-def test_class_votes_ignore_impossible_words(make, spark):
+def test_class_votes_count_phrases_and_ignore_empty_terms(make, spark):
     table = spark.createDataFrame([("x", "a b"), ("x", ""), ("x", "ok")], "label string, word string")
     for limit in (10, 0):
         got = tokens.class_votes(make({"text": "a b ok ok"}), table, "label", F.col("text"), max_inline=limit)
-        assert got.select(tokens.votes_for(F.col("_votes"), "x")).first()[0] == 2
+        assert got.select(tokens.votes_for(F.col("_votes"), "x")).first()[0] == 3
 
 
 def test_word_frequency(make, spark):
