@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.functions.geometry import bounding_box, centroid, in_box, in_ring
+from feedlens.functions.geometry import bounding_box, in_box, in_rings, rings_centroid
 from feedlens.functions.nested import add_locations
 from feedlens.functions.text import fold
 from feedlens.operators.contains import contains_join
@@ -17,11 +17,12 @@ from feedlens.operators.tokens import MESSAGE_KEY
 MAX_INLINE_NAMES = 200
 MAX_INLINE_REGIONS = 50
 MAX_INLINE_POINTS = 2_000
-CELL_DEGREES = 5.0
+FINEST_LEVEL = -7  # cells of 1/128 degree for the smallest regions
 
 HIT = "field_ix:int,loc_id:int,name:string,lon:double,lat:double"
 HITS = f"array<struct<{HIT}>>"
-RINGS = "array<struct<region_id:int,name:string,ring:array<struct<x:double,y:double>>,box:struct<x0:double,y0:double,x1:double,y1:double>>>"
+NAMES = "array<struct<field_ix:int,name:string>>"
+SHAPES = f"array<struct<loc_id:int,names:{NAMES},rings:array<array<struct<x:double,y:double>>>,box:struct<x0:double,y0:double,x1:double,y1:double>>>"
 
 
 def place_names(gazetteer: DataFrame, fields: list[str]) -> DataFrame:
@@ -36,7 +37,8 @@ def place_names(gazetteer: DataFrame, fields: list[str]) -> DataFrame:
         raise ValueError(f"no name field in the gazetteer: {', '.join(absent)}")
     lon, lat = F.col("lon"), F.col("lat")
     if "lon" not in gazetteer.columns:
-        lon, lat = centroid(F.col("ring"))["x"], centroid(F.col("ring"))["y"]
+        middle = rings_centroid(_rings(gazetteer))
+        lon, lat = middle["x"], middle["y"]
     names = F.array(
         *[F.struct(F.lit(i).alias("field_ix"), fold(F.col(f)).alias("name")) for i, f in enumerate(fields)]
     )
@@ -79,70 +81,99 @@ def match_place_names(
     return found.select(*key, "field_ix", "loc_id", "name", "lon", "lat")
 
 
-def _ring_rows(regions: DataFrame) -> list[dict] | None:
+def _rings(regions: DataFrame) -> Column:
+    """The rings of a region; one given as a single ring has no parts or holes."""
+    return F.col("rings") if "rings" in regions.columns else F.array("ring")
+
+
+def _shapes(regions: DataFrame, fields: list[str]) -> DataFrame:
+    """``loc_id, names, rings, box`` of every region with a shape; one name per field that is not null."""
+    identity = "loc_id" if "loc_id" in regions.columns else "region_id"
+    known = [f for f in fields if f in regions.columns]
+    if not known:
+        raise ValueError(f"the regions have none of the name fields {', '.join(fields)}")
+    names = F.array(*[F.struct(F.lit(i).alias("field_ix"), F.col(f).alias("name")) for i, f in enumerate(known)])
+    shaped = regions.select(
+        F.col(identity).cast("int").alias("loc_id"),
+        F.filter(names, lambda n: n["name"].isNotNull()).alias("names"),
+        _rings(regions).alias("rings"),
+    )
+    return shaped.where(F.size(F.flatten("rings")) > 0).withColumn("box", bounding_box(F.flatten("rings")))
+
+
+def _few_shapes(shapes: DataFrame) -> list[dict] | None:
     """The regions as plain rows, when there are few and their rings are short."""
-    points = regions.limit(MAX_INLINE_REGIONS + 1).agg(F.count("*"), F.sum(F.size("ring"))).first()
+    points = shapes.limit(MAX_INLINE_REGIONS + 1).agg(F.count("*"), F.sum(F.size(F.flatten("rings")))).first()
     if points[0] > MAX_INLINE_REGIONS or (points[1] or 0) > MAX_INLINE_POINTS:
         return None
-    boxed = regions.select(F.col("region_id").cast("int"), "name", "ring", bounding_box(F.col("ring")).alias("box"))
-    rows = [r.asDict(recursive=True) for r in boxed.limit(MAX_INLINE_REGIONS).collect()]
-    return sorted(rows, key=lambda r: r["region_id"])
+    rows = [r.asDict(recursive=True) for r in shapes.limit(MAX_INLINE_REGIONS).collect()]
+    return sorted(rows, key=lambda r: r["loc_id"])
 
 
-def _region_hits(rings: list[dict], lon: Column, lat: Column) -> Column:
-    """Locations at the point itself, one per region around it."""
+def _region_hits(shapes: list[dict], lon: Column, lat: Column) -> Column:
+    """Locations at the point itself, one per name of each region around it."""
     inside = F.filter(
-        constant(rings, RINGS),
-        lambda r: in_box(lon, lat, r["box"]) & in_ring(lon, lat, r["ring"]),
-    )
-    return F.transform(
-        inside,
-        lambda r: F.struct(
-            F.lit(0).alias("field_ix"),
-            r["region_id"].alias("loc_id"),
-            r["name"].alias("name"),
-            lon.alias("lon"),
-            lat.alias("lat"),
-        ),
+        constant(shapes, SHAPES),
+        lambda r: in_box(lon, lat, r["box"]) & in_rings(lon, lat, r["rings"]),
     )
 
+    def locations(r: Column) -> Column:
+        return F.transform(r["names"], lambda n: F.struct(
+            n["field_ix"].alias("field_ix"), r["loc_id"].alias("loc_id"), n["name"].alias("name"),
+            lon.alias("lon"), lat.alias("lat"),
+        ))
+
+    return F.flatten(F.transform(inside, locations))
+
 
 def match_regions(
     messages: DataFrame,
     regions: DataFrame,
     key: list[str] | None = None,
-    cell: float = CELL_DEGREES,
     force_grid: bool = False,
+    fields: list[str] | None = None,
 ) -> DataFrame:
-    """``(key…, field_ix, loc_id, name, lon, lat)``: every region around the message's point.
-
-    A few short rings are tested in place. Otherwise each region is listed under
-    the grid cells its bounding box touches and each point under its one cell:
-    an equi-join on the cell, verified by ray casting. A crowded cell is split
-    by the adaptive skew join; pairs cannot repeat, so nothing is de-duplicated.
+    """``(key…, field_ix, loc_id, name, lon, lat)``: every region around the message's point, once per name field.
+
+    ``regions`` has ``loc_id`` (or ``region_id``), the name ``fields`` (default
+    ``name``) and ``rings`` (or one ``ring``), as ``read_features`` gives them. A
+    few short regions are tested in place. Otherwise each region is listed under
+    the at most four cells of a grid as coarse as its bounding box, and each point
+    under its cell of every grid in use: an equi-join on small rows. Candidates
+    whose box holds the point fetch the rings, once per region, and are verified
+    by ray casting. Pairs cannot repeat, so nothing is de-duplicated.
     """
     key = list(key or MESSAGE_KEY)
+    shapes = _shapes(regions, fields or ["name"])
     points = messages.where(F.col("info.coordinates").isNotNull()).select(
         *key, F.col("info.coordinates.lon").alias("lon"), F.col("info.coordinates.lat").alias("lat")
     )
-    few = None if force_grid else _ring_rows(regions)
+    few = None if force_grid else _few_shapes(shapes)
     if few is not None:
         return points.select(*key, F.inline(_region_hits(few, F.col("lon"), F.col("lat"))))
 
     def cell_of(value: Column) -> Column:
-        return F.floor(value / F.lit(cell)).cast("int")
+        return F.floor(value / F.pow(F.lit(2.0), F.col("_level"))).cast("int")
 
+    extent = F.greatest(F.col("box.x1") - F.col("box.x0"), F.col("box.y1") - F.col("box.y0"))
+    level = F.greatest(F.coalesce(F.ceil(F.log2(F.when(extent > 0, extent))), F.lit(FINEST_LEVEL)), F.lit(FINEST_LEVEL))
+    shapes = shapes.withColumn("_shape", F.xxhash64("loc_id", "rings")).withColumn("_level", level.cast("int"))
     covered = (
-        regions.select(F.col("region_id").cast("int").alias("loc_id"), "name", "ring", bounding_box(F.col("ring")).alias("box"))
+        shapes.select("_shape", "box", "_level")
         .withColumn("_cx", F.explode(F.sequence(cell_of(F.col("box.x0")), cell_of(F.col("box.x1")))))
         .withColumn("_cy", F.explode(F.sequence(cell_of(F.col("box.y0")), cell_of(F.col("box.y1")))))
+        .distinct()
     )
-    placed = points.withColumn("_cx", cell_of(F.col("lon"))).withColumn("_cy", cell_of(F.col("lat")))
+    levels = [row["_level"] for row in shapes.select("_level").distinct().collect()]  # a score at most: powers of two
+    placed = points.withColumn("_level", F.explode(F.array(*map(F.lit, levels)) if levels else F.array().cast("array<int>")))
+    placed = placed.withColumn("_cx", cell_of(F.col("lon"))).withColumn("_cy", cell_of(F.col("lat")))
     lon, lat = F.col("lon"), F.col("lat")
-    inside = placed.join(covered, ["_cx", "_cy"]).where(
-        in_box(lon, lat, F.col("box")) & in_ring(lon, lat, F.col("ring"))
-    )
-    return inside.select(*key, F.lit(0).alias("field_ix"), "loc_id", "name", "lon", "lat")
+    candidates = placed.join(covered, ["_level", "_cx", "_cy"]).where(in_box(lon, lat, F.col("box")))
+    inside = candidates.select(*key, "lon", "lat", "_shape").join(
+        shapes.select("_shape", "loc_id", "names", "rings"), "_shape"
+    ).where(in_rings(lon, lat, F.col("rings")))
+    named = inside.select(*key, F.explode("names").alias("n"), "loc_id", "lon", "lat")
+    return named.select(*key, "n.field_ix", "loc_id", "n.name", "lon", "lat")
 
 
 def geolocate(
@@ -151,6 +182,7 @@ def geolocate(
     fields: list[str],
     regions: DataFrame | None = None,
     force_shuffle: bool = False,
+    region_fields: list[str] | None = None,
 ) -> DataFrame:
     """Append locations to ``info``: by coordinates where a message has them, else by name.
 
@@ -160,7 +192,7 @@ def geolocate(
     """
     has_point = F.col("info.coordinates").isNotNull()
     names = _inline_names(place_names(gazetteer, fields))
-    rings = [] if regions is None else _ring_rows(regions)
+    rings = [] if regions is None else _few_shapes(_shapes(regions, region_fields or ["name"]))
 
     def as_locations(hits: Column) -> Column:
         return F.transform(
@@ -185,7 +217,7 @@ def geolocate(
     unique = first_per_key(keyed.select(*TEXT_KEY, "text", "info"), TEXT_KEY, [F.col(TEXT_KEY[0])])
     hits = match_place_names(unique.where(~has_point), gazetteer, fields, TEXT_KEY, force_shuffle)
     if regions is not None:
-        hits = hits.unionByName(match_regions(unique, regions, TEXT_KEY, force_grid=force_shuffle))
+        hits = hits.unionByName(match_regions(unique, regions, TEXT_KEY, force_shuffle, region_fields))
     gathered = hits.groupBy(*TEXT_KEY).agg(
         F.sort_array(F.collect_list(F.struct("field_ix", "loc_id", "name", "lon", "lat"))).alias("_hits")
     )

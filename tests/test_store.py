@@ -159,10 +159,41 @@ def test_gazetteer_features(spark, tmp_path):
     ]
     path.write_text("\n".join(json.dumps(f) for f in features))
     got = gazetteer.read_features(spark, str(path), ["name", "absent"])
-    assert got.columns == ["loc_id", "name", "lon", "lat", "ring"]
+    assert got.columns == ["loc_id", "name", "lon", "lat", "rings"]
     rows = {r["name"]: r for r in got.collect()}
-    assert (rows["kyiv"].lon, rows["kyiv"].lat, rows["kyiv"].ring) == (30.5, 50.4, None)
-    assert (round(rows["box"].lon, 6), round(rows["box"].lat, 6), len(rows["box"].ring)) == (2.0, 1.0, 4)
+    assert (rows["kyiv"].lon, rows["kyiv"].lat, rows["kyiv"].rings) == (30.5, 50.4, None)
+    assert (round(rows["box"].lon, 6), round(rows["box"].lat, 6), len(rows["box"].rings[0])) == (2.0, 1.0, 4)
+
+
+def test_feature_collections_with_holes_and_parts(spark, make, tmp_path):
+    from feedlens.operators import geo
+
+    def square(x, y, size, clockwise=False):
+        ring = [[x, y], [x + size, y], [x + size, y + size], [x, y + size], [x, y]]
+        return ring[::-1] if clockwise else ring
+
+    shapes = [
+        ("Ring", "Anillo", {"type": "Polygon", "coordinates": [square(0, 0, 10, True), square(4, 4, 2)]}),
+        ("Isles", None, {"type": "MultiPolygon", "coordinates": [[square(20, 0, 1)], [square(30, 0, 1), square(30.25, 0.25, 0.5)]]}),
+        ("Dot", "Punto", {"type": "Point", "coordinates": [5, 5]}),
+        ("Line", None, {"type": "LineString", "coordinates": [[0, 0], [9, 9]]}),
+    ]
+    collection = {"type": "FeatureCollection", "features": [
+        {"type": "Feature", "properties": {"name": n, "name_es": e}, "geometry": g} for n, e, g in shapes]}
+    points = [(1.0, 1.0), (5.0, 5.0), (20.5, 0.5), (30.5, 0.5), (30.1, 0.1), (25.0, 0.5)]
+    messages = make(*({"id_": str(i), "lon": x, "lat": y} for i, (x, y) in enumerate(points)))
+    want = {("0", 0, "ring"), ("0", 1, "anillo"), ("2", 0, "isles"), ("4", 0, "isles")}
+    for name, indent in (("one.json", None), ("many.json", 1)):
+        (tmp_path / name).write_text(json.dumps(collection, indent=indent))
+        places = gazetteer.read_features(spark, str(tmp_path / name), ["name", "name_es"], multi_line=indent is not None)
+        middle = {r["name"]: (r.lon, r.lat) for r in places.collect()}
+        assert middle["ring"] == pytest.approx((5.0, 5.0)) and middle["dot"] == (5.0, 5.0) and middle["line"] == (None, None)
+        assert middle["isles"] == pytest.approx(((20.5 * 1 + 30.5 * 0.75) / 1.75, 0.5))
+        for forced in (False, True):
+            got = geo.match_regions(messages, places, force_grid=forced, fields=["name", "name_es"]).collect()
+            assert {(r.id_, r.field_ix, r.name) for r in got} == want and len(got) == len(want)
+    named = geo.match_place_names(make({"text": "the isles"}), places, ["name"]).collect()
+    assert [r.name for r in named] == ["isles"]
 
 
 def test_read_labels(spark, tmp_path):
