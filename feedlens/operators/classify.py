@@ -21,6 +21,7 @@ from feedlens.operators.engines import run_on_distinct_texts
 from feedlens.operators.sizing import MAX_INLINE_ROWS
 from feedlens.operators.tokens import class_votes, vote_terms, votes_for
 from feedlens.schema import CLASSIFICATION
+from feedlens.session import cut_lineage
 
 NO_CLASSIFICATIONS = "array<struct<topic:string,score:double,agent:string>>"
 POSITIVE, NEGATIVE = "POSITIVE", "NEGATIVE"
@@ -123,7 +124,8 @@ def centroid_scores(vectors: DataFrame, labels: list[int], vector: str = "embedd
 
 
 def fit_topics(labelled: DataFrame, features: int = 1 << 14, text: str = "text", label: str = "label") -> PipelineModel:
-    """A bag-of-words logistic model over ``(text, label index)`` rows."""
+    """A bag-of-words logistic model over ``(text, label index)`` rows, which are computed once."""
+    labelled = cut_lineage(labelled.select(text, label))
     stages = [
         RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=r"[^\p{L}\p{N}_]+"),
         HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=features),

@@ -18,7 +18,6 @@ from feedlens.operators.numbering import number_rows
 from feedlens.schema import ISO_FORMAT, info_struct, parse_datetime
 
 RECORD_KEY = ["workspace", "dataset", "external_id"]
-MAX_REVIEW_RECORDS = 1_000_000
 
 
 def review_export(
@@ -72,11 +71,11 @@ def submitted_only(with_answers: DataFrame) -> DataFrame:
     return with_answers.where(F.col("status").isNotNull() & (F.col("status") != "discarded"))
 
 
-def first_records(records: DataFrame, limit: int = MAX_REVIEW_RECORDS) -> DataFrame:
+def first_records(records: DataFrame, limit: int) -> DataFrame:
     """The first ``limit`` records of each data set, by number.
 
     The rows are ranked where they lie; a top-n operator would gather all of
-    them, up to a million texts, in one task.
+    them in one task.
     """
     order = [F.col("metadata.number").asc(), F.col("external_id").asc()]
     ranked = number_rows(records, ["workspace", "dataset"], order, "_nth")

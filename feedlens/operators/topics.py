@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.session import lookup_table
+from feedlens.session import cut_lineage, lookup_table
 
 
 def topic_vocabulary(messages: DataFrame, fallback: list[str] | None = None) -> DataFrame:
@@ -18,12 +18,13 @@ def topic_vocabulary(messages: DataFrame, fallback: list[str] | None = None) ->
         .groupBy("topic")
         .agg(F.count("*").alias("messages"))
     )
+    used = cut_lineage(used)  # few rows; the classification behind them is not evaluated again
     spark = messages.sparkSession
     if fallback:
         spare = lookup_table(spark, [(label,) for label in fallback], "topic string")
         spare = spare.select("topic", F.lit(0).cast("bigint").alias("messages"))
         return used.unionByName(spare.where(~used.exists()))
-    reason = "no classifications found in messages, a label list must be specified"
+    reason = "the messages have no topics: give fallback labels"
     alarm = spark.range(1).where(~used.exists()).select(
         F.raise_error(F.lit(reason)).cast("string").alias("topic"), F.lit(0).cast("bigint").alias("messages")
     )

@@ -457,6 +457,16 @@ def classify_trained(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _exploded_classifications(classify.classify_trained(tt.documents(spark, sf_dir, heavy=True), model, ["bad", "good"]))
 
 
+@query
+def classify_trained_form(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds for any trained model: one entry per class, in index order with its label, scores that sum to 1."""
+    rows = classify_trained(spark, sf_dir)
+    return rows.groupBy("id_").agg(
+        F.count("*").alias("entries"), F.round(F.sum("score"), 3).alias("total"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ix", "topic"))), lambda e: e["topic"]), ",").alias("topics"),
+    )
+
+
 @query
 def top_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ties are frequent here: several labels often have all their terms in a text."""
@@ -557,10 +567,12 @@ def anonymize_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def anonymize_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = anon.anonymize(_translate(tt.documents(spark, sf_dir, heavy=True).where("country <> 'GBR'")), "en")
-    untouched = anon.anonymize(tt.documents(spark, sf_dir, heavy=True).where("country = 'GBR'"), "en")
-    both = done.unionByName(untouched)
-    return both.select("id_", "text", nested.first_translation(F.col("translations"), "text").alias("translated"))
+    """English messages have no translation and are redacted themselves, the others in their translation."""
+    docs = _translate(tt.documents(spark, sf_dir, heavy=True))
+    english = F.col("country").eqNullSafe(F.lit("GBR"))
+    none = F.filter("translations", lambda t: F.lit(False))
+    docs = docs.withColumn("translations", F.when(english, none).otherwise(F.col("translations")))
+    return anon.anonymize(docs, "en").select("id_", "text", nested.first_translation(F.col("translations"), "text").alias("translated"))
 
 
 # --- chain and review ----------------------------------------------------------------
@@ -638,6 +650,13 @@ def review_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review.agreement(_records(spark, sf_dir), tt.review_answers(spark, sf_dir))
 
 
+@query
+def first_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five records of each data set, by number."""
+    kept = review.first_records(_records(spark, sf_dir), limit=5)
+    return kept.select("workspace", "dataset", "external_id", F.col("metadata.number").cast("bigint").alias("number"))
+
+
 # --- streams -----------------------------------------------------------------------
 
 

@@ -57,6 +57,7 @@ PAGES = f"""pg AS (
          regexp_extract(url, '^https?://([^/?#]+)', 1) AS channel,
          regexp_extract(html, '<title>([^<]*)</title>', 1) || ' ' || url AS text
   FROM pages)"""
+PAGE_BODIES = PAGES.replace("|| url AS text", "|| url || ' ' || regexp_replace(html, '<[^>]*>', ' ', 'g') AS text")
 RAW = f"""rawc AS (
   SELECT c.conv_id * 1000 + c.turn AS id, {EPOCH} + to_hours(c.conv_id % {tt.HOURS}) + to_minutes(c.turn) AS date,
          c.text AS message, 'conv_' || c.conv_id AS channel, c.turn % 2 = 0 AS top,
@@ -351,7 +352,7 @@ _oracle(
         FROM docs""",
     DOCS,
 )
-_oracle("clean_text", f"SELECT source, id_, {_clean('text')} AS cleaned FROM both_", DOCS, PAGES, _BOTH)
+_oracle("clean_text", f"SELECT source, id_, {_clean('text')} AS cleaned FROM both_", DOCS, PAGE_BODIES, _BOTH)
 _oracle(
     "detect_language", "SELECT id_, detected_lang FROM docs LEFT JOIN detected USING (id_)", DOCS, *LANGUAGE
 )
@@ -375,6 +376,11 @@ _oracle(
     "SELECT id_, CAST(0 AS BIGINT) AS ix, 'xx' AS from_lang, 'en' AS to_lang, reverse(text) AS text FROM docs",
     DOCS,
 )
+_oracle(
+    "classify_trained_form",
+    """SELECT CAST(doc_id AS VARCHAR) AS id_, CAST(2 AS BIGINT) AS entries, CAST(1 AS DOUBLE) AS total, 'bad,good' AS topics
+       FROM documents WHERE text IS NOT NULL""",
+)
 _oracle(
     "translate_udf_failures",
     """SELECT id_, CASE WHEN length(text) % 97 = 0 THEN 1 ELSE 0 END AS failed,
@@ -486,7 +492,7 @@ _oracle(
 
 # anonymisation --------------------------------------------------------------------------------------
 
-_oracle("anonymize_text", f"SELECT source, id_, {_redact('text')} AS text FROM both_", DOCS, PAGES, _BOTH)
+_oracle("anonymize_text", f"SELECT source, id_, {_redact('text')} AS text FROM both_", DOCS, PAGE_BODIES, _BOTH)
 _oracle(
     "anonymize_counts",
     """SELECT kind, CAST(sum(n) AS BIGINT) AS matches, count(*) FILTER (n > 0) AS messages FROM (
@@ -550,6 +556,12 @@ _oracle(
              FROM records LEFT JOIN answers USING (external_id))""",
     *_REVIEW, ANSWERS,
 )
+_oracle(
+    "first_records",
+    """SELECT workspace, dataset, external_id, number FROM records
+       QUALIFY row_number() OVER (PARTITION BY workspace, dataset ORDER BY number) <= 5""",
+    *_REVIEW,
+)
 _oracle(
     "review_only_submitted",
     """SELECT external_id AS id_, country, len(topics) AS human_labels

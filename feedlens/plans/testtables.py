@@ -167,9 +167,10 @@ def _lat() -> Column:
 
 
 def pages(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
-    """``pages`` as messages: title and address; no country where the language is unknown."""
+    """``pages`` as messages: title and address, with ``heavy`` the body, too; no country where the language is unknown."""
     pg = texts(spark, sf_dir, "pages", "page_id") if heavy else table(spark, sf_dir, "pages")
     title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
+    body = [F.lit(" "), F.regexp_replace("html", "<[^>]*>", " ")] if heavy else []
     lang = F.regexp_extract("url", r"^https?://[^/]+/(en|de|fr)/", 1)
     return to_messages(
         pg.select(
@@ -179,7 +180,7 @@ def pages(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
             _country_of(lang).alias("country"),
             F.lit("pages").alias("source"),
             F.regexp_extract("url", r"^https?://([^/?#]+)", 1).alias("group"),
-            F.concat(title, F.lit(" "), F.col("url")).alias("text"),
+            F.concat(title, F.lit(" "), F.col("url"), *body).alias("text"),
         )
     )
 
