@@ -54,35 +54,30 @@ def last_version(stored: DataFrame, incoming: DataFrame, key: list[str], version
     return _one_per_key(both, list(key), order).drop("_incoming")
 
 
-def _grouped_with_stored(incoming: DataFrame, stored: DataFrame, key: list[str]) -> DataFrame:
-    """One row per key of the union: its size, whether it is stored, and one incoming row."""
-    row = F.struct(*[F.col(f"`{c}`") for c in incoming.columns])
-    # which of several equal-keyed copies stays is fixed by their comparable columns
-    comparable = [F.col(f"`{c}`") for c, kind in incoming.dtypes if "map<" not in kind]
-    fresh = incoming.select(
-        *key, row.alias("_row"), F.struct(*comparable).alias("_order"), F.lit(0).alias("_stored")
-    )
-    known = stored.select(*key, F.lit(1).alias("_stored"))
-    return (
-        fresh.unionByName(known, allowMissingColumns=True)
-        .groupBy(*key)
-        .agg(
-            F.count("*").alias("_n"),
-            F.max("_stored").alias("_stored"),
-            F.min_by("_row", "_order").alias("_row"),
-        )
-    )
+_KEY_HASH = ["_key_1", "_key_2"]
+
 
+def _with_key_hash(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Adds two 64-bit hashes of the key, in which a null has its place: what equality is tested by.
+
+    Of stored rows nothing else is exchanged, of incoming ones the row itself once.
+    """
+    parts = [c for name in key for c in (F.col(f"`{name}`").isNull(), F.col(f"`{name}`"))]
+    return rows.withColumns(dict(zip(_KEY_HASH, (F.xxhash64(*parts), F.xxhash64(F.lit("second"), *parts)))))
 
-def _unpack(grouped: DataFrame, like: DataFrame) -> DataFrame:
-    return grouped.select(*[F.col("_row").getField(c).alias(c) for c in like.columns])
+
+def _not_stored(rows: DataFrame, stored: DataFrame, key: list[str]) -> DataFrame:
+    known = _with_key_hash(stored, key).select(*_KEY_HASH)
+    return rows.join(known, _KEY_HASH, "left_anti").drop(*_KEY_HASH)
 
 
 def new_rows(incoming: DataFrame, stored: DataFrame, key: list[str] | None = None) -> DataFrame:
     """Incoming rows whose key is not stored; one row per key. Null keys match each other."""
     key = list(key or STORED_KEY)
-    grouped = _grouped_with_stored(incoming, stored, key).where("_stored = 0")
-    return _unpack(grouped, incoming)
+    # which of several equal-keyed copies stays is fixed by their comparable columns
+    order = [F.col(f"`{c}`") for c, kind in incoming.dtypes if "map<" not in kind]
+    one = _one_per_key(_with_key_hash(incoming, key), _KEY_HASH, order)
+    return _not_stored(one, stored, key).select(*[F.col(f"`{c}`") for c in incoming.columns])
 
 
 def new_rows_strict(incoming: DataFrame, stored: DataFrame, key: list[str] | None = None) -> DataFrame:
@@ -108,8 +103,10 @@ def new_rows_strict(incoming: DataFrame, stored: DataFrame, key: list[str] | Non
         checked = incoming.join(active, pair, "left_semi").select(*incoming.columns)
 
     # the key holds the time: stored rows outside the window meet nothing
-    single = _grouped_with_stored(checked, stored, key).where("_n = 1 and _stored = 0")
-    return unchecked.unionByName(_unpack(single, incoming))
+    keyed = _with_key_hash(checked, key)
+    alone = keyed.groupBy(*_KEY_HASH).agg(F.count("*").alias("_n")).where("_n = 1").select(*_KEY_HASH)
+    single = _not_stored(keyed.join(alone, _KEY_HASH, "left_semi"), stored, key)
+    return unchecked.unionByName(single.select(*[F.col(f"`{c}`") for c in incoming.columns]))
 
 
 def batch_bounds(messages: DataFrame) -> DataFrame:

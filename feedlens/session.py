@@ -82,11 +82,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal out the rows of a scan that cannot use the cluster.
 
     One row group, one zipped file or one multi-line file is read by one task,
-    and per-text work would stay there. A scan with at least two partitions per
-    core, which any large table has, is returned as it is, without a shuffle.
+    and per-text work would stay there. Only a scan that leaves three of four
+    cores idle is shuffled, and never to fewer partitions than it has; any large
+    table is returned as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= 2 * cores:
+    if df.isStreaming or 4 * df.rdd.getNumPartitions() > cores:
         return df
     return df.repartition(cores, *keys)
 

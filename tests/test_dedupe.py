@@ -108,7 +108,7 @@ def test_topic_vocabulary(make):
 def test_topic_vocabulary_without_any_fails(make):
     import pytest
 
-    with pytest.raises(Exception, match="label list"):
+    with pytest.raises(Exception, match="fallback labels"):
         topics.topic_vocabulary(make({})).collect()
 
 
