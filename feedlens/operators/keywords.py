@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions.text import WHITESPACE, WORD, strip, whole_word_pattern
+from feedlens.functions.wordlists import DEFAULT_KEYWORDS
 from feedlens.operators.contains import contains_join
 from feedlens.operators.joins import TEXT_KEY, with_text_key
 from feedlens.operators.sizing import MAX_INLINE_ROWS, rows_if_small
@@ -29,11 +30,16 @@ def keyword_expression(text: Column, keywords: list[str]) -> Column:
 
 def keyword_flag(
     messages: DataFrame,
-    keywords: DataFrame | list[str],
+    keywords: DataFrame | list[str] | None = None,
     column: str = "keyword_flag",
     max_inline: int = MAX_INLINE_ROWS,
 ) -> DataFrame:
-    """Add a boolean column. A short keyword table becomes one pattern; a long one is joined."""
+    """Add a boolean column. A short keyword table becomes one pattern; a long one is joined.
+
+    Without keywords those of ``wordlists.DEFAULT_KEYWORDS`` are looked for.
+    """
+    if keywords is None:
+        keywords = DEFAULT_KEYWORDS
     if isinstance(keywords, list):
         return messages.withColumn(column, keyword_expression(F.col("text"), keywords))
     rows = rows_if_small(keywords.select("keyword"), max_inline)

@@ -255,3 +255,21 @@ def test_a_bad_text_fails_alone(make):
     got = translate.translate_with_engine(rows, setup, "de", "en", tries=2, pause=0.0, failed="failed").collect()
     assert {r.text for r in got if r.failed} == {"bad"} and sum(r.failed for r in got) == 2
     assert all(r.translations[0].text == r.text.upper() for r in got if r.text and not r.failed)
+
+
+def test_names_are_redacted_as_whole_words(make, spark):
+    names = spark.createDataFrame([("Anna",), ("Anna Maria",), ("O.K.",), ("ÉLISE",), ("",), (None,)], "name string")
+    rows = make(*({"id_": str(i), "text": t} for i, t in enumerate(
+        ["ANNA met Annabel and anna maria.", "élise, O.K. or oxks", "", None, "nobody", "ANNA met Annabel and anna maria."])))
+    got = {r.id_: r.text for r in anonymize.redact_names(rows, names).collect()}
+    assert got == {"0": "[name] met Annabel and [name].", "1": "[name], [name] or oxks", "2": "", "3": None,
+                   "4": "nobody", "5": "[name] met Annabel and [name]."}
+
+
+def test_defaults_are_wired(make):
+    from feedlens.operators.keywords import keyword_flag
+    from feedlens.operators.language import detect_language
+
+    rows = make({"id_": "0", "text": "the water is not here"}, {"id_": "1", "text": "das Wasser ist nicht hier"}, {"id_": "2", "text": "IFRC"})
+    assert {r.id_: r.detected_lang for r in detect_language(rows).collect()} == {"0": "en", "1": "de", "2": None}
+    assert {r.id_ for r in keyword_flag(rows).collect() if r.keyword_flag} == {"2"}
