@@ -33,12 +33,16 @@ SPLIT_NEW = "2024-01-11 00:00:00"
 DOC_KEY = ["id_"]
 
 
-def query(fn: Query) -> Query:
+def query(fn: Query | None = None, name: str | None = None):
+    """Registers a query, under its own name or another one."""
+    if fn is None:
+        return functools.partial(query, name=name)
+
     @functools.wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(tune(spark), sf_dir)
 
-    QUERIES[fn.__name__] = run
+    QUERIES[name or fn.__name__] = run
     return run
 
 
@@ -244,15 +248,12 @@ def upsert_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.all().select("id_", "datetime_", "datetime_scraped_", "country", _channel(), "text")
 
 
-@query
+@query(name="message_json")
 def message_json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tt.translated_documents(spark, sf_dir).drop("lang")
     return rows.select("id_", message_json().alias("json"))
 
 
-QUERIES["message_json"] = QUERIES.pop("message_json_rows")
-
-
 @query
 def message_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents against a reload that lost the short ones and was cleaned."""
@@ -318,15 +319,12 @@ def keyword_flag_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flagged.select("id_", "keyword_flag")
 
 
-@query
+@query(name="clean_text")
 def clean_text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = tt.documents(spark, sf_dir, heavy=True).unionByName(tt.pages(spark, sf_dir, heavy=True))
     return both.select("source", "id_", clean_text(F.col("text")).alias("cleaned"))
 
 
-QUERIES["clean_text"] = QUERIES.pop("clean_text_rows")
-
-
 @query
 def detect_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language.detect_language(tt.documents(spark, sf_dir, heavy=True), tt.stopwords(spark))
