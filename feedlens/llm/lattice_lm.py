@@ -85,91 +85,106 @@ def _piece_hashes(pieces: list[bytes]) -> np.ndarray:
     return out
 
 
+def _log_sum(terms: np.ndarray) -> np.ndarray:
+    """Log of the sum of exponentials over the first axis, -inf where all terms are."""
+    top = terms.max(axis=0)
+    top[np.isneginf(top)] = 0
+    with np.errstate(divide="ignore"):
+        return top + np.log(np.exp(terms - top).sum(axis=0))
+
+
 @dataclass
 class Lattice:
-    """Subwords with log scores (natural), and the log score of a word's end."""
+    """Subwords with log scores (natural) in each of several kinds of text, and those of a word's end."""
 
     pieces: list[bytes]
-    scores: np.ndarray
-    end: float
+    scores: np.ndarray  # (pieces, kinds)
+    ends: np.ndarray  # (kinds,)
 
     def __post_init__(self):
         hashes = _piece_hashes(self.pieces)
         self.order = np.argsort(hashes)
         self.hashes = hashes[self.order]
         self.longest = max(map(len, self.pieces))
+        self.padded = np.vstack([self.scores, np.full((1, self.scores.shape[1]), -np.inf)])  # the last for no subword
 
     @classmethod
-    def of_ranks(cls, path: str) -> Lattice:
+    def of_ranks(cls, path: str, n_kinds: int) -> Lattice:
         pieces = subwords(path)
         weight = 1.0 / (np.arange(len(pieces)) + 2.0)
-        return cls(pieces, np.log(0.7 * weight / weight.sum()), float(np.log(0.3)))
+        scores = np.log(0.7 * weight / weight.sum())
+        return cls(pieces, np.repeat(scores[:, None], n_kinds, axis=1), np.full(n_kinds, np.log(0.3)))
 
     def arcs(self, words: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
-        """For words of at most ``width`` bytes: the subword (-1: none) of each length at each start."""
+        """Lengths of words, and the subword (-1: none) of each length at each start, as (starts, words)."""
         width = max(map(len, words))
         length = np.array([len(w) for w in words])
         text = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(len(words), width)
-        values = text.astype(np.uint64) + np.uint64(1)
-        found, h = [], np.zeros((len(words), width), np.uint64)
+        values = np.ascontiguousarray(text.T).astype(np.uint64) + np.uint64(1)
+        found, h = [], np.zeros((width, len(words)), np.uint64)
         for n in range(1, min(self.longest, width) + 1):
-            h = h[:, : width - n + 1] * _BASE + values[:, n - 1:]
+            h = h[: width - n + 1] * _BASE + values[n - 1:]
             at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
             piece = np.where(self.hashes[at] == h, self.order[at], -1)
-            piece[np.arange(width - n + 1)[None, :] + n > length[:, None]] = -1
+            piece[np.arange(width - n + 1)[:, None] + n > length] = -1
             found.append(piece)
         return length, found
 
-    def forward(self, length: np.ndarray, arcs: list[np.ndarray]) -> np.ndarray:
-        """(words, width + 1) log sums over the segmentations of each prefix."""
-        width = arcs[0].shape[1]
-        scores = np.append(self.scores, -np.inf)  # the last for no subword
-        alpha = np.full((len(length), width + 1), -np.inf)
-        alpha[:, 0] = 0
+    def forward(self, length: np.ndarray, arcs: list[np.ndarray], kinds: slice) -> np.ndarray:
+        """(width + 1, words, kinds) log sums over the segmentations of each prefix."""
+        width, scores = arcs[0].shape[0], self.padded[:, kinds]
+        alpha = np.zeros((width + 1, len(length), scores.shape[1]))
         for stop in range(1, width + 1):
-            terms = [
-                alpha[:, stop - n] + scores[arcs[n - 1][:, stop - n]] for n in range(1, min(len(arcs), stop) + 1)
-            ]
-            alpha[:, stop] = np.logaddexp.reduce(terms, axis=0)
+            longest = min(len(arcs), stop)
+            alpha[stop] = _log_sum(np.stack([
+                alpha[stop - n] + scores[arcs[n - 1][stop - n]] for n in range(1, longest + 1)
+            ]))
         return alpha
 
-    def backward(self, length: np.ndarray, arcs: list[np.ndarray]) -> np.ndarray:
-        width = arcs[0].shape[1]
-        scores = np.append(self.scores, -np.inf)
-        beta = np.full((len(length), width + 1), -np.inf)
-        beta[np.arange(len(length)), length] = 0
+    def backward(self, length: np.ndarray, arcs: list[np.ndarray], kinds: slice) -> np.ndarray:
+        """(width + 1, words, kinds) log sums over the segmentations of the rest from each start."""
+        width, scores = arcs[0].shape[0], self.padded[:, kinds]
+        beta = np.full((width + 1, len(length), scores.shape[1]), -np.inf)
+        beta[length, np.arange(len(length))] = 0
         for start in range(width - 1, -1, -1):
-            terms = [
-                beta[:, start + n] + scores[arcs[n - 1][:, start]] for n in range(1, min(len(arcs), width - start) + 1)
-            ]
-            beta[:, start] = np.logaddexp(beta[:, start], np.logaddexp.reduce(terms, axis=0))
+            longest = min(len(arcs), width - start)
+            terms = [beta[start + n] + scores[arcs[n - 1][start]] for n in range(1, longest + 1)]
+            beta[start] = _log_sum(np.stack([beta[start], *terms]))
         return beta
 
     def log_marginals(self, words: list[bytes]) -> np.ndarray:
-        """Log probability (natural) of each word, its end included, over all segmentations."""
-        out = np.zeros(len(words))
+        """(words, kinds) log probabilities (natural), a word's end included, over all segmentations."""
+        out = np.zeros((len(words), len(self.ends)))
         for part in _by_length(words):
             length, arcs = self.arcs([words[i] for i in part])
-            out[part] = self.forward(length, arcs)[np.arange(len(part)), length]
-        return out + self.end - np.log1p(-np.exp(self.end))  # a word is never empty
+            out[part] = self.forward(length, arcs, slice(None))[length, np.arange(len(part))]
+        return out + self.ends - np.log1p(-np.exp(self.ends))  # a word is never empty
 
     def expected(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-        """Expected uses of each subword in ``counts`` occurrences of the words."""
-        out = np.zeros(len(self.pieces) + 1)
-        scores = np.append(self.scores, -np.inf)
+        """(pieces, kinds) expected uses of the subwords in ``counts`` (words, kinds) occurrences of the words."""
+        out = np.zeros((len(self.pieces), len(self.ends)))
         for part in _by_length(words):
             length, arcs = self.arcs([words[i] for i in part])
-            alpha, beta = self.forward(length, arcs), self.backward(length, arcs)
-            total = alpha[np.arange(len(part)), length]
-            for n, piece in enumerate(arcs, 1):
-                row, start = np.nonzero(piece >= 0)
-                kind = piece[row, start]
-                use = alpha[row, start] + scores[kind] + beta[row, start + n] - total[row]
-                out += np.bincount(kind, np.exp(use) * counts[part][row], len(out))
-        return out[:-1]
+            for kind in range(len(self.ends)):
+                rows = np.flatnonzero(counts[part, kind])
+                if len(rows):
+                    some = [a[: length[rows].max(), rows] for a in arcs[: length[rows].max()]]
+                    out[:, kind] += self._uses(length[rows], some, slice(kind, kind + 1), counts[part[rows], kind])
+        return out
+
+    def _uses(self, length: np.ndarray, arcs: list[np.ndarray], kinds: slice, counts: np.ndarray) -> np.ndarray:
+        alpha, beta = (f(length, arcs, kinds)[:, :, 0] for f in (self.forward, self.backward))
+        scores, total = self.padded[:, kinds][:, 0], alpha[length, np.arange(len(length))]
+        uses = np.zeros(len(self.pieces))
+        for n, piece in enumerate(arcs, 1):
+            start, row = np.nonzero(piece >= 0)
+            kind = piece[start, row]
+            use = np.exp(alpha[start, row] + scores[kind] + beta[start + n, row] - total[row]) * counts[row]
+            uses += np.bincount(kind, use, len(uses))
+        return uses
 
 
-def _by_length(words: list[bytes], cells: int = 1 << 17) -> Iterator[np.ndarray]:
+def _by_length(words: list[bytes], cells: int = 1 << 15) -> Iterator[np.ndarray]:
     """Index groups of words of like length, of a bounded number of bytes unless a single word has more."""
     length = np.array([len(w) for w in words])
     order = np.argsort(length, kind="stable")
@@ -258,51 +273,43 @@ class Counts:
         return self.discount * self.distinct / self.words if self.words else 1.0
 
 
-def _re_estimated(words: DataFrame, lattices: list[Lattice], sizes: list[Counts]) -> list[Lattice]:
+def _re_estimated(words: DataFrame, lattice: Lattice, sizes: list[Counts]) -> Lattice:
     """Scores from the expected uses of the subwords in the distinct words of each kind."""
-    sent = send(words.sparkSession, lattices)
+    sent = send(words.sparkSession, lattice)
+    n_kinds = len(sizes)
 
     def expect(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattices = received(sent)
-        totals = [np.zeros(len(x.pieces)) for x in lattices]
+        lattice = received(sent)
+        total = np.zeros(lattice.scores.shape)
         for batch in stream:
-            found = batch.column("word").to_pylist()
-            for k, lattice in enumerate(lattices):
-                rows = np.flatnonzero(batch.column(f"c{k}").to_numpy(zero_copy_only=False))
-                if len(rows):
-                    totals[k] += lattice.expected([found[i] for i in rows], np.ones(len(rows)))
-        for k, total in enumerate(totals):
-            used = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k] * len(used), pa.int32()), pa.array(used), pa.array(total[used])],
-                names=["kind", "piece", "uses"],
-            )
+            seen = [batch.column(f"c{k}").to_numpy(zero_copy_only=False) > 0 for k in range(n_kinds)]
+            total += lattice.expected(batch.column("word").to_pylist(), np.stack(seen, axis=1).astype(float))
+        piece, kind = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(kind, pa.int32()), pa.array(piece), pa.array(total[piece, kind])], names=["kind", "piece", "uses"]
+        )
 
     expected = words.where("c > 0").mapInArrow(expect, "kind int, piece long, uses double")
-    uses = [np.zeros(len(x.pieces)) for x in lattices]
     found = expected.groupBy("kind", "piece").agg(F.sum("uses").alias("uses")).toArrow()  # subwords times kinds
-    for kind, piece, used in zip(*(c.to_numpy() for c in found.columns)):
-        uses[kind][piece] = used
-    out = []
-    for lattice, used, size in zip(lattices, uses, sizes):
-        ends = size.distinct + 1
-        total = used.sum() + SMOOTH * len(used) + ends
-        out.append(Lattice(lattice.pieces, np.log((used + SMOOTH) / total), float(np.log(ends / total))))
-    return out
+    uses = np.zeros(lattice.scores.shape)
+    uses[found.column("piece").to_numpy(), found.column("kind").to_numpy()] = found.column("uses").to_numpy()
+    ends = np.array([size.distinct + 1.0 for size in sizes])
+    total = uses.sum(axis=0) + SMOOTH * len(uses) + ends
+    return Lattice(lattice.pieces, np.log((uses + SMOOTH) / total), np.log(ends / total))
 
 
-def _weighed(words: DataFrame, lattices: list[Lattice], everything: Counts, sizes: list[Counts],
+def _weighed(words: DataFrame, lattice: Lattice, everything: Counts, sizes: list[Counts],
              end_share: float) -> DataFrame:
     """``word, c, s0, s1, ...``: log10 probability of every word in each kind, in whole units."""
 
     def weigh(batch: pa.RecordBatch, model: tuple) -> pa.RecordBatch:
-        lattices, everything, sizes = model
-        found = batch.column("word").to_pylist()
+        lattice, everything, sizes = model
+        spelled_by = lattice.log_marginals(batch.column("word").to_pylist())
         kept = everything.kept(batch.column("c").to_numpy(zero_copy_only=False))
         scores = []
         with np.errstate(divide="ignore"):
-            for k, (lattice, size) in enumerate(zip(lattices, sizes)):
-                spelled = np.log(everything.freed()) + lattice.log_marginals(found)
+            for k, size in enumerate(sizes):
+                spelled = np.log(everything.freed()) + spelled_by[:, k]
                 shared = np.log(size.freed()) + np.logaddexp(np.log(kept), spelled)
                 own = np.log(size.kept(batch.column(f"c{k}").to_numpy(zero_copy_only=False)))
                 log10 = (np.logaddexp(own, shared) + np.log1p(-end_share)) / np.log(10)
@@ -310,8 +317,8 @@ def _weighed(words: DataFrame, lattices: list[Lattice], everything: Counts, size
         return pa.RecordBatch.from_arrays([*batch.columns[:2], *scores],
                                           names=["word", "c", *(f"s{k}" for k in range(len(scores)))])
 
-    columns = ", ".join(f"s{k} long" for k in range(len(lattices)))
-    sent = send(words.sparkSession, (lattices, everything, sizes))
+    columns = ", ".join(f"s{k} long" for k in range(len(sizes)))
+    sent = send(words.sparkSession, (lattice, everything, sizes))
     return cut_lineage(map_batches(words, weigh, f"word binary, c long, {columns}", sent))
 
 
@@ -370,14 +377,14 @@ def score_texts(docs: DataFrame, vocabulary_path: str, modulus: int = 10, remain
 
     words = _word_counts(rows, n_kinds)
     everything, *sizes = Counts.of(words, ["c", *(f"c{k}" for k in range(n_kinds))])
-    lattices = [Lattice.of_ranks(vocabulary_path)] * n_kinds
+    lattice = Lattice.of_ranks(vocabulary_path, n_kinds)
     for _ in range(rounds if everything.words else 0):
-        lattices = _re_estimated(words, lattices, sizes)
+        lattice = _re_estimated(words, lattice, sizes)
     n = everything.words + n_docs
     denominator = n + 0.1 * (everything.distinct + (1 if n_docs else 0) + 1)
     end_share = (n_docs + 0.1) / denominator if n else 0.5
 
-    weighed = _weighed(words, lattices, everything, sizes, end_share)
+    weighed = _weighed(words, lattice, everything, sizes, end_share)
     top = weighed.where("c > 0").orderBy(F.col("c").desc(), "word").limit(head).toArrow()  # bounded by head
     parts = _head_sums(rows, top, n_kinds)
     tail = parts.select("row_no", F.explode("rest").alias("r")).select("row_no", "r.word", "r.times").join(weighed, "word")
