@@ -11,7 +11,6 @@ rows; the result stays the same.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,7 +21,7 @@ BLOCK_BITS = 1 << 16
 BLOCK_BYTES = BLOCK_BITS // 8
 MAX_BYTES = 32 << 20
 BITS_PER_VALUE = 16
-PROBES = 4
+PROBES = 2
 
 
 def plane_bits(n_values: int, max_bytes: int = MAX_BYTES) -> int:
@@ -32,15 +31,11 @@ def plane_bits(n_values: int, max_bytes: int = MAX_BYTES) -> int:
 
 
 def positions(hashes: np.ndarray, bits: int) -> np.ndarray:
-    """(rows, probes) bit positions of a (rows, words) matrix of unsigned hashes.
-
-    A single word per row is stretched by odd multipliers.
-    """
-    if hashes.ndim == 1:
-        odd = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
-        hashes = hashes[:, None] * odd[None, :]
-        hashes ^= hashes >> np.uint64(29)
-    return ((hashes >> np.uint64(7)) & np.uint64(bits - 1)).astype(np.int64)
+    """(probes, rows) bit positions of unsigned 64-bit hashes."""
+    odd = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)[:PROBES]
+    mixed = hashes[None, :] * odd[:, None]
+    mixed ^= mixed >> np.uint64(29)
+    return ((mixed >> np.uint64(7)) & np.uint64(bits - 1)).astype(np.int64)
 
 
 class Planes:
@@ -50,14 +45,20 @@ class Planes:
         self.once = np.zeros(bits // 8, np.uint8)
         self.twice = np.zeros(bits // 8, np.uint8)
 
-    def add(self, spots: np.ndarray) -> None:
-        found, counts = np.unique(spots, return_counts=True)
-        self._set(self.twice, found[(counts > 1) | _get(self.once, found)])
-        self._set(self.once, found)
+    def add(self, hashes: np.ndarray) -> None:
+        """Takes values in: what was taken in before, or comes twice, goes to the second plane as well."""
+        found, counts = np.unique(hashes, return_counts=True)
+        spots = positions(found, self.once.size * 8)
+        again = (counts > 1) | _get(self.once, spots).all(axis=0)
+        self._set(self.twice, spots[:, again].ravel())
+        self._set(self.once, spots.ravel())
 
     @staticmethod
     def _set(plane: np.ndarray, spots: np.ndarray) -> None:
-        np.bitwise_or.at(plane, spots >> 3, np.left_shift(1, spots & 7).astype(np.uint8))
+        np.bitwise_or.at(plane, spots >> 3, _BIT[spots & 7])
+
+
+_BIT = np.left_shift(1, np.arange(8)).astype(np.uint8)
 
 
 def _get(plane: np.ndarray, spots: np.ndarray) -> np.ndarray:
@@ -66,7 +67,7 @@ def _get(plane: np.ndarray, spots: np.ndarray) -> np.ndarray:
 
 def contains(plane: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Whether all bits of each hash are set."""
-    return _get(plane, positions(hashes, plane.size * 8)).all(axis=1)
+    return _get(plane, positions(hashes, plane.size * 8)).all(axis=0)
 
 
 def repeated_plane(df: DataFrame, read: Callable[[pa.RecordBatch], np.ndarray], bits: int) -> np.ndarray:
@@ -77,7 +78,7 @@ def repeated_plane(df: DataFrame, read: Callable[[pa.RecordBatch], np.ndarray],
         for batch in stream:
             if batch.num_rows:
                 planes = planes or Planes(bits)
-                planes.add(positions(read(batch), bits))
+                planes.add(read(batch))
         if planes is not None:
             once, twice = planes.once.reshape(-1, BLOCK_BYTES), planes.twice.reshape(-1, BLOCK_BYTES)
             for block in np.flatnonzero(once.any(axis=1)):
@@ -110,10 +111,20 @@ def repeated_plane(df: DataFrame, read: Callable[[pa.RecordBatch], np.ndarray],
 
 def _row(block: int, once: np.ndarray, twice: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array([block], pa.int32()), *(pa.array([zlib.compress(x.tobytes(), 1)], pa.binary()) for x in (once, twice))],
+        [pa.array([block], pa.int32()), *(pa.array([_packed(x)], pa.binary()) for x in (once, twice))],
         names=["block", "once", "twice"],
     )
 
 
+def _packed(block: np.ndarray) -> bytes:
+    """The positions of a block's bits, two bytes each, or the block itself where that is shorter."""
+    spots = np.flatnonzero(np.unpackbits(block, bitorder="little")).astype("<u2").tobytes()
+    return spots if len(spots) < BLOCK_BYTES else block.tobytes()
+
+
 def _bits(packed: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(packed), np.uint8).copy()
+    if len(packed) == BLOCK_BYTES:
+        return np.frombuffer(packed, np.uint8).copy()
+    block = np.zeros(BLOCK_BITS, np.uint8)
+    block[np.frombuffer(packed, "<u2")] = 1
+    return np.packbits(block, bitorder="little")

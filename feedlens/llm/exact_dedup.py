@@ -30,9 +30,9 @@ def _digest(text: bytes) -> bytes:
     return hashlib.sha256(text.lower()).digest()  # bytes.lower() changes A-Z only
 
 
-def _hash_words(digests: pa.Array) -> np.ndarray:
-    """Digests as rows of four unsigned words."""
-    return np.frombuffer(b"".join(digests.to_pylist()), "<u8").reshape(-1, 4)
+def _hashes(digests: pa.Array) -> np.ndarray:
+    """The first 64 bits of each digest, which the filter goes by."""
+    return np.frombuffer(b"".join(digests.to_pylist()), "<u8").reshape(-1, 4)[:, 0]
 
 
 def text_digests(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
@@ -51,7 +51,7 @@ def text_digests(docs: DataFrame, text: str = "text", id_column: str = "doc_id")
 
 def _repeat_filter(digests: DataFrame, max_bytes: int):
     bits = bloom.plane_bits(digests.count(), max_bytes)
-    plane = bloom.repeated_plane(digests.select("digest"), lambda batch: _hash_words(batch.column(0)), bits)
+    plane = bloom.repeated_plane(digests.select("digest"), lambda batch: _hashes(batch.column(0)), bits)
     return digests.sparkSession.sparkContext.broadcast(plane)
 
 
@@ -62,7 +62,7 @@ def duplicate_groups(docs: DataFrame, text: str = "text", id_column: str = "doc_
     plane = _repeat_filter(digests, max_bytes)
 
     def probe(batch: pa.RecordBatch) -> pa.RecordBatch:
-        hit = bloom.contains(plane.value, _hash_words(batch.column("digest")))
+        hit = bloom.contains(plane.value, _hashes(batch.column("digest")))
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(hit)], names=[*batch.schema.names, "maybe"])
 
     probed = map_batches(digests, probe, with_fields(digests.schema, ("maybe", "boolean")))
@@ -96,7 +96,7 @@ def drop_copies(docs: DataFrame, text: str = "text", id_column: str = "doc_id",
 
     def tag(batch: pa.RecordBatch) -> pa.RecordBatch:
         made = pa.array(map(_digest, utf8(batch, text)), pa.binary())
-        hit = bloom.contains(plane.value, _hash_words(made))
+        hit = bloom.contains(plane.value, _hashes(made))
         return pa.RecordBatch.from_arrays([*batch.columns, made, pa.array(hit)], names=[*batch.schema.names, at, maybe])
 
     tagged = map_batches(docs, tag, with_fields(docs.schema, (at, "binary"), (maybe, "boolean")))

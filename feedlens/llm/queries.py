@@ -72,6 +72,9 @@ def op4_substring_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+ORACLES["op4_substring_fm_index"] = substring_dedup.ORACLE_SQL
+
+
 @query
 def op5_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 3-word shingles, at most 3 bits apart."""

@@ -71,13 +71,21 @@ def windows(words: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, np
     n = max(len(words) - window + 1, 0)
     if not n:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    best, at = hashes[:n].copy(), np.arange(n)
-    for j in range(1, window - anchor + 1):
-        other = hashes[j: j + n]
-        less = other < best
-        best[less] = other[less]
-        at[less] = np.flatnonzero(less) + j
-    return best, at
+    width, best = 1, hashes  # least of ``width`` neighbours, doubled while it fits
+    span = window - anchor + 1
+    while 2 * width <= span:
+        best, width = np.minimum(best[: len(best) - width], best[width:]), 2 * width
+    best = np.minimum(best[:n], best[span - width: span - width + n])
+    at = np.zeros(n, np.int64)
+    for j in range(span - 1, -1, -1):  # the leftmost is set last
+        np.copyto(at, j, where=hashes[j: j + n] == best)
+    return best, at + np.arange(n)
+
+
+def _known(plane: np.ndarray, best: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether each window's anchor is in the filter; neighbours with one anchor are looked up once."""
+    first = np.flatnonzero(np.diff(at, prepend=-1))
+    return np.repeat(bloom.contains(plane, best[first]), np.diff(np.append(first, len(at))))
 
 
 def _each_text(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -102,9 +110,9 @@ def _repeated_windows(rows: DataFrame, window: int, anchor: int, anchors, max_by
     def hashes(batch: pa.RecordBatch) -> np.ndarray:
         plane, out = anchors.value, [np.empty(0, np.uint64)]
         for words in _each_text(batch):
-            best, _ = windows(words, window, anchor)
+            best, at = windows(words, window, anchor)
             if len(best):
-                maybe = bloom.contains(plane, best)
+                maybe = _known(plane, best, at)
                 if maybe.any():
                     out.append(_rolled(words, window)[maybe])
         return np.concatenate(out)
@@ -139,27 +147,27 @@ def _units(rows: DataFrame, window: int, anchor: int, planes) -> DataFrame:
                 best, at = windows(words, window, anchor)
                 if not len(best):
                     continue
-                maybe = bloom.contains(anchors, best)
+                maybe = _known(anchors, best, at)
                 if maybe.any():
                     maybe[maybe] = bloom.contains(repeated, _rolled(words, window)[maybe])
                 if not maybe.any():
                     continue
                 key = np.uint64(xxhash.xxh3_64_intdigest(text)).astype(np.int64).item()
                 packed = words.view(np.uint8).reshape(-1, 8)[:, :_WORD_BYTES]
+                packed, hashes = np.ascontiguousarray(packed).tobytes(), best.view(np.int64)
                 for start, end in _runs(maybe, at):
-                    content = packed[start: end + window].tobytes()
-                    unit = (doc, key, best[start].astype(np.int64).item(), start, end - start + 1)
-                    like = hashlib.blake2b(content, digest_size=16).digest()
-                    held = seen.get(like)
+                    content = packed[start * _WORD_BYTES: (end + window) * _WORD_BYTES]
+                    unit = (doc, key, hashes.item(start), start, end - start + 1)
+                    held = seen.get(content)
                     if held is None:
-                        seen[like] = (*unit, content)
+                        seen[content] = (*unit, content)
                     elif (held[0], held[3]) == (doc, start):  # equally old
                         out.append((*unit, content))
                     elif (held[0], held[3]) < (doc, start):
                         out.append((*unit, None))
                     else:
                         out.append((*held[:5], None))
-                        seen[like] = (*unit, content)
+                        seen[content] = (*unit, content)
             if len(out) > 20_000:
                 yield made(out)
                 out = []
@@ -180,6 +188,18 @@ def _units(rows: DataFrame, window: int, anchor: int, planes) -> DataFrame:
 def _search(units: pa.Table, window: int) -> pa.Table:
     """Intervals of repeated words in the units of one shard."""
     units = units.sort_by([("doc", "ascending"), ("start", "ascending")])
+    # equal units are indexed once, the earliest; all words of the younger ones are repeats
+    index_of: dict[bytes, int] = {}
+    earliest_like = np.array([index_of.setdefault(c, i) for i, c in enumerate(units.column("content").to_pylist())])
+    doc, first = (units.column(c).to_numpy() for c in ("doc", "start"))
+    copies = np.flatnonzero((doc != doc[earliest_like]) | (first != first[earliest_like]))
+    copied = pa.table({
+        "doc": doc[copies], "text_hash": units.column("text_hash").to_numpy()[copies], "begin": first[copies],
+        "end": first[copies] + units.column("n_windows").to_numpy()[copies] + window - 1,
+    })
+    keep = np.ones(len(doc), bool)
+    keep[copies] = False
+    units = units.filter(pa.array(keep))
     contents = units.column("content").to_pylist()
     lengths = np.array([len(c) // _WORD_BYTES for c in contents])
     raw = np.zeros((int(lengths.sum()), 8), np.uint8)
@@ -207,10 +227,11 @@ def _search(units: pa.Table, window: int) -> pa.Table:
     breaks = np.flatnonzero((np.diff(again) != 1) | (np.diff(unit_of[again]) != 0)) + 1
     heads, tails = (again[np.concatenate(x).astype(np.int64)] for x in (([0], breaks), (breaks - 1, [-1]))) if len(again) else (again, again)
     u = unit_of[heads]
-    return pa.table({
-        "doc": pa.array(doc[u]), "text_hash": pa.array(units.column("text_hash").to_numpy()[u]),
-        "begin": pa.array(first[u] + inside[heads]), "end": pa.array(first[u] + inside[tails] + window),
+    searched = pa.table({
+        "doc": doc[u], "text_hash": units.column("text_hash").to_numpy()[u],
+        "begin": first[u] + inside[heads], "end": first[u] + inside[tails] + window,
     })
+    return pa.concat_tables([copied, searched])
 
 
 def repeated_intervals(docs: DataFrame, text: str = "text", id_column: str = "doc_id", window: int = WINDOW,
@@ -276,3 +297,23 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id
         )
 
     return map_batches(joined, remove, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string, kept_text string")
+
+
+ORACLE_SQL = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d),
+repeats AS (
+  SELECT doc_id, s FROM (SELECT doc_id, s, array_to_string(w[s:s + 19], ' ') AS k FROM starts)
+  QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, s) > 1),
+cut AS (
+  SELECT doc_id, list(DISTINCT p) AS gone FROM (SELECT doc_id, unnest(range(s, s + 20)) AS p FROM repeats) GROUP BY doc_id),
+kept AS (
+  SELECT d.doc_id, len(w) AS n, coalesce(len(gone), 0) AS n_gone,
+         CASE WHEN gone IS NULL THEN w ELSE list_transform(
+           list_filter(range(1, len(w) + 1), lambda p: NOT list_contains(gone, p)), lambda p: w[p]) END AS rest
+  FROM d LEFT JOIN cut USING (doc_id))
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(n_gone AS BIGINT) AS n_removed,
+       sha256(array_to_string(rest, ' ')) AS kept_sha256
+FROM kept
+"""

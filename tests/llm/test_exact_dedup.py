@@ -64,6 +64,14 @@ def test_plane_reports_every_repeat_and_few_others():
     bits = bloom.plane_bits(len(values))
     planes = bloom.Planes(bits)
     for part in np.array_split(np.concatenate([values, values[:500]]), 7):
-        planes.add(bloom.positions(part, bits))
+        planes.add(part)
     assert bloom.contains(planes.twice, values[:500]).all()
     assert bloom.contains(planes.twice, values[500:]).mean() < 0.01
+
+
+def test_blocks_are_packed_without_loss():
+    rng = np.random.default_rng(1)
+    for share in (0, 0.001, 0.06, 0.5, 1):
+        block = np.packbits(rng.random(bloom.BLOCK_BITS) < share)
+        packed = bloom._packed(block)
+        assert len(packed) <= bloom.BLOCK_BYTES and (bloom._bits(packed) == block).all()
