@@ -75,38 +75,53 @@ def subwords(path: str) -> list[bytes]:
     return list(found)
 
 
-def _piece_hashes(pieces: list[bytes]) -> np.ndarray:
-    out = np.zeros(len(pieces), np.uint64)
-    for i, piece in enumerate(pieces):
-        h = 0
-        for c in piece:
-            h = (h * int(_BASE) + c + 1) & 0xFFFFFFFFFFFFFFFF
-        out[i] = h
-    return out
+@dataclass
+class Arcs:
+    """The subwords found in a batch of words, shorter words being filled up at their end."""
+
+    length: np.ndarray  # (words,)
+    single: np.ndarray  # (width, words): the subword of one byte at each start, -1 behind the word
+    start: np.ndarray  # of the longer subwords, one entry each
+    stop: np.ndarray
+    row: np.ndarray
+    piece: np.ndarray
 
+    def some(self, rows: np.ndarray) -> Arcs:
+        """The arcs of some of the words."""
+        place = np.full(len(self.length), -1)
+        place[rows] = np.arange(len(rows))
+        on = place[self.row] >= 0
+        return Arcs(self.length[rows], self.single[:, rows], self.start[on], self.stop[on], place[self.row[on]], self.piece[on])
 
-def _log_sum(terms: np.ndarray) -> np.ndarray:
-    """Log of the sum of exponentials over the first axis, -inf where all terms are."""
-    top = terms.max(axis=0)
-    top[np.isneginf(top)] = 0
-    with np.errstate(divide="ignore"):
-        return top + np.log(np.exp(terms - top).sum(axis=0))
+    def by(self, at: np.ndarray) -> list[np.ndarray]:
+        """Indexes of the arcs by the value (0 to width) of ``at``."""
+        order = np.argsort(at, kind="stable")
+        return np.split(order, np.searchsorted(at[order], np.arange(1, len(self.single) + 1)))
 
 
 @dataclass
 class Lattice:
-    """Subwords with log scores (natural) in each of several kinds of text, and those of a word's end."""
+    """Subwords with log scores (natural) in each of several kinds of text, and those of a word's end.
+
+    Every byte is a subword.
+    """
 
     pieces: list[bytes]
     scores: np.ndarray  # (pieces, kinds)
     ends: np.ndarray  # (kinds,)
 
     def __post_init__(self):
-        hashes = _piece_hashes(self.pieces)
-        self.order = np.argsort(hashes)
-        self.hashes = hashes[self.order]
-        self.longest = max(map(len, self.pieces))
-        self.padded = np.vstack([self.scores, np.full((1, self.scores.shape[1]), -np.inf)])  # the last for no subword
+        # the subwords as a trie: a node per prefix, found by the prefix's hash
+        nodes: dict[int, int] = {}
+        for i, piece in enumerate(self.pieces):
+            h = 0
+            for n, byte in enumerate(piece, 1):
+                h = (h * int(_BASE) + byte + 1) & 0xFFFFFFFFFFFFFFFF
+                nodes[h] = i if n == len(piece) else nodes.get(h, -1)
+        hashes, ends = np.fromiter(nodes, np.uint64), np.fromiter(nodes.values(), np.int64)
+        order = np.argsort(hashes)
+        self.hashes, self.piece_at = hashes[order], ends[order]
+        self.padded = np.vstack([self.scores, np.zeros((1, self.scores.shape[1]))])  # the last behind a word's end
 
     @classmethod
     def of_ranks(cls, path: str, n_kinds: int) -> Lattice:
@@ -115,76 +130,94 @@ class Lattice:
         scores = np.log(0.7 * weight / weight.sum())
         return cls(pieces, np.repeat(scores[:, None], n_kinds, axis=1), np.full(n_kinds, np.log(0.3)))
 
-    def arcs(self, words: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Lengths of words, and the subword (-1: none) of each length at each start, as (starts, words)."""
+    def arcs(self, words: list[bytes]) -> Arcs:
+        """All subwords of all words: each start walks down the trie until it leaves it."""
         width = max(map(len, words))
         length = np.array([len(w) for w in words])
         text = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(len(words), width)
         values = np.ascontiguousarray(text.T).astype(np.uint64) + np.uint64(1)
-        found, h = [], np.zeros((width, len(words)), np.uint64)
-        for n in range(1, min(self.longest, width) + 1):
-            h = h[: width - n + 1] * _BASE + values[n - 1:]
+        single = np.full((width, len(words)), -1)
+        start, row = np.nonzero(np.arange(width)[:, None] < length)
+        h, n, found = values[start, row], 1, []
+        while len(start):
             at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-            piece = np.where(self.hashes[at] == h, self.order[at], -1)
-            piece[np.arange(width - n + 1)[:, None] + n > length] = -1
-            found.append(piece)
-        return length, found
-
-    def forward(self, length: np.ndarray, arcs: list[np.ndarray], kinds: slice) -> np.ndarray:
-        """(width + 1, words, kinds) log sums over the segmentations of each prefix."""
-        width, scores = arcs[0].shape[0], self.padded[:, kinds]
-        alpha = np.zeros((width + 1, len(length), scores.shape[1]))
-        for stop in range(1, width + 1):
-            longest = min(len(arcs), stop)
-            alpha[stop] = _log_sum(np.stack([
-                alpha[stop - n] + scores[arcs[n - 1][stop - n]] for n in range(1, longest + 1)
-            ]))
+            live = self.hashes[at] == h
+            start, row, h, at = start[live], row[live], h[live], at[live]
+            ends = self.piece_at[at] >= 0
+            if n == 1:
+                single[start[ends], row[ends]] = self.piece_at[at[ends]]
+            else:
+                found.append((start[ends], start[ends] + n, row[ends], self.piece_at[at[ends]]))
+            more = start + n < length[row]
+            start, row = start[more], row[more]
+            h, n = h[more] * _BASE + values[start + n, row], n + 1
+        none = np.empty(0, np.int64)
+        return Arcs(length, single, *(np.concatenate(x) for x in zip((none,) * 4, *found)))
+
+    def forward(self, arcs: Arcs, kinds: slice) -> np.ndarray:
+        """(width + 1, words, kinds) log sums over the segmentations of each prefix.
+
+        The sum at a place is taken relative to its path by the last byte alone.
+        """
+        scores, width = self.padded[:, kinds], len(arcs.single)
+        alpha = np.zeros((width + 1, len(arcs.length), scores.shape[1]))
+        for stop, which in enumerate(arcs.by(arcs.stop)[1:], 1):
+            alpha[stop] = alpha[stop - 1] + scores[arcs.single[stop - 1]]
+            if len(which):
+                row = arcs.row[which]
+                other = alpha[arcs.start[which], row] + scores[arcs.piece[which]]
+                alpha[stop] += self._others(other - alpha[stop, row], row, len(arcs.length))
         return alpha
 
-    def backward(self, length: np.ndarray, arcs: list[np.ndarray], kinds: slice) -> np.ndarray:
+    def backward(self, arcs: Arcs, kinds: slice) -> np.ndarray:
         """(width + 1, words, kinds) log sums over the segmentations of the rest from each start."""
-        width, scores = arcs[0].shape[0], self.padded[:, kinds]
-        beta = np.full((width + 1, len(length), scores.shape[1]), -np.inf)
-        beta[length, np.arange(len(length))] = 0
-        for start in range(width - 1, -1, -1):
-            longest = min(len(arcs), width - start)
-            terms = [beta[start + n] + scores[arcs[n - 1][start]] for n in range(1, longest + 1)]
-            beta[start] = _log_sum(np.stack([beta[start], *terms]))
+        scores, width = self.padded[:, kinds], len(arcs.single)
+        beta = np.zeros((width + 1, len(arcs.length), scores.shape[1]))
+        for start, which in reversed(list(enumerate(arcs.by(arcs.start)[:-1]))):
+            beta[start] = beta[start + 1] + scores[arcs.single[start]]  # 0 behind the word
+            if len(which):
+                row = arcs.row[which]
+                other = beta[arcs.stop[which], row] + scores[arcs.piece[which]]
+                beta[start] += self._others(other - beta[start, row], row, len(arcs.length))
         return beta
 
+    @staticmethod
+    def _others(relative: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+        """Log of one plus the exponentials of each row."""
+        weights = np.exp(relative)
+        return np.log1p(np.stack([np.bincount(row, w, n) for w in weights.T], axis=1))
+
     def log_marginals(self, words: list[bytes]) -> np.ndarray:
         """(words, kinds) log probabilities (natural), a word's end included, over all segmentations."""
         out = np.zeros((len(words), len(self.ends)))
         for part in _by_length(words):
-            length, arcs = self.arcs([words[i] for i in part])
-            out[part] = self.forward(length, arcs, slice(None))[length, np.arange(len(part))]
+            arcs = self.arcs([words[i] for i in part])
+            out[part] = self.forward(arcs, slice(None))[arcs.length, np.arange(len(part))]
         return out + self.ends - np.log1p(-np.exp(self.ends))  # a word is never empty
 
     def expected(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
         """(pieces, kinds) expected uses of the subwords in ``counts`` (words, kinds) occurrences of the words."""
         out = np.zeros((len(self.pieces), len(self.ends)))
         for part in _by_length(words):
-            length, arcs = self.arcs([words[i] for i in part])
+            arcs = self.arcs([words[i] for i in part])
             for kind in range(len(self.ends)):
                 rows = np.flatnonzero(counts[part, kind])
                 if len(rows):
-                    some = [a[: length[rows].max(), rows] for a in arcs[: length[rows].max()]]
-                    out[:, kind] += self._uses(length[rows], some, slice(kind, kind + 1), counts[part[rows], kind])
+                    out[:, kind] += self._uses(arcs.some(rows), kind, counts[part[rows], kind])
         return out
 
-    def _uses(self, length: np.ndarray, arcs: list[np.ndarray], kinds: slice, counts: np.ndarray) -> np.ndarray:
-        alpha, beta = (f(length, arcs, kinds)[:, :, 0] for f in (self.forward, self.backward))
-        scores, total = self.padded[:, kinds][:, 0], alpha[length, np.arange(len(length))]
-        uses = np.zeros(len(self.pieces))
-        for n, piece in enumerate(arcs, 1):
-            start, row = np.nonzero(piece >= 0)
-            kind = piece[start, row]
-            use = np.exp(alpha[start, row] + scores[kind] + beta[start + n, row] - total[row]) * counts[row]
-            uses += np.bincount(kind, use, len(uses))
-        return uses
+    def _uses(self, arcs: Arcs, kind: int, counts: np.ndarray) -> np.ndarray:
+        alpha, beta = (f(arcs, slice(kind, kind + 1))[:, :, 0] for f in (self.forward, self.backward))
+        scores, total = self.padded[:, kind], alpha[arcs.length, np.arange(len(arcs.length))]
+        start, row = np.nonzero(arcs.single >= 0)
+        start, stop = np.concatenate([start, arcs.start]), np.concatenate([start + 1, arcs.stop])
+        piece = np.concatenate([arcs.single[start[: len(row)], row], arcs.piece])
+        row = np.concatenate([row, arcs.row])
+        use = np.exp(alpha[start, row] + scores[piece] + beta[stop, row] - total[row]) * counts[row]
+        return np.bincount(piece, use, len(self.pieces))
 
 
-def _by_length(words: list[bytes], cells: int = 1 << 15) -> Iterator[np.ndarray]:
+def _by_length(words: list[bytes], cells: int = 1 << 16) -> Iterator[np.ndarray]:
     """Index groups of words of like length, of a bounded number of bytes unless a single word has more."""
     length = np.array([len(w) for w in words])
     order = np.argsort(length, kind="stable")
