@@ -31,6 +31,7 @@ table gives no rows.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 from collections.abc import Iterator
 
@@ -88,34 +89,48 @@ def _known(plane: np.ndarray, best: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.repeat(bloom.contains(plane, best[first]), np.diff(np.append(first, len(at))))
 
 
-def _each_text(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-    for text in utf8(batch, "text"):
-        yield word_hashes(text.split())
+class _Batch:
+    """The words of a batch of texts in one array, and the windows that lie within one text."""
 
+    def __init__(self, texts: list[bytes], window: int, anchor: int):
+        found = [text.split() for text in texts]
+        lengths = np.array([len(f) for f in found], np.int64)
+        self.words = word_hashes([word for f in found for word in f])
+        self.ends = np.cumsum(lengths)
+        best, at = windows(self.words, window, anchor)
+        end = np.repeat(self.ends, lengths)[: len(best)]
+        self.start = np.flatnonzero(np.arange(len(best)) + window <= end)
+        self.best, self.at = best[self.start], at[self.start]
+        self.window = window
 
-def _repeated_anchors(rows: DataFrame, window: int, anchor: int, max_bytes: int) -> np.ndarray:
-    def hashes(batch: pa.RecordBatch) -> np.ndarray:
-        out = [np.empty(0, np.uint64)]
-        for words in _each_text(batch):
-            best, at = windows(words, window, anchor)
-            out.append(best[np.flatnonzero(np.diff(at, prepend=-1))])  # once per place
-        return np.concatenate(out)
+    def anchors(self) -> np.ndarray:
+        """The hash of every place that is an anchor."""
+        return self.best[np.flatnonzero(np.diff(self.at, prepend=-1))]
+
+    def anchored(self, plane: np.ndarray) -> np.ndarray:
+        """Whether each window's anchor is in the filter; neighbours with one anchor are looked up once."""
+        if not len(self.at):
+            return np.zeros(0, bool)
+        first = np.flatnonzero(np.diff(self.at, prepend=-1))
+        return np.repeat(bloom.contains(plane, self.best[first]), np.diff(np.append(first, len(self.at))))
+
+    def hashes(self, which: np.ndarray) -> np.ndarray:
+        """The hashes of the chosen windows."""
+        return _rolled(self.words, self.window)[self.start[which]]
 
+
+def _repeated_anchors(rows: DataFrame, window: int, anchor: int, max_bytes: int) -> np.ndarray:
     n_words = rows.select(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     bits = bloom.plane_bits(n_words // 40, max_bytes)  # about one anchor in seven words
-    return bloom.repeated_plane(rows.select("text"), hashes, bits)
+    return bloom.repeated_plane(
+        rows.select("text"), lambda batch: _Batch(utf8(batch, "text"), window, anchor).anchors(), bits
+    )
 
 
-def _repeated_windows(rows: DataFrame, window: int, anchor: int, anchors, max_bytes: int) -> np.ndarray:
+def _repeated_windows(rows: DataFrame, window: int, anchor: int, anchors) -> np.ndarray:
     def hashes(batch: pa.RecordBatch) -> np.ndarray:
-        plane, out = anchors.value, [np.empty(0, np.uint64)]
-        for words in _each_text(batch):
-            best, at = windows(words, window, anchor)
-            if len(best):
-                maybe = _known(plane, best, at)
-                if maybe.any():
-                    out.append(_rolled(words, window)[maybe])
-        return np.concatenate(out)
+        held = _Batch(utf8(batch, "text"), window, anchor)
+        return held.hashes(held.anchored(anchors.value))
 
     return bloom.repeated_plane(rows.select("text"), hashes, anchors.value.size * 8)
 
@@ -142,32 +157,31 @@ def _units(rows: DataFrame, window: int, anchor: int, planes) -> DataFrame:
         seen: dict[bytes, tuple] = {}
         out: list[tuple] = []
         for batch in stream:
-            for doc, text in zip(batch.column("doc").to_pylist(), utf8(batch, "text")):
-                words = word_hashes(text.split())
-                best, at = windows(words, window, anchor)
-                if not len(best):
-                    continue
-                maybe = _known(anchors, best, at)
-                if maybe.any():
-                    maybe[maybe] = bloom.contains(repeated, _rolled(words, window)[maybe])
-                if not maybe.any():
-                    continue
-                key = np.uint64(xxhash.xxh3_64_intdigest(text)).astype(np.int64).item()
-                packed = words.view(np.uint8).reshape(-1, 8)[:, :_WORD_BYTES]
-                packed, hashes = np.ascontiguousarray(packed).tobytes(), best.view(np.int64)
-                for start, end in _runs(maybe, at):
-                    content = packed[start * _WORD_BYTES: (end + window) * _WORD_BYTES]
-                    unit = (doc, key, hashes.item(start), start, end - start + 1)
-                    held = seen.get(content)
-                    if held is None:
-                        seen[content] = (*unit, content)
-                    elif (held[0], held[3]) == (doc, start):  # equally old
-                        out.append((*unit, content))
-                    elif (held[0], held[3]) < (doc, start):
-                        out.append((*unit, None))
-                    else:
-                        out.append((*held[:5], None))
-                        seen[content] = (*unit, content)
+            docs, texts = batch.column("doc").to_pylist(), utf8(batch, "text")
+            held = _Batch(texts, window, anchor)
+            maybe = held.anchored(anchors)
+            maybe[maybe] = bloom.contains(repeated, held.hashes(maybe))
+            packed = np.ascontiguousarray(held.words.view(np.uint8).reshape(-1, 8)[:, :_WORD_BYTES]).tobytes()
+            hashes, begins = held.best.view(np.int64), [0, *held.ends.tolist()]
+            keys: dict[int, int] = {}
+            for first, last in _runs(maybe, held.at):
+                at, to = held.start.item(first), held.start.item(last) + window
+                i = bisect.bisect_right(begins, at) - 1
+                if i not in keys:
+                    keys[i] = np.uint64(xxhash.xxh3_64_intdigest(texts[i])).astype(np.int64).item()
+                doc, start = docs[i], at - begins[i]
+                content = packed[at * _WORD_BYTES: to * _WORD_BYTES]
+                unit = (doc, keys[i], hashes.item(first), start, last - first + 1)
+                like = seen.get(content)
+                if like is None:
+                    seen[content] = (*unit, content)
+                elif (like[0], like[3]) == (doc, start):  # equally old
+                    out.append((*unit, content))
+                elif (like[0], like[3]) < (doc, start):
+                    out.append((*unit, None))
+                else:
+                    out.append((*like[:5], None))
+                    seen[content] = (*unit, content)
             if len(out) > 20_000:
                 yield made(out)
                 out = []
@@ -242,7 +256,7 @@ def repeated_intervals(docs: DataFrame, text: str = "text", id_column: str = "do
         F.coalesce(F.col(id_column).cast("long"), F.lit(-(1 << 63))).alias("doc"), F.col(text).alias("text")
     )
     anchors = spark.sparkContext.broadcast(_repeated_anchors(rows, window, anchor, max_bytes))
-    repeated = _repeated_windows(rows, window, anchor, anchors, max_bytes)
+    repeated = _repeated_windows(rows, window, anchor, anchors)
     planes = spark.sparkContext.broadcast((anchors.value, repeated))
     units = _units(rows, window, anchor, planes)
     shards = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
