@@ -68,7 +68,7 @@ def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_substring_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the 20-word windows that occur earlier."""
-    left = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=20)
+    left = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=20, texts=False)
     return left.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 

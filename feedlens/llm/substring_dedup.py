@@ -157,18 +157,15 @@ def _units(rows: DataFrame, window: int, anchor: int, planes) -> DataFrame:
         seen: dict[bytes, tuple] = {}
         out: list[tuple] = []
         for batch in stream:
-            docs, texts = batch.column("doc").to_pylist(), utf8(batch, "text")
-            held = _Batch(texts, window, anchor)
+            docs, keys = (batch.column(c).to_pylist() for c in ("doc", "text_hash"))
+            held = _Batch(utf8(batch, "text"), window, anchor)
             maybe = held.anchored(anchors)
             maybe[maybe] = bloom.contains(repeated, held.hashes(maybe))
             packed = np.ascontiguousarray(held.words.view(np.uint8).reshape(-1, 8)[:, :_WORD_BYTES]).tobytes()
             hashes, begins = held.best.view(np.int64), [0, *held.ends.tolist()]
-            keys: dict[int, int] = {}
             for first, last in _runs(maybe, held.at):
                 at, to = held.start.item(first), held.start.item(last) + window
                 i = bisect.bisect_right(begins, at) - 1
-                if i not in keys:
-                    keys[i] = np.uint64(xxhash.xxh3_64_intdigest(texts[i])).astype(np.int64).item()
                 doc, start = docs[i], at - begins[i]
                 content = packed[at * _WORD_BYTES: to * _WORD_BYTES]
                 unit = (doc, keys[i], hashes.item(first), start, last - first + 1)
@@ -248,13 +245,18 @@ def _search(units: pa.Table, window: int) -> pa.Table:
     return pa.concat_tables([copied, searched])
 
 
+def _keyed(docs: DataFrame, text: str, id_column: str) -> DataFrame:
+    """``doc_id, doc, text, text_hash``: ``doc`` orders documents, and with the hash it names their rows."""
+    doc = F.coalesce(F.col(id_column).cast("long"), F.lit(-(1 << 63)))
+    return docs.select(F.col(id_column).alias("doc_id"), doc.alias("doc"), F.col(text).alias("text"),
+                       F.xxhash64(text).alias("text_hash"))
+
+
 def repeated_intervals(docs: DataFrame, text: str = "text", id_column: str = "doc_id", window: int = WINDOW,
                        anchor: int = ANCHOR, max_bytes: int = bloom.MAX_BYTES) -> DataFrame:
     """``doc, text_hash, begin, end``: word intervals of documents that occur earlier (they may touch or overlap)."""
     spark = batches(docs.sparkSession)
-    rows = docs.select(
-        F.coalesce(F.col(id_column).cast("long"), F.lit(-(1 << 63))).alias("doc"), F.col(text).alias("text")
-    )
+    rows = _keyed(docs, text, id_column)
     anchors = spark.sparkContext.broadcast(_repeated_anchors(rows, window, anchor, max_bytes))
     repeated = _repeated_windows(rows, window, anchor, anchors)
     planes = spark.sparkContext.broadcast((anchors.value, repeated))
@@ -274,6 +276,8 @@ def repeated_intervals(docs: DataFrame, text: str = "text", id_column: str = "do
 def kept_words(text: bytes, intervals: list) -> tuple[list[bytes], int]:
     """The words outside the intervals, and how many there were."""
     found = text.split()
+    if not intervals:
+        return found, len(found)
     keep = np.ones(len(found), bool)
     for begin, end in intervals:
         keep[begin:end] = False
@@ -281,21 +285,17 @@ def kept_words(text: bytes, intervals: list) -> tuple[list[bytes], int]:
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id", window: int = WINDOW,
-                   anchor: int = ANCHOR, max_bytes: int = bloom.MAX_BYTES) -> DataFrame:
-    """One row per document: ``doc_id, n_words, n_removed, kept_sha256, kept_text`` (kept words, one space between)."""
+                   anchor: int = ANCHOR, max_bytes: int = bloom.MAX_BYTES, texts: bool = True) -> DataFrame:
+    """One row per document: ``doc_id, n_words, n_removed, kept_sha256, kept_text`` (kept words, one space between).
+
+    Without ``texts`` the last is null: for those who need the digest only.
+    """
     found = repeated_intervals(docs, text, id_column, window, anchor, max_bytes)
     per_doc = found.groupBy("doc", "text_hash").agg(F.collect_list(F.struct("begin", "end")).alias("cuts"))
     per_doc = cut_lineage(per_doc)
-    doc = F.coalesce(F.col(id_column).cast("long"), F.lit(-(1 << 63)))
-    rows = docs.select(F.col(id_column).alias("doc_id"), doc.alias("doc"), F.col(text).alias("text"))
+    rows = _keyed(docs, text, id_column)
     kind = rows.schema["doc_id"].dataType.simpleString()
-
-    def name(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keys = np.array([xxhash.xxh3_64_intdigest(t) for t in utf8(batch, "text")], np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys)], names=["doc_id", "doc", "text", "text_hash"])
-
-    named = map_batches(rows, name, f"doc_id {kind}, doc long, text string, text_hash long")
-    joined = named.join(per_doc, ["doc", "text_hash"], "left").select("doc_id", "text", "cuts")
+    joined = rows.join(per_doc, ["doc", "text_hash"], "left").select("doc_id", "text", "cuts")
 
     def remove(batch: pa.RecordBatch) -> pa.RecordBatch:
         cuts = batch.column("cuts").to_pylist()
@@ -303,7 +303,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id
         for raw, found in zip(utf8(batch, "text"), cuts):
             kept, n = kept_words(raw, [(c["begin"], c["end"]) for c in found or ()])
             joined = b" ".join(kept)
-            out.append((n, n - len(kept), hashlib.sha256(joined).hexdigest(), joined.decode()))
+            out.append((n, n - len(kept), hashlib.sha256(joined).hexdigest(), joined.decode() if texts else None))
         kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(zip(*out), kinds))],
