@@ -1,19 +1,24 @@
 """Near-duplicate embeddings by a forest of random-projection trees.
 
 Every tree splits the unit sphere recursively: a node projects its vectors on a
-random direction of its own and splits at their median; vectors within the
-middle ``2 * spill`` share of the projections go to both sides. Vectors that
+random direction of its own and cuts where the fewest pairs are left; vectors
+within ``spill * sqrt(2 - 2 * threshold)`` of the cut go to both sides. That
+length is a share of the largest distance of a link, so a cut parts few links
+however dense the vectors lie. A node whose pairs no cut makes fewer, as its
+vectors lie closer than that, is a leaf. Vectors that
 share a leaf of any tree are compared, pairs with a cosine of at least
 ``threshold`` (in double precision) are linked, and links are united to
 components.
 
-The medians come from a sample of at most ``sample_rows`` distinct vectors, those
+The cuts come from a sample of at most ``sample_rows`` distinct vectors, those
 with the smallest hash; every vector is indexed. A leaf is a function of the
 vector alone, so each task knows all leaves of a vector, and a pair that shares
 several leaves is counted in the first of them only: no pair has to leave the
 task that found it. A leaf gives the number of links of each vector and a
 spanning forest. A leaf with more than ``block_rows`` vectors is cut into blocks,
-and each two blocks meet in a group of their own.
+and each two blocks meet in a group of their own. The leaves that several trees
+make of one dense group are nearly the same: vectors that share an earlier one
+do not meet again in a later one.
 
 Equal vectors are one node with a weight; their mutual links are counted, not
 compared. Recall against brute force is tested.
@@ -40,9 +45,11 @@ from feedlens.llm.common import batches, map_batches, received, send
 from feedlens.llm.components import components, forest
 from feedlens.session import cut_lineage
 
-TREES, SPILL, SEED = 8, 0.1, 7
+TREES, SPILL, SEED = 8, 0.5, 7
 LEAF_ROWS, BLOCK_ROWS, SAMPLE_ROWS = 256, 2048, 1 << 15
 LEAST_SAMPLE = 16  # sampled vectors of a leaf
+CUTS = np.linspace(0.2, 0.8, 13)  # shares of a node's vectors below the cuts that are tried
+MANY_LINKS = 16  # per vector: more are handled as a matrix
 
 
 def usable(values: list | None) -> bytes | None:
@@ -73,6 +80,7 @@ class Forest:
     low: np.ndarray  # (trees, inner nodes)
     high: np.ndarray
     depth: int
+    dense: list[int]  # leaves that are so because their vectors lie close together
 
     def leaves(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, leaf) for every leaf of every row; leaves are numbered through all trees."""
@@ -91,24 +99,44 @@ class Forest:
         return np.concatenate(rows), np.concatenate(found)
 
 
+def _best_cut(value: np.ndarray, margin: float) -> tuple[float, float]:
+    """Of several cuts that which leaves the fewest pairs, and their share of all pairs."""
+    ordered = np.sort(value)
+    cuts = np.quantile(ordered, CUTS)
+    left = np.searchsorted(ordered, cuts + margin, "right")
+    right = len(ordered) - np.searchsorted(ordered, cuts - margin, "left")
+    pairs = (left / len(ordered)) ** 2 + (right / len(ordered)) ** 2
+    return cuts[pairs.argmin()], pairs.min()
+
+
 def grow(sample: np.ndarray, n_rows: int, trees: int = TREES, spill: float = SPILL, leaf_rows: int = LEAF_ROWS,
-         seed: int = SEED) -> Forest:
-    """A forest with leaves of about ``leaf_rows`` of ``n_rows`` vectors, as far as the sample allows."""
+         seed: int = SEED, threshold: float = 0.9) -> Forest:
+    """A forest with leaves of about ``leaf_rows`` of ``n_rows`` vectors, as far as the sample and their spread allow."""
     wanted = int(np.ceil(np.log2(max(n_rows / leaf_rows, 1))))
     depth = min(wanted, int(np.log2(max(len(sample) / LEAST_SAMPLE, 1))))
     inner, width = (1 << depth) - 1, sample.shape[1]
     directions = np.random.default_rng(seed).standard_normal((trees, inner, width))
     low, high = np.zeros((trees, inner)), np.zeros((trees, inner))
+    margin = spill * np.sqrt(max(2 - 2 * threshold, 0))
+    least = max(LEAST_SAMPLE, leaf_rows * len(sample) / max(n_rows, 1))
+    dense = []
     for tree in range(trees):
-        inside = {0: np.arange(len(sample))}
+        inside, done = {0: np.arange(len(sample))}, {}
         for node in range(inner):
             rows = inside.pop(node)
             value = sample[rows] @ directions[tree, node]
-            if len(rows):
-                low[tree, node], high[tree, node] = np.quantile(value, [0.5 - spill, 0.5 + spill])
+            why = done.pop(node, "small" if len(rows) <= least else None)
+            if why is None:
+                cut, pairs = _best_cut(value, margin)
+                low[tree, node], high[tree, node] = cut - margin, cut + margin
+                why = "dense" if pairs >= 1 else None
+            if why:  # all go to the left, down to the last level
+                low[tree, node] = high[tree, node] = np.inf
+                done[2 * node + 1] = why
             inside[2 * node + 1] = rows[value <= high[tree, node]]
             inside[2 * node + 2] = rows[value >= low[tree, node]]
-    return Forest(directions, low, high, depth)
+        dense += [node - inner + (tree << depth) for node, why in done.items() if why == "dense"]
+    return Forest(directions, low, high, depth, sorted(dense))
 
 
 def _vectors(table: DataFrame, vector: str, id_column: str) -> DataFrame:
@@ -127,19 +155,62 @@ def _vectors(table: DataFrame, vector: str, id_column: str) -> DataFrame:
     return cut_lineage(map_batches(rows, pack, f"vec_id {kind}, key binary, packed binary"))
 
 
+def _members(leaves: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """(rows, known leaves) whether a row is in a leaf."""
+    out = np.zeros((len(leaves), len(known)), np.float32)
+    at = np.minimum(np.searchsorted(known, leaves), len(known) - 1)
+    row, column = np.nonzero(known[at] == leaves)
+    out[row, at[row, column]] = 1
+    return out
+
+
+def _large_component(close: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the component of the row with the most links."""
+    rows, columns = np.zeros(close.shape[0], bool), np.zeros(close.shape[1], bool)
+    new = np.array([close.sum(axis=1).argmax()])
+    while len(new):
+        rows[new] = True
+        fresh = np.flatnonzero(close[new].any(axis=0) & ~columns)
+        columns[fresh] = True
+        new = np.flatnonzero(close[:, fresh].any(axis=1) & ~rows)
+    return rows, columns
+
+
 def _in_leaf(left: tuple, right: tuple, leaf: int, threshold: float, same: bool) -> tuple[np.ndarray, ...]:
-    """Link counts of both sides and links between them, for pairs that share no earlier leaf."""
-    (x, leaves_x), (y, leaves_y) = left, right
+    """Weights of the links of both sides, for pairs that share no earlier leaf, and links that join what is linked."""
+    (x, leaves_x, weight_x), (y, leaves_y, weight_y) = left, right
     close = x @ y.T >= threshold
     if same:
         close = np.triu(close, 1)
-    i, j = np.nonzero(close)
-    first = np.ones(len(i), bool)
-    for a in range(0, len(i), 4096):
-        p, q = leaves_x[i[a:a + 4096]], leaves_y[j[a:a + 4096]]
-        shared = (p[:, :, None] == q[:, None, :]) & (p[:, :, None] >= 0) & (p[:, :, None] < leaf)
-        first[a:a + 4096] = ~shared.any(axis=(1, 2))
-    return i, j, first
+    n_links = np.count_nonzero(close)
+    if n_links <= MANY_LINKS * sum(close.shape):
+        i, j = np.nonzero(close)
+        first = np.ones(len(i), bool)
+        for a in range(0, len(i), 4096):
+            p, q = leaves_x[i[a:a + 4096]], leaves_y[j[a:a + 4096]]
+            shared = (p[:, :, None] == q[:, None, :]) & (p[:, :, None] >= 0) & (p[:, :, None] < leaf)
+            first[a:a + 4096] = ~shared.any(axis=(1, 2))
+        of_x, of_y = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64)
+        np.add.at(of_x, i[first], weight_y[j[first]])
+        np.add.at(of_y, j[first], weight_x[i[first]])
+        return of_x, of_y, i, j
+    known = np.intersect1d(leaves_x, leaves_y)
+    known = known[(known >= 0) & (known < leaf)]
+    counted = close
+    if len(known):
+        counted = close & (_members(leaves_x, known) @ _members(leaves_y, known).T == 0)
+    of_x, of_y = (counted @ weight_y.astype(float), weight_x.astype(float) @ counted)
+    i, j = [], []
+    if same:  # both sides are the same vectors
+        close = close | close.T
+    while np.count_nonzero(close) > MANY_LINKS * sum(close.shape):
+        rows, columns = _large_component(close)
+        a, b = np.flatnonzero(rows), np.flatnonzero(columns)
+        i += [a, np.full(len(b), a[0])]
+        j += [np.full(len(a), b[0]), b]
+        close[a] = False
+    a, b = np.nonzero(close)
+    return of_x.astype(np.int64), of_y.astype(np.int64), np.concatenate([*i, a]), np.concatenate([*j, b])
 
 
 def _compare(rows: pa.Table, threshold: float) -> pa.Table:
@@ -156,13 +227,16 @@ def _compare(rows: pa.Table, threshold: float) -> pa.Table:
     length = np.array([len(p) for p in packed])
     block = rows.column("block").to_numpy()
     block_a, block_b = (rows.column(c)[0].as_py() for c in ("block_a", "block_b"))
-    counts, links = np.zeros(len(node), np.int64), []
+    counts, links = np.zeros(len(node), np.int64), [(np.empty(0, np.int64), np.empty(0, np.int64))]
     for n in np.unique(length):
         a, b = (np.flatnonzero((length == n) & (block == k)) for k in (block_a, block_b))
-        i, j, first = _in_leaf((x[a], leaves[a]), (x[b], leaves[b]), leaf, threshold, block_a == block_b)
+        if not len(a) or not len(b):
+            continue
+        of_a, of_b, i, j = _in_leaf((x[a], leaves[a], weight[a]), (x[b], leaves[b], weight[b]), leaf, threshold,
+                                    block_a == block_b)
         i, j = a[i], b[j]
-        np.add.at(counts, i[first], weight[j[first]])
-        np.add.at(counts, j[first], weight[i[first]])
+        counts[a] += of_a
+        counts[b] += of_b
         links.append(forest(node[i], node[j]) if len(i) else (np.empty(0, np.int64), np.empty(0, np.int64)))
     hit = np.flatnonzero(counts)
     a, b = (np.concatenate(side) for side in zip(*links))
@@ -173,6 +247,20 @@ def _compare(rows: pa.Table, threshold: float) -> pa.Table:
     })
 
 
+def _covers(indexed: DataFrame, dense: list[int]) -> dict[int, tuple[int, int]]:
+    """Of each of these leaves: the earlier one with most of its rows, and how many."""
+    if len(dense) < 2:
+        return {}
+    mine = F.array_intersect("leaves", F.array(*map(F.lit, dense)).cast("array<long>"))
+    pairs = indexed.select(mine.alias("mine")).select("mine", F.explode("mine").alias("leaf"))
+    pairs = pairs.select("leaf", F.explode("mine").alias("earlier")).where("earlier < leaf")
+    best: dict[int, tuple[int, int]] = {}
+    for r in pairs.groupBy("leaf", "earlier").count().collect():  # pairs of leaves, whose number the sample bounds
+        if (r["count"], -r["earlier"]) > (best.get(r["leaf"], (0, 0))[1], -best.get(r["leaf"], (0, 0))[0]):
+            best[r["leaf"]] = (r["earlier"], r["count"])
+    return best
+
+
 def near_duplicates(table: DataFrame, vector: str = "embedding", id_column: str = "vec_id", threshold: float = 0.9,
                     trees: int = TREES, spill: float = SPILL, leaf_rows: int = LEAF_ROWS,
                     block_rows: int = BLOCK_ROWS, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -185,7 +273,8 @@ def near_duplicates(table: DataFrame, vector: str = "embedding", id_column: str
     nodes = cut_lineage(nodes.withColumn("node", F.monotonically_increasing_id()))
     n_nodes = nodes.count()
     sample = [bytes(r["packed"]) for r in nodes.orderBy(F.xxhash64("key"), "key").limit(sample_rows).select("packed").collect()]
-    grown = grow(unit_rows(sample) if sample else np.zeros((0, 1)), n_nodes, trees, spill, leaf_rows)
+    grown = grow(unit_rows(sample) if sample else np.zeros((0, 1)), n_nodes, trees, spill, leaf_rows,
+                 threshold=threshold)
     sent = send(spark, grown)
 
     def index(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,14 +295,23 @@ def near_duplicates(table: DataFrame, vector: str = "embedding", id_column: str
     )
     placed = indexed.withColumn("leaf", F.explode("leaves"))
     large = {  # at most one entry per leaf, whose number the sample bounds
-        r["leaf"]: -(-r["count"] // block_rows) for r in placed.groupBy("leaf").count().where(f"count > {block_rows}").collect()
+        r["leaf"]: r["count"] for r in placed.groupBy("leaf").count().where(f"count > {block_rows}").collect()
     }
-    blocks = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for item in large.items() for x in item)), F.col("leaf")),
-                        F.lit(1)) if large else F.lit(1)
-    placed = placed.withColumn("blocks", blocks.cast("int")).withColumn(
-        "block", F.pmod(F.xxhash64("node", "leaf"), F.col("blocks")).cast("int")
-    )
-    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+    covers = _covers(indexed, [leaf for leaf in grown.dense if leaf in large])
+    plan = {}  # of a large leaf: the earlier leaf that most of its rows share, blocks of the other rows and of these
+    for leaf, n in large.items():
+        cover, old = covers.get(leaf, (-1, 0))
+        plan[leaf] = (cover, -(-(n - old) // block_rows), -(-old // block_rows))
+    found_plan = F.try_element_at(F.create_map(*(
+        x for leaf, p in plan.items() for x in (F.lit(leaf), F.array(*map(F.lit, p)))
+    )), F.col("leaf")) if plan else F.lit(None)
+    placed = placed.withColumn("plan", F.coalesce(found_plan, F.array(F.lit(-1), F.lit(1), F.lit(0))).cast("array<long>"))
+    cover, fresh, old = (F.get("plan", F.lit(k)) for k in range(3))
+    is_old, spread_by = F.array_contains("leaves", cover), F.xxhash64("node", "leaf")
+    placed = placed.withColumn(
+        "block", F.when(is_old, fresh + F.pmod(spread_by, old)).otherwise(F.pmod(spread_by, fresh)).cast("int")
+    ).withColumn("others", F.when(is_old, fresh).otherwise(fresh + old).cast("int")).where("others > 0")
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("others") - 1))).select(
         "leaf", F.least("block", "other").alias("block_a"), F.greatest("block", "other").alias("block_b"), "block",
         "node", "weight", "packed", "leaves",
     )

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from feedlens.llm import rp_forest
 
@@ -79,3 +81,29 @@ def test_large_group_of_copies(spark):
 
 def test_empty(spark):
     assert rp_forest.near_duplicates(_vectors(spark, [])).collect() == []
+
+
+def test_recall_in_a_large_dense_group(spark):
+    n, near, width = 100_000, 33_000, 64
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(n, width))
+    centre = rng.normal(size=width)
+    x[:near] = centre / np.linalg.norm(centre) + np.sqrt((1 / 0.94 - 1) / width) * x[:near]
+    unit = (x / np.linalg.norm(x, axis=1, keepdims=True))[:near]
+    want = sum(np.count_nonzero(unit[a:a + 2000] @ unit.T >= 0.9) for a in range(0, near, 2000)) - near
+    frame = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "embedding": list(x)})).repartition(8)
+    got = rp_forest.near_duplicates(frame).where(f"vec_id < {near}")
+    links, components = got.agg(F.sum("n_links"), F.count_distinct("component_id")).first()
+    assert 0.98 * want <= links <= want
+    assert components <= 0.001 * near
+
+
+def test_leaves_of_a_dense_group_count_a_pair_once(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, (np.ones(24) + 0.25 * rng.normal(size=24)).tolist()) for i in range(400)]
+    rows += [(i, rng.normal(size=24).tolist()) for i in range(400, 600)]
+    rows = [(i, np.float32(v).tolist()) for i, v in rows]
+    want = _brute(rows)
+    got = {r["vec_id"]: r for r in rp_forest.near_duplicates(_vectors(spark, rows), leaf_rows=32, block_rows=50).collect()}
+    assert all(got[i]["n_links"] <= n for i, n, _ in want)
+    assert sum(r["n_links"] for r in got.values()) >= 0.98 * sum(n for _, n, _ in want)
