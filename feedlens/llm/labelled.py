@@ -12,18 +12,25 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     return train_remainder(doc_id, modulus) == remainder
 
 
+def known_labels(labels: DataFrame, label: str, modulus: int, remainder: int, id_column: str = "doc_id") -> DataFrame:
+    """``sample_id, target`` of all labelled rows outside the held-out fold; an id counts once, with its larger label.
+
+    Null ids and null labels are left out.
+    """
+    known = labels.where(F.col(label).isNotNull() & F.col(id_column).isNotNull())
+    known = known.where(~held_out(F.col(id_column), modulus, remainder))
+    return known.groupBy(F.col(id_column).alias("sample_id")).agg(F.max(label).cast("int").alias("target"))
+
+
 def sample_ids(labels: DataFrame, label: str, modulus: int, remainder: int, per_class: int,
                id_column: str = "doc_id") -> DataFrame:
     """``sample_id, target`` (0 or 1) of at most ``per_class`` labelled rows of each class.
 
-    Rows of the held-out fold, null ids and null labels are left out, an id counts
-    once, with its larger label. Those with the smallest hash of their id are
-    taken, so a rerun takes the same. The bound is 16 bytes times two times
+    Of ``known_labels``, those with the smallest hash of their id are taken, so a
+    rerun takes the same. The bound is 16 bytes times two times
     ``per_class``: the table may be broadcast.
     """
-    known = labels.where(F.col(label).isNotNull() & F.col(id_column).isNotNull())
-    known = known.where(~held_out(F.col(id_column), modulus, remainder))
-    known = known.groupBy(F.col(id_column).alias("sample_id")).agg(F.max(label).cast("int").alias("target"))
+    known = known_labels(labels, label, modulus, remainder, id_column)
     order = [F.xxhash64(F.lit(label), F.col("sample_id")), F.col("sample_id")]
     return (
         known.where("target = 1").orderBy(*order).limit(per_class)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from feedlens.llm.common import batches, map_batches, send, utf8, with_fields
-from feedlens.llm.labelled import sample_ids, sample_texts
+from feedlens.llm.labelled import known_labels, sample_ids, sample_texts
 
 PER_CLASS = 10_000
 TREES, DEPTH, RATE = 80, 4, 0.15
@@ -141,7 +141,7 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int =
     weigh as much as all of them, so scores keep the shares of the classes.
     """
     batches(docs.sparkSession)
-    known = sample_ids(labels, label, modulus, remainder, 1 << 31 - 1, id_column)
+    known = known_labels(labels, label, modulus, remainder, id_column).where("target IN (0, 1)")
     sizes = {row["target"]: row["count"] for row in known.groupBy("target").count().collect()}  # two rows
     sample = sample_texts(docs, sample_ids(labels, label, modulus, remainder, per_class, id_column), text, id_column)
 

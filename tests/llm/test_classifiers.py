@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from feedlens.llm import quality, toxicity
+from feedlens.llm.labelled import known_labels
 from tests.llm.conftest import prose
 
 
@@ -103,3 +104,25 @@ def test_statistics():
     found = dict(zip(quality.STATISTICS, quality.statistics(b"AB ab ab!\n1 2")))
     assert found["upper_share"] == pytest.approx(2 / 13) and found["distinct_lines"] == 1
     assert found["exclamation_share"] == pytest.approx(1 / 13) and found["distinct_words"] == 1
+
+
+def test_classes_are_counted_without_a_sample(labelled, monkeypatch):
+    docs, labels = labelled
+    bounds, take = [], quality.sample_ids
+
+    def sample_ids(labels, label, modulus, remainder, per_class, *more):
+        bounds.append(per_class)
+        return take(labels, label, modulus, remainder, per_class, *more)
+
+    monkeypatch.setattr(quality, "sample_ids", sample_ids)
+    quality.train(docs, labels, per_class=50)
+    assert bounds == [50]
+
+
+def test_known_labels_are_all_of_them(spark):
+    rows = [(i, int(i % 3 == 0)) for i in range(300)] + [(3, 0), (None, 1), (4, None)]
+    known = known_labels(spark.createDataFrame(rows, "doc_id long, quality int"), "quality", 5, 0)
+    assert "TakeOrdered" not in known._jdf.queryExecution().toString()
+    kept = [i for i in range(300) if zlib.crc32(str(i).encode()) % 5]
+    want = {1: sum(i % 3 == 0 for i in kept), 0: sum(i % 3 > 0 for i in kept)}
+    assert {r["target"]: r["count"] for r in known.groupBy("target").count().collect()} == want
