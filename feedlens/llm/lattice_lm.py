@@ -45,7 +45,6 @@ from pyspark.sql import functions as F
 from feedlens.llm.common import batches, map_batches, received, send, train_remainder, utf8
 from feedlens.session import cut_lineage
 
-LONGEST = 16  # bytes of a subword
 HEAD = 1 << 17
 HELD_WORDS = 400_000  # distinct words that a task counts before it hands them on
 ROUNDS = 2  # of re-estimation
@@ -69,7 +68,7 @@ def subwords(path: str) -> list[bytes]:
     found: dict[bytes, None] = {}
     for token in sorted(vocabulary, key=vocabulary.get):
         piece = bytes(byte[c] for c in token if c in byte).lstrip(b" ")
-        if 0 < len(piece) <= LONGEST and piece == piece.lower() and piece.split() == [piece]:
+        if piece and piece == piece.lower() and piece.split() == [piece]:
             found.setdefault(piece)
     found.update(dict.fromkeys(bytes([c]) for c in range(256)))
     return list(found)

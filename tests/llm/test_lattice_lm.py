@@ -110,3 +110,16 @@ def test_nothing_to_learn_from(spark, no_docs):
     docs = spark.createDataFrame([(one, "some text"), (one, None)], "doc_id long, text string")
     for row in lm.score_texts(docs, TOKENIZER, kind=None).collect():
         assert row["held_out"] and row["train_tokens"] == 0 and row["n_known"] == 0 and np.isfinite(row["score"])
+
+
+def test_long_subwords_are_arcs():
+    pieces = lm.subwords(TOKENIZER)
+    long = [p for p in pieces if len(p) > 16]
+    assert b"telecommunications" in long and len(set(pieces)) == len(pieces)
+    lattice = lm.Lattice.of_ranks(TOKENIZER, 1)
+    scores = dict(zip(lattice.pieces, np.exp(lattice.scores[:, 0])))
+    for word in (b"telecommunications", b"=" * 20):
+        sums = [1.0]
+        for stop in range(1, len(word) + 1):
+            sums.append(sum(sums[a] * scores.get(word[a:stop], 0.0) for a in range(stop)))
+        assert lattice.log_marginals([word])[0, 0] == pytest.approx(np.log(sums[-1] * 0.3 / 0.7))
