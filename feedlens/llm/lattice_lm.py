@@ -31,7 +31,6 @@ columns are ignored.
 
 from __future__ import annotations
 
-import functools
 import json
 from collections import Counter
 from collections.abc import Iterator
@@ -57,7 +56,6 @@ _BASE = np.uint64(0x100000001B3)
 # --- subwords ----------------------------------------------------------------
 
 
-@functools.lru_cache(maxsize=2)
 def subwords(path: str) -> list[bytes]:
     """Lower-case subwords without blanks of a byte-level vocabulary file in JSON, by rank; all bytes are among them."""
     with open(path, encoding="utf-8") as file:

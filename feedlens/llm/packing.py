@@ -18,7 +18,6 @@ empty table gives no rows; columns other than id and text are ignored.
 
 from __future__ import annotations
 
-import functools
 import zlib
 from collections.abc import Iterator
 
@@ -39,7 +38,6 @@ _SHIFT = 40  # a piece's number within its length takes the low bits of a slot k
 # --- tokens ------------------------------------------------------------------
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(path: str):
     """Text to ids for a byte-level BPE vocabulary file in JSON.
 
