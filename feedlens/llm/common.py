@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")  # the default of a parameter
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: rows and bytes of one Arrow batch: a Python worker holds a few batches at a time

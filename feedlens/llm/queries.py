@@ -9,8 +9,8 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import exact_dedup, lattice_lm, mixing, packing, quality, rp_forest, simhash_dedup, substring_dedup, toxicity, warc_derivatives
-from feedlens.llm.common import TOKENIZER, batches, table
+from feedlens.llm import byte_bpe, exact_dedup, lattice_lm, mixing, packing, quality, rp_forest, simhash_dedup, substring_dedup, toxicity, warc_derivatives
+from feedlens.llm.common import RANKS, TOKENIZER, batches, table
 from feedlens.llm.labelled import held_out
 from feedlens.session import tune
 
@@ -130,3 +130,9 @@ def op9_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pack_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, capacity=1024, end_id=2)
+
+
+@query
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every document, and of what they decode to."""
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), RANKS)
