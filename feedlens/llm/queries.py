@@ -9,7 +9,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import byte_bpe, exact_dedup, lattice_lm, mixing, packing, quality, rp_forest, simhash_dedup, substring_dedup, toxicity, warc_derivatives
+from feedlens.llm import byte_bpe, exact_dedup, lattice_lm, mixing, packing, quality, rp_forest, simhash_dedup, spelling, substring_dedup, toxicity, warc_derivatives
 from feedlens.llm.common import RANKS, TOKENIZER, batches, table
 from feedlens.llm.labelled import held_out
 from feedlens.session import tune
@@ -136,3 +136,12 @@ def op10_pack_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of every document, and of what they decode to."""
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), RANKS)
+
+
+@query
+def op12_spelling_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all documents with their number of near words, their form and its root."""
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_spelling_trie"] = spelling.ORACLE_SQL
