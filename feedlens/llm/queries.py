@@ -9,7 +9,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import byte_bpe, exact_dedup, lattice_lm, mixing, packing, quality, rp_forest, simhash_dedup, spelling, substring_dedup, toxicity, warc_derivatives
+from feedlens.llm import byte_bpe, exact_dedup, lattice_lm, mixing, packing, quality, rp_forest, simhash_dedup, spelling, substring_dedup, toxicity, vector_codes, warc_derivatives
 from feedlens.llm.common import RANKS, TOKENIZER, batches, table
 from feedlens.llm.labelled import held_out
 from feedlens.session import tune
@@ -145,3 +145,12 @@ def op12_spelling_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op12_spelling_trie"] = spelling.ORACLE_SQL
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The code of every embedding, 16 parts of 64 entries each, with its errors."""
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op13_vector_codes"] = vector_codes.ORACLE_SQL
