@@ -24,6 +24,9 @@ SESSION_CONF = {
 
 RUNTIME_CONF = [k for k in SESSION_CONF if k.startswith("spark.sql.adaptive.")]
 
+#: of a table, as Spark estimates it, that each core may get in an exchange made only to use all cores
+SPREAD_BYTES = 32 << 20
+
 # application id -> folder of a local session that names none
 _local_dirs: dict[str, str] = {}
 
@@ -82,14 +85,17 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal out the rows of a scan that cannot use the cluster.
 
     One row group, one zipped file or one multi-line file is read by one task,
-    and per-text work would stay there. Only a scan that leaves three of four
-    cores idle is shuffled, and never to fewer partitions than it has; any large
-    table is returned as it is.
+    however many byte splits it has, and per-text work would stay there. So a scan
+    with fewer than two splits a core is shuffled if that gives a core no more than
+    ``SPREAD_BYTES``, which costs little beside the work that follows; any larger or
+    well split table is returned as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or 4 * df.rdd.getNumPartitions() > cores:
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= 2 * cores:
         return df
-    return df.repartition(cores, *keys)
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores, *keys) if size <= cores * SPREAD_BYTES else df
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
