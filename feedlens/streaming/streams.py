@@ -61,10 +61,10 @@ def write_stream(messages: DataFrame, path: str, checkpoint: str) -> StreamingQu
 
 
 def upsert_stream(messages: DataFrame, store: MessageStore, checkpoint: str) -> StreamingQuery:
-    """Upsert each micro-batch. A batch that is replayed leaves the store as it was."""
+    """Upsert each micro-batch. One that is replayed is known by its number and passed over."""
 
-    def merge(batch: DataFrame, _: int) -> None:
-        store.upsert(batch.select(*[F.col(f"`{c}`") for c in MESSAGE_COLUMNS]))
+    def merge(batch: DataFrame, number: int) -> None:
+        store.upsert(batch.select(*[F.col(f"`{c}`") for c in MESSAGE_COLUMNS]), batch=(checkpoint, number))
 
     return (
         messages.writeStream.foreachBatch(merge)
