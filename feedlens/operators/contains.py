@@ -1,51 +1,68 @@
 """Exact "text contains phrase" join without comparing every pair.
 
-Each phrase is anchored on its first characters. Every text that contains the
-phrase contains the anchor, so anchors found in a text give all candidates and
-``contains`` verifies them.
+The phrases become an Aho-Corasick automaton (``functions.automaton``), which finds
+all of them in one pass over a text. Phrases that would make a larger automaton
+than ``TABLE_BITS`` are dealt into several by hash, and the texts are passed over
+once for each.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import pickle
+from collections.abc import Iterator
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedlens.functions.automaton import ANCHOR, Automaton
 from feedlens.operators.joins import with_text_key
-from feedlens.operators.sizing import constant, rows_if_small
+from feedlens.operators.sizing import rows_if_small
 from feedlens.session import cut_lineage
 
-ANCHOR_LENGTH = 8
-# Anchors kept in one array inside the plan: a few hundred kB at most.
-MAX_INLINE_ANCHORS = 10_000
-# Bits of the table that grams are tested against: 128 kB inside the plan. More
-# anchors only let more grams through to the join.
-TABLE_BITS = 1 << 20
+MAX_INLINE_PHRASES = 10_000  # so many are fetched without looking at their size first
+# Bits of one automaton's look-up table, 64 MB; each byte of a phrase's anchor takes a row of it.
+TABLE_BITS = 1 << 29
+ROW_BITS = 32 * 128  # for so many byte classes, of which real phrases have fewer
+LEAST_PHRASES = 16  # of one automaton: fewer are not worth a pass
 HELD_KEY = ["_held_1", "_held_2"]
 
 
-def _grams(text: Column, lengths: list[int]) -> Column:
-    """All substrings of the given lengths, each length found in one linear pass."""
-    found = [F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in lengths]
-    return F.concat(*found) if len(found) > 1 else found[0]
+def _finder(spark: SparkSession, phrases: list[str]):
+    """A function of a text column: the phrases that each text contains."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps((phrases, Automaton([p.encode() for p in phrases]))))
 
+    @F.arrow_udf("array<string>")
+    def find(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        names, automaton = pickle.loads(sent.value)
+        for column in texts:
+            wide = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
+            found = automaton.find([b"" if t is None else t for t in column.cast(wide).to_pylist()])
+            yield pa.array([[names[i] for i in one] for one in found], pa.list_(pa.string()))
 
-def _maybe_anchor(anchors: DataFrame) -> Callable[[Column], Column]:
-    """A test that every anchor passes and few other grams: bits of a constant table, indexed by hash."""
-    at = F.pmod(F.xxhash64("_anchor"), F.lit(TABLE_BITS))
-    filled = anchors.groupBy(F.floor(at / 64).alias("w")).agg(F.collect_set(F.pmod(at, F.lit(64))).alias("bits")).collect()
-    words = [0] * (TABLE_BITS // 64)  # at most so many rows came
-    for row in filled:
-        for bit in row["bits"]:
-            words[row["w"]] |= 1 << bit
-    table = constant([w - (1 << 64) if w >> 63 else w for w in words], "array<bigint>")
+    return find
 
-    def test(gram: Column) -> Column:
-        spot = F.pmod(F.xxhash64(gram), F.lit(TABLE_BITS))
-        return F.getbit(F.get(table, F.floor(spot / 64).cast("int")), F.pmod(spot, F.lit(64)).cast("int")) == 1
 
-    return test
+def _blocks(phrases: DataFrame, phrase: str) -> list[list[str]]:
+    """The distinct phrases, in as many blocks as their automata need; a block is all that is fetched at once."""
+    distinct = phrases.select(F.col(phrase).alias("_phrase")).distinct()
+    few = rows_if_small(distinct, MAX_INLINE_PHRASES)
+    if few is not None:
+        listed = sorted(row["_phrase"] for row in few)
+        rows = sum(min(len(p.encode()), ANCHOR) for p in listed)
+        n = _needed(len(listed), rows)
+        return [listed[i::n] for i in range(n)] if listed else []
+    distinct = cut_lineage(distinct)
+    size = distinct.agg(F.count("*").alias("n"), F.sum(F.least(F.octet_length("_phrase"), F.lit(ANCHOR))).alias("rows")).first()
+    n = _needed(size["n"], size["rows"])
+    spot = F.pmod(F.xxhash64("_phrase"), F.lit(n))
+    return [sorted(r["_phrase"] for r in distinct.where(spot == i).collect()) for i in range(n)]
+
+
+def _needed(phrases: int, rows: int) -> int:
+    return max(1, min(-(-rows * ROW_BITS // TABLE_BITS), -(-phrases // LEAST_PHRASES)))
 
 
 def contains_join(
@@ -57,39 +74,30 @@ def contains_join(
 ) -> DataFrame:
     """Every pair (row of ``texts``, row of ``phrases``) whose text contains the phrase.
 
-    Null and empty phrases match nothing; rows of ``texts`` need no key.
-    Few distinct anchors (checked): texts are probed in place against a constant
-    set and only rows with a hit go on; no text is shuffled. More: grams are
-    tested in their row against a constant bit table, and those that pass meet the
-    anchors in a join that carries a hash of the text only; the candidates fetch
-    their texts afterwards.
+    Null and empty phrases match nothing; rows of ``texts`` need no key. One
+    automaton: its hits stand beside the text, and only rows with a hit meet the
+    phrases; no text is shuffled while Spark can send the phrases to them.
+    Several: hits go with a hash of the text only, and fetch their texts after they
+    have met the phrases.
     """
-    anchored = phrases.where(F.col(phrase).isNotNull() & (F.col(phrase) != "")).withColumn(
-        "_anchor", F.left(F.col(phrase), F.lit(ANCHOR_LENGTH))
-    )
-    holds = F.contains(F.col(text), F.col(phrase))
-    few = None
-    if not force_shuffle:
-        few = rows_if_small(anchored.select("_anchor").distinct(), MAX_INLINE_ANCHORS)
-    if few is not None:
-        anchors = sorted(row["_anchor"] for row in few)
-        if not anchors:
-            return texts.join(anchored.drop("_anchor"), F.lit(False))
-        lengths = sorted({len(a) for a in anchors})
-        hits = F.array_distinct(F.filter(_grams(F.col(text), lengths), lambda g: g.isin(anchors)))
-        candidates = texts.withColumn("_anchor", F.explode(hits))
-        return candidates.join(anchored, "_anchor").where(holds).drop("_anchor")
-
-    lengths = sorted(
-        row[0] for row in anchored.select(F.length("_anchor")).distinct().limit(ANCHOR_LENGTH).collect()
-    )
-    if not lengths:
-        return texts.join(anchored.drop("_anchor"), F.lit(False))
-    anchors = anchored.select("_anchor").distinct()
-    likely = F.array_distinct(F.filter(_grams(F.col(text), lengths), _maybe_anchor(anchors)))
+    named = phrases.where(F.col(phrase).isNotNull() & (F.col(phrase) != ""))
+    blocks = _blocks(named, phrase)
+    if not blocks:
+        return texts.join(named, F.lit(False))
+    finders = [_finder(texts.sparkSession, block) for block in blocks]
+    same = F.col("_held_phrase") == F.col(phrase)
+    if len(finders) == 1 and not force_shuffle:
+        met = texts.withColumn("_held_phrase", F.explode(finders[0](F.col(text))))
+        return met.join(named, same).drop("_held_phrase")
+
     keyed = with_text_key(texts, F.col(text), names=HELD_KEY)
-    grams = keyed.select(*HELD_KEY, F.explode(likely).alias("_anchor")).distinct()
-    # written, the candidates have a known size: while they are few Spark sends
-    # them to the texts and shuffles no text
-    pairs = cut_lineage(grams.join(anchored, "_anchor").drop("_anchor"))
+
+    def hits(find) -> DataFrame:
+        return keyed.select(*HELD_KEY, F.explode(find(F.col(text))).alias("_held_phrase"))
+
+    found = reduce(DataFrame.unionByName, map(hits, finders)).distinct()
+    # written, the hits have a known size: while they are few Spark sends them to
+    # the texts and shuffles no text
+    pairs = cut_lineage(found.join(named, same).drop("_held_phrase"))
+    holds: Column = F.contains(F.col(text), F.col(phrase))
     return keyed.join(pairs, HELD_KEY).where(holds).drop(*HELD_KEY)
