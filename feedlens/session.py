@@ -20,9 +20,13 @@ SESSION_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # state of streams on the executors' disks, and only its changes in checkpoints
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-RUNTIME_CONF = [k for k in SESSION_CONF if k.startswith("spark.sql.adaptive.")]
+RUNTIME_CONF = [k for k in SESSION_CONF if k.startswith(("spark.sql.adaptive.", "spark.sql.streaming."))]
 
 #: of a table, as Spark estimates it, that each core may get in an exchange made only to use all cores
 SPREAD_BYTES = 32 << 20
@@ -42,7 +46,7 @@ def build_session(app: str = "feedlens", master: str | None = None, **conf: str)
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Adaptive settings for a session that somebody else has built."""
+    """Adaptive and streaming settings for a session that somebody else has built."""
     for key in RUNTIME_CONF:
         spark.conf.set(key, SESSION_CONF[key])
     return spark
