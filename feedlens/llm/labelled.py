@@ -39,6 +39,12 @@ def sample_ids(labels: DataFrame, label: str, modulus: int, remainder: int, per_
 
 
 def sample_texts(docs: DataFrame, sample: DataFrame, text: str, id_column: str = "doc_id") -> DataFrame:
-    """``doc_id, text, target`` of the sampled rows; texts are filtered where they are read."""
+    """``doc_id, text, target`` of the sampled ids, one row each; texts are filtered where they are read.
+
+    Of several rows with one id the text with the smallest hash is taken, reduced
+    in the tasks first: no more rows than ids come out, however often an id repeats.
+    """
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"))
-    return rows.join(F.broadcast(sample), rows["doc_id"] == F.col("sample_id")).select("doc_id", "text", "target")
+    found = rows.join(F.broadcast(sample), rows["doc_id"] == F.col("sample_id"))
+    first = F.min(F.struct(F.xxhash64("text").alias("hash"), "text", "target")).alias("first")
+    return found.groupBy("doc_id").agg(first).select("doc_id", "first.text", "first.target")

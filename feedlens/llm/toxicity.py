@@ -14,8 +14,9 @@ marked words contribute and the length are turned into a probability by a
 logistic fit on labelled rows that were not counted.
 
 What is learnt is bounded by parameters: ``PER_CLASS`` labelled rows of each
-class, ``MAX_WORDS`` words and prefixes and ``MAX_PAIRS`` word pairs. Everything
-is scored in one pass over the texts, without exchange.
+class, the ``MAX_WORDS`` words and prefixes of most texts, and the ``MAX_PAIRS``
+word pairs whose shares of the two classes differ most; other pairs count through
+their words only. Everything is scored in one pass over the texts, without exchange.
 
 Rows, one by one: a null or wordless text has likelihood ratio 0 and length 0 and
 gets the score the logistic fit gives it; texts are read whole; equal texts get
@@ -45,7 +46,7 @@ WORD_DISCOUNT, PAIR_DISCOUNT = 0.75, 4.0
 MARKED = 3.0
 CALIBRATION_FOLDS = 4
 PREFIXES = (6, 4)
-LEAST_TEXTS, LEAST_SHARE = 3, 1e-3  # a word of the model is in so many texts, and in this share of them
+LEAST_TEXTS = 3  # a word of the model is in so many texts, whatever the size of the sample
 
 #: punctuation of ASCII becomes a blank
 _BLANKS = bytes(32 if chr(c) in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else c for c in range(256))
@@ -198,12 +199,11 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int =
           max_pairs: int = MAX_PAIRS) -> Model:
     """Learns from labelled rows outside the held-out fold (crc32 of the id modulo ``modulus``)."""
     spark = batches(docs.sparkSession)
-    sample = cut_lineage(sample_texts(docs, sample_ids(labels, label, modulus, remainder, per_class), text, id_column))
+    sample = cut_lineage(sample_texts(docs, sample_ids(labels, label, modulus, remainder, per_class, id_column), text, id_column))
     aside = F.pmod(F.xxhash64(F.lit("fold"), F.col("doc_id")), F.lit(CALIBRATION_FOLDS)) == 0
     counted = sample.where(~aside)
 
-    least = max(LEAST_TEXTS, int(LEAST_SHARE * counted.count()))
-    top = _texts_with(counted).where(F.col("n") >= least).orderBy(F.col("n").desc(), "word").limit(max_words)
+    top = _texts_with(counted).where(F.col("n") >= LEAST_TEXTS).orderBy(F.col("n").desc(), "word").limit(max_words)
     ids = {word: i for i, word in enumerate(top.select("word").toArrow().column(0).to_pylist(), 1)}  # max_words at most
     v = len(ids) + 1
     sent = spark.sparkContext.broadcast(ids)
@@ -216,10 +216,12 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int =
         out[:, found.column(0).to_numpy()] = [c.to_numpy() for c in found.columns[1:]]
         return list(out)
 
-    total = F.col("c0") + F.col("c1")
     contexts, *words_by = spread("second", v, F.count("*"), F.sum("c0"), F.sum("c1"))
     leading = spread("first", v + 1, F.sum("c0"), F.sum("c1"))
-    kept = pairs.where(total > 1).orderBy(total.desc(), "first", "second").limit(max_pairs)
+    # first those whose shares of the two classes differ most
+    ordinary, toxic = (F.lit(float(max(words.sum(), 1.0))) for words in words_by)
+    differ = F.abs(F.col("c1") / toxic - F.col("c0") / ordinary)
+    kept = pairs.where(F.col("c0") + F.col("c1") > 1).orderBy(differ.desc(), "first", "second").limit(max_pairs)
     first, second, *by_class = (c.to_numpy() for c in kept.toArrow().columns)  # bounded by max_pairs
     key = first * (v + 1) + second
     order = np.argsort(key)

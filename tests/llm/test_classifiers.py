@@ -126,3 +126,73 @@ def test_known_labels_are_all_of_them(spark):
     kept = [i for i in range(300) if zlib.crc32(str(i).encode()) % 5]
     want = {1: sum(i % 3 == 0 for i in kept), 0: sum(i % 3 > 0 for i in kept)}
     assert {r["target"]: r["count"] for r in known.groupBy("target").count().collect()} == want
+
+
+def test_a_repeated_id_gives_one_row(spark):
+    from feedlens.llm.labelled import sample_texts
+
+    docs = spark.createDataFrame([(1, f"text {i % 7}") for i in range(400)] + [(2, None), (2, "b"), (3, "c"), (None, "d")], "doc_id long, text string")
+    ids = spark.createDataFrame([(1, 1), (2, 0), (4, 1)], "sample_id long, target int")
+    found = sample_texts(docs.repartition(3), ids, "text").collect()
+    assert sorted((r["doc_id"], r["target"]) for r in found) == [(1, 1), (2, 0)]
+    assert {r["text"] for r in sample_texts(docs, ids, "text").collect()} == {r["text"] for r in found}
+
+
+def test_other_name_of_the_id(labelled):
+    docs, labels = labelled
+    same = toxicity.train(docs, labels)
+    renamed = toxicity.train(docs.withColumnRenamed("doc_id", "number"), labels.withColumnRenamed("doc_id", "number"), id_column="number")
+    assert np.allclose(same.weights, renamed.weights)
+
+
+def test_likelihoods_equal_plain_loops():
+    """Counts and formulas of the two models from lists of words, by dictionaries alone."""
+    import math
+    from collections import Counter
+
+    rng = np.random.default_rng(8)
+    texts = [[list(rng.integers(0, 6 + c, rng.integers(1, 12))) for _ in range(40)] for c in (0, 1)]
+    v, start = 7, 7
+    counts = [Counter(), Counter()]
+    for c in (0, 1):
+        for t in texts[c]:
+            counts[c].update(set(zip([start, *t], t)))
+    pairs = sorted(set(counts[0]) | set(counts[1]))
+    by_word = [[sum(n for (_, b), n in counts[c].items() if b == w) for w in range(v)] for c in (0, 1)]
+    by_first = [[sum(n for (a, _), n in counts[c].items() if a == w) for w in range(v + 1)] for c in (0, 1)]
+    contexts = [len({a for a, b in pairs if b == w}) for w in range(v)]
+    model = toxicity.Model({}, np.array(by_word, float), np.array(by_first, float), np.array(contexts, float),
+                           np.array([a * (v + 1) + b for a, b in pairs]), np.array([[counts[c][p] for p in pairs] for c in (0, 1)], float))
+
+    def log_p(c, a, b):
+        shared = (contexts[b] + 1) / (sum(contexts) + v)
+        kept = [max(n - toxicity.WORD_DISCOUNT, 0) / sum(by_word[c]) for n in by_word[c]]
+        unigram = kept[b] + (1 - sum(kept)) * shared
+        of_a = {q: max(n - toxicity.PAIR_DISCOUNT, 0) / max(by_first[c][a], 1) for (p, q), n in counts[c].items() if p == a}
+        return math.log(of_a.get(b, 0) + (1 - sum(of_a.values())) * unigram)
+
+    asked = [[], [3], *texts[0][:10], *texts[1][:10], [6, 6, 6, 0]]
+    ratio, marked, n = model.log_ratios([list(map(int, t)) for t in asked])
+    for i, t in enumerate(asked):
+        found = [log_p(1, a, b) - log_p(0, a, b) for a, b in set(zip([start, *t], t))]
+        assert ratio[i] == pytest.approx(sum(found)) and n[i] == len(found)
+        assert marked[i] == pytest.approx(sum(max(x - toxicity.MARKED, 0) for x in found))
+
+
+def test_words_are_learnt_alike_at_every_size(spark):
+    """Words of three toxic texts stay in the model however many ordinary texts stand beside them."""
+    for n in (60, 4000):
+        rows = [(i, "plain words of any text", 0) for i in range(n)] + [(10_000 + i, "rare venom here", 1) for i in range(24)]
+        made = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+        model = toxicity.train(made, made.select("doc_id", "toxic"))
+        assert b"venom" in model.ids
+
+
+def test_pairs_that_differ_are_kept_first(spark):
+    rows = [(i, " ".join(f"a{j} b{j}" for j in range(30)), i % 2) for i in range(400)]
+    rows += [(1000 + i, "odd couple", 1) for i in range(40)]
+    made = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(made, made.select("doc_id", "toxic"), max_pairs=2)
+    v = len(model.ids) + 1
+    kept = {(int(k) // (v + 1), int(k) % (v + 1)) for k in model.pairs}
+    assert (model.ids[b"odd"], model.ids[b"couple"]) in kept
