@@ -10,6 +10,11 @@ the tasks, which look up the bin and the offset of each piece by its number
 among the pieces of its length. These numbers come from counts per task and
 length and a prefix sum over tasks, so pieces of one length are never gathered.
 
+Strings of added tokens (say, ``<|endoftext|>``) in a text are ordinary text: the
+vocabulary's own instructions read it with ``encode_special_tokens``, and no id of
+an added token is ever made. Ids come from the faster of two installed libraries
+for one vocabulary; tests compare the two over whole tables.
+
 Rows, one by one: a null text counts as empty and gives the end token alone; a
 text of any length is tokenised whole and cut, its first piece taking the
 remainder; equal rows and ids are packed each for itself, a null id is kept; an

@@ -46,7 +46,8 @@ BLOCKS = {
     "nav", "ol", "option", "p", "pre", "section", "table", "td", "th", "tr", "ul",
 }
 
-_TAG = re.compile(r"<!--|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^<>]*)>|<[!?][^<>]*>")
+# a quoted value behind an equals sign may hold < and >; other quotes are plain characters
+_TAG = re.compile(r"""<!--|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>=]|=\s*+(?:"[^"]*"|'[^']*')?+)*+)>|<[!?][^<>]*>""")
 _HREF = re.compile(r"""\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _BLANKS = re.compile(r"[^\S\n]+")
 

@@ -76,3 +76,9 @@ def test_ids_of_the_fast_library(tokenizer):
 
 def test_empty(no_docs):
     assert packing.pack(no_docs, TOKENIZER).collect() == []
+
+
+def test_ids_of_a_whole_table(spark, tokenizer):
+    encode = packing.encoder(TOKENIZER)
+    for row in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect():
+        assert encode(row["text"] or "") == tokenizer.encode(row["text"] or "", add_special_tokens=False).ids

@@ -128,3 +128,14 @@ def test_foreign_responses(spark):
 def test_empty(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert wd.derive(wd.responses(pages)).collect() == []
+
+
+def test_quoted_signs_within_tags():
+    for page, text, links in [
+        ('<a title="a>b" href="/x">t</a>', "t", ["http://h/x"]),
+        ("<a href='/y' title='<b>'>t</a> u", "t u", ["http://h/y"]),
+        ('<p data-x = "1 > 2">one</p><p class=it\'s>two</p> three\'s', "one\ntwo\nthree's", []),
+        ('<a href="/z>open</a> rest', "open rest", []),
+        ('<img alt="never closed> a <b>c</b>', "a c", []),
+    ]:
+        assert wd.page_content(page, "http://h/")[1:] == (text, links), page
