@@ -11,7 +11,9 @@ from feedlens.session import cut_lineage
 MAX_BROADCAST_ROWS = 200_000
 
 
-def number_rows(df: DataFrame, group: list[str], order: list[Column], column: str = "number") -> DataFrame:
+def number_rows(
+    df: DataFrame, group: list[str], order: list[Column], column: str = "number", row_key: list[str] | None = None
+) -> DataFrame:
     """Add 1, 2, 3… within ``group`` by ``order``, which must break every tie.
 
     A window would sort a whole group in one task. Here the rows are
@@ -19,12 +21,24 @@ def number_rows(df: DataFrame, group: list[str], order: list[Column], column: st
     stretch, and the stretches are offset by a prefix sum over their counts.
     Range bounds are sampled and may differ between two evaluations, so the
     partitioned rows are written to the shared folder before they are counted.
+
+    With a ``row_key``, columns without nulls that are unique over all rows, only
+    the key and the group are partitioned and written, and the number is joined to
+    the rows by the key. ``df`` is then read twice, once for the columns of
+    ``group``, ``order`` and ``row_key`` alone.
     """
+    if row_key is not None:
+        narrow = _numbered(df, group, order, column, [*row_key, *[c for c in group if c not in row_key]])
+        return df.join(narrow.select(*row_key, column), row_key).select(*[F.col(f"`{c}`") for c in df.columns], column)
+    return _numbered(df, group, order, column, df.columns)
+
+
+def _numbered(df: DataFrame, group: list[str], order: list[Column], column: str, kept: list[str]) -> DataFrame:
     keys = [F.col(f"`{c}`").asc() for c in group]
     spread = (
         df.repartitionByRange(*keys, *order)
         .sortWithinPartitions(*keys, *order)
-        .withColumn("_at", F.monotonically_increasing_id())
+        .select(*[F.col(f"`{c}`") for c in kept], F.monotonically_increasing_id().alias("_at"))
     )
     # the upper bits of the id are the partition, the lower 33 the row in it
     fixed = cut_lineage(spread).withColumn("_part", F.shiftright("_at", 33))
@@ -46,4 +60,4 @@ def number_rows(df: DataFrame, group: list[str], order: list[Column], column: st
     small = renamed.count() <= MAX_BROADCAST_ROWS
     numbered = fixed.join(F.broadcast(renamed) if small else renamed, on)
     number = F.col("_at") - F.col("_from") + F.col("_skip") + 1
-    return numbered.select(*[F.col(f"`{c}`") for c in df.columns], number.alias(column))
+    return numbered.select(*[F.col(f"`{c}`") for c in kept], number.alias(column))

@@ -12,7 +12,8 @@ from feedlens.functions.nested import (
     translation,
 )
 from feedlens.functions.text import has_text
-from feedlens.operators.dedupe import arrival_order, first_per_text
+from feedlens.operators.dedupe import arrival_order, first_per_key
+from feedlens.operators.joins import TEXT_KEY, with_text_key
 from feedlens.operators.keywords import keyword_flag
 from feedlens.operators.numbering import number_rows
 from feedlens.schema import ISO_FORMAT, info_struct, parse_datetime
@@ -30,14 +31,19 @@ def review_export(
 
     Copies of a text are dropped over all messages; numbers count the distinct
     texts of a data set in arrival order, empty ones included, which leaves gaps.
+    Texts are told apart by two 64-bit hashes, and copies that arrive together by
+    their columns. The messages are read twice, once for the numbers, where only
+    times, ids, names and hashes are exchanged and written; where an engine has
+    enriched them they should be stored first, as ``run_listening`` does.
     """
     space = F.lower(F.col("country") if workspace is None else F.lit(workspace) if isinstance(workspace, str) else workspace)
     name = F.lit(dataset) if isinstance(dataset, str) else dataset
-    unique = first_per_text(messages).withColumns({"workspace": space, "dataset": name})
-    numbered = number_rows(
-        unique, ["workspace", "dataset"], [*arrival_order(), F.col("source").asc(), F.col("text").asc()]
-    )
-    flagged = keyword_flag(numbered.where(has_text(F.col("text"))), keywords)
+    told_apart = [*arrival_order(), F.col("source").asc(), F.col("country").asc(), F.col("group").asc()]
+    named = with_text_key(messages, F.col("text")).withColumns({"workspace": space, "dataset": name})
+    unique = first_per_key(named, TEXT_KEY, [*told_apart, F.col("dataset").asc(), F.col("workspace").asc()])
+    by_hash = [F.col(c).asc() for c in TEXT_KEY]
+    numbered = number_rows(unique, ["workspace", "dataset"], [*told_apart, *by_hash], row_key=TEXT_KEY)
+    flagged = keyword_flag(numbered.where(has_text(F.col("text"))).drop(*TEXT_KEY), keywords)
     translations = F.col("translations")
     return flagged.select(
         "workspace",

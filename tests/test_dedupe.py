@@ -98,6 +98,20 @@ def test_numbers_run_over_partitions(spark):
     assert len(got) == 5000
 
 
+def test_numbers_joined_by_a_row_key_equal_numbers_of_whole_rows(spark):
+    df = spark.range(0, 3000, numPartitions=5).select(
+        "id", F.when(F.col("id") % 3 < 2, "big").otherwise(None).alias("g"), F.repeat(F.lit("x"), 50).alias("text")
+    )
+    order = [F.pmod(F.col("id") * 7919, F.lit(3001)).asc()]
+    whole = {(r.id, r.number) for r in number_rows(df, ["g"], order).collect()}
+    by_key = number_rows(df, ["g"], order, row_key=["id"])
+    assert by_key.columns == ["id", "g", "text", "number"]
+    assert {(r.id, r.number) for r in by_key.collect()} == whole
+    # the texts are not written to number the rows
+    scans = [line for line in by_key._jdf.queryExecution().optimizedPlan().toString().splitlines() if "parquet" in line]
+    assert scans and not any("text" in line for line in scans)
+
+
 def test_topic_vocabulary(make):
     rows = make({"classifications": [("a", 1.0, "model"), ("a", 0.5, "human")]}, {"classifications": [("b", 1.0, "model")]})
     assert {(r.topic, r.messages) for r in topics.topic_vocabulary(rows).collect()} == {("a", 1), ("b", 1)}

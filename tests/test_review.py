@@ -34,6 +34,20 @@ def test_export_numbers_leave_a_gap_for_empty_text(records):
     assert got["0"].metadata.datetime == "2023-11-29T17:00:00"
 
 
+def test_copies_that_arrive_together_are_exported_once(make):
+    rows = make(
+        {"id_": "1", "text": "a", "source": "B"}, {"id_": "1", "text": "a", "source": "A"},
+        {"id_": "1", "text": "a", "source": "A", "country": "UKR"}, {"id_": "1", "text": "b", "source": "A"},
+        {"id_": "2", "text": None}, {"id_": "2", "text": "c"},
+    )
+    got = review.review_export(rows, ["x"], F.concat("country", F.lit("-1"))).collect()
+    assert sorted((r.text_original, r.metadata.source, r.dataset) for r in got) == [
+        ("a", "A", "NLD-1"), ("b", "A", "NLD-1"), ("c", "Telegram", "NLD-1"),
+    ]
+    # the null text has a number of its own
+    assert len({r.metadata.number for r in got}) == 3 and max(r.metadata.number for r in got) <= 4
+
+
 def test_import_merges_answers(spark, records):
     answers = spark.createDataFrame(
         [("nld", "NLD-1", "0", "submitted", ["A", "B"], None, "u"), ("nld", "NLD-1", "2", "discarded", ["A"], None, None)], ANSWERS
