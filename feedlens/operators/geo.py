@@ -19,10 +19,10 @@ MAX_INLINE_REGIONS = 50
 MAX_INLINE_POINTS = 2_000
 FINEST_LEVEL = -7  # cells of 1/128 degree for the smallest regions
 
-HIT = "field_ix:int,loc_id:int,name:string,lon:double,lat:double"
+HIT = "field_ix:int,loc_id:bigint,name:string,lon:double,lat:double"
 HITS = f"array<struct<{HIT}>>"
 NAMES = "array<struct<field_ix:int,name:string>>"
-SHAPES = f"array<struct<loc_id:int,names:{NAMES},rings:array<array<struct<x:double,y:double>>>,box:struct<x0:double,y0:double,x1:double,y1:double>>>"
+SHAPES = f"array<struct<loc_id:bigint,names:{NAMES},rings:array<array<struct<x:double,y:double>>>,box:struct<x0:double,y0:double,x1:double,y1:double>>>"
 
 
 def place_names(gazetteer: DataFrame, fields: list[str]) -> DataFrame:
@@ -43,7 +43,7 @@ def place_names(gazetteer: DataFrame, fields: list[str]) -> DataFrame:
         *[F.struct(F.lit(i).alias("field_ix"), fold(F.col(f)).alias("name")) for i, f in enumerate(fields)]
     )
     return (
-        gazetteer.select(F.col("loc_id").cast("int").alias("loc_id"), lon.alias("lon"), lat.alias("lat"), F.explode(names).alias("_n"))
+        gazetteer.select(F.col("loc_id").cast("bigint").alias("loc_id"), lon.alias("lon"), lat.alias("lat"), F.explode(names).alias("_n"))
         .select("_n.field_ix", "loc_id", "_n.name", "lon", "lat")
         .where("name is not null and name <> ''")
     )
@@ -94,7 +94,7 @@ def _shapes(regions: DataFrame, fields: list[str]) -> DataFrame:
         raise ValueError(f"the regions have none of the name fields {', '.join(fields)}")
     names = F.array(*[F.struct(F.lit(i).alias("field_ix"), F.col(f).alias("name")) for i, f in enumerate(known)])
     shaped = regions.select(
-        F.col(identity).cast("int").alias("loc_id"),
+        F.col(identity).cast("bigint").alias("loc_id"),
         F.filter(names, lambda n: n["name"].isNotNull()).alias("names"),
         _rings(regions).alias("rings"),
     )

@@ -17,10 +17,14 @@ from feedlens.functions.text import clean_text
 from feedlens.operators import anonymize as anon
 from feedlens.operators import classify, compare, dedupe, filters, geo, keywords, language
 from feedlens.operators import review, threads, topics, translate, wordfreq
+from feedlens.operators.totals import StageTotals
 from feedlens.plans import testtables as tt
 from feedlens.plans.pipeline import dataset_column, enrich
-from feedlens.session import lookup_table, scratch_dir, tune
-from feedlens.sources import files, raw
+from feedlens.schema import info_struct
+from feedlens.session import cut_lineage, lookup_table, scratch_dir, tune
+from feedlens.sources import files, gazetteer, raw
+from feedlens.sources.labels import label_table
+from feedlens.sources.reviewset import decode_metadata, read_review_set, write_review_set
 from feedlens.sources.store import MessageStore
 from feedlens.streaming import streams
 
@@ -111,6 +115,47 @@ def scan_form_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("id_", "datetime_", "country", "source", _channel(), "text", asset)
 
 
+@query
+def scan_bad_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good, malformed and empty records of landed exports, counted by file and added up by channel."""
+    landed = scratch_dir(spark, "faulty")
+    tt.faulty_channel_rows(spark, sf_dir).write.partitionBy("channel").text(landed)
+    records = raw.read_records(spark, landed, raw.CHANNEL_SCHEMA)
+    account = raw.input_account(records, F.coalesce(F.col("record.message"), F.lit("")) == "")
+    by_channel = account.groupBy(F.regexp_extract("file", "channel=([^/]*)/", 1).alias("channel"))
+    return by_channel.agg(*[F.sum(c).alias(c) for c in ("records", "good", "malformed", "empty")])
+
+
+@query
+def scan_gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions landed as GeoJSON, read back with their centroids."""
+    landed = scratch_dir(spark, "features")
+    tt.region_features(spark, sf_dir).write.text(landed)
+    places = gazetteer.read_features(spark, landed, ["name"])
+    return places.select(
+        "name", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"),
+        F.size(F.flatten("rings")).cast("bigint").alias("points"),
+    )
+
+
+@query
+def label_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class indexes of all documents, named by a label dictionary that is landed as JSON."""
+    landed = scratch_dir(spark, "labels")
+    tt.source_labels(spark, sf_dir).write.text(landed)
+    indexed = tt.table(spark, sf_dir, "documents").select("doc_id", F.pmod("doc_id", F.lit(3)).cast("int").alias("ix"))
+    return indexed.join(label_table(spark, landed), "ix").select("doc_id", "label")
+
+
+@query
+def nan_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of events, those of errors given as values that are no numbers: such a message has no point."""
+    ev = tt.table(spark, sf_dir, "events")
+    lat = F.when(F.col("event_type") == "error", F.lit(float("nan"))).otherwise(F.pmod("value", F.lit(90.0)))
+    points = ev.select(F.col("event_id").cast("string").alias("id_"), info_struct(lon=F.lit(0.25), lat=lat).alias("info"))
+    return points.select("id_", F.col("info.coordinates.lon").alias("lon"), F.round("info.coordinates.lat", 6).alias("lat"))
+
+
 @query
 def normalize_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tt.raw_channels(spark, sf_dir)
@@ -133,6 +178,27 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def csv_in_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One CSV file of all documents, with their line breaks, read in byte ranges."""
+    rows = tt.translated_documents(spark, sf_dir).drop("lang").coalesce(1)
+    back = files.read_csv(spark, files.write_csv(rows, scratch_dir(spark, "csv")), in_ranges=True)
+    return back.select(
+        "id_", "datetime_", "country", _channel(), "text", "reply",
+        F.size("translations").cast("bigint").alias("translations"),
+        nested.first_translation(F.col("translations"), "text").alias("translated"),
+    )
+
+
+@query
+def snapshot_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The intermediate result of an extraction, saved under its source and dates and read again."""
+    folder = scratch_dir(spark, "snapshots")
+    path = files.save_snapshot(tt.documents(spark, sf_dir), folder, "documents", "2024-01-01", "2024-02-01")
+    back = files.read_csv(spark, path)
+    return back.select("id_", "datetime_", "country", _channel(), "text")
+
+
 def _filled_store(spark: SparkSession, sf_dir: str) -> MessageStore:
     store = MessageStore(spark, scratch_dir(spark, "store"))
     store.append(tt.documents(spark, sf_dir).unionByName(tt.conversations(spark, sf_dir)))
@@ -293,6 +359,7 @@ def word_frequency_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def word_frequency_translated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the German documents, the only ones this lexicon is for, counted and then translated."""
     german = tt.documents(spark, sf_dir, heavy=True).where("country = 'DEU'")
     none = tt.stopwords(spark).where(F.lit(False))
     counted = wordfreq.word_frequency(german, none, tt.lemmas(spark))
@@ -591,6 +658,18 @@ def enrich_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def stage_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that leave each stage of the chain, counted by the one action that writes its result."""
+    totals = StageTotals()
+    extracted = totals.watch(tt.documents(spark, sf_dir, heavy=True), "extract")
+    kept = totals.watch(filters.min_length(filters.non_empty(extracted)), "filter")
+    done = enrich(kept, _translate, _classify, anonymize=anon.anonymize, totals=totals)
+    cut_lineage(totals.watch(done, "processed"))
+    rows = [(i, stage, n) for i, (stage, n) in enumerate(totals.counts().items())]
+    return lookup_table(spark, rows, "ix bigint, stage string, messages bigint")
+
+
 def _review_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classify(_translate(tt.documents(spark, sf_dir, with_members=True, heavy=True)))
 
@@ -616,6 +695,27 @@ def review_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _records(spark, sf_dir).select("workspace", "dataset", "external_id", "metadata.number")
 
 
+@query
+def review_set_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All review sets written, one of them read again by its name."""
+    path = scratch_dir(spark, "sets")
+    write_review_set(_records(spark, sf_dir), path)
+    back = read_review_set(spark, path, "GBR-2024-01-01-2024-02-01", "GBR")
+    return back.select("workspace", "dataset", "external_id", "text_original", "metadata.number")
+
+
+@query
+def metadata_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata of all review records, stored as JSON text and decoded."""
+    records = _records(spark, sf_dir)
+    kind = records.schema["metadata"].dataType
+    back = decode_metadata(records.withColumn("metadata", F.to_json("metadata")), kind)
+    return back.select(
+        "external_id", "metadata.number", "metadata.keyword_flag", F.col("metadata.group").alias("channel"),
+        "metadata.group_members", "metadata.datetime",
+    )
+
+
 @query
 def review_import(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = review.review_import(_records(spark, sf_dir), tt.review_answers(spark, sf_dir))

@@ -172,6 +172,31 @@ _oracle(
     """SELECT id_, datetime_, 'UKR' AS country, 'Kobo' AS source, channel, text, 'asset-1' AS kobo_asset FROM docs""",
     DOCS,
 )
+_oracle(
+    "scan_bad_input",
+    """SELECT channel, count(*) AS records, CAST(sum(good) AS BIGINT) AS good, CAST(sum(bad) AS BIGINT) AS malformed,
+              CAST(sum(1 - good - bad) AS BIGINT) AS empty
+       FROM (SELECT coalesce(source, 'none') AS channel, CAST(doc_id % 10 IN (3, 7) AS INTEGER) AS bad,
+                    CAST(doc_id % 10 NOT IN (3, 5, 7) AND coalesce(text, '') <> '' AS INTEGER) AS good
+             FROM documents) GROUP BY 1""",
+)
+_oracle(
+    "label_lookup",
+    """SELECT doc_id, label FROM documents JOIN (
+         SELECT source AS label, row_number() OVER (ORDER BY source) - 1 AS ix
+         FROM (SELECT DISTINCT source FROM documents WHERE source IS NOT NULL)) ON doc_id % 3 = ix""",
+)
+_oracle(
+    "nan_coordinates",
+    """SELECT id_, CASE WHEN channel <> 'error' THEN CAST(0.25 AS DOUBLE) END AS lon,
+              CASE WHEN channel <> 'error' THEN round(lat, 6) END AS lat FROM ev""",
+    EVENTS,
+)
+_oracle(
+    "snapshot_round_trip",
+    "SELECT id_, datetime_, country, channel, text FROM docs",
+    DOCS,
+)
 _oracle(
     "normalize_messages",
     f"""SELECT CAST(id AS VARCHAR) AS id_, date AS datetime_, {SCRAPED} AS datetime_scraped_, 'NLD' AS country,
@@ -187,6 +212,7 @@ _oracle(
               CASE WHEN lang <> 'en' THEN reverse(text) ELSE '' END AS translated FROM docs""",
     DOCS,
 )
+ORACLES["csv_in_ranges"] = ORACLES["csv_round_trip"]
 _oracle(
     "scan_store_required_filters",
     """SELECT id_, datetime_, country, source, channel, text FROM docs WHERE country = 'FRA'
@@ -447,8 +473,8 @@ _oracle(
 # places -------------------------------------------------------------------------------------------
 
 NAMES = f"""names AS (
-  SELECT 0 AS field_ix, loc_id, {_strip("lower(name)")} AS name, lon, lat FROM places WHERE {_strip("name")} <> ''
-  UNION ALL SELECT 1, loc_id, {_strip("lower(name_alt)")}, lon, lat FROM places WHERE {_strip("name_alt")} <> '')"""
+  SELECT 0 AS field_ix, CAST(loc_id AS BIGINT) AS loc_id, {_strip("lower(name)")} AS name, lon, lat FROM places WHERE {_strip("name")} <> ''
+  UNION ALL SELECT 1, CAST(loc_id AS BIGINT), {_strip("lower(name_alt)")}, lon, lat FROM places WHERE {_strip("name_alt")} <> '')"""
 INSIDE = """inside AS (
   SELECT id_, region_id, name, lon, lat FROM ev JOIN edges ON (y1 > lat) <> (y2 > lat)
     AND lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1
@@ -462,7 +488,7 @@ _oracle(
 ORACLES["geo_text_match_blocked"] = ORACLES["geo_text_match"]
 _oracle(
     "geo_point_in_region",
-    """SELECT id_, 0 AS field_ix, region_id AS loc_id, name, round(lon, 6) AS lon, round(lat, 6) AS lat FROM inside""",
+    """SELECT id_, 0 AS field_ix, CAST(region_id AS BIGINT) AS loc_id, name, round(lon, 6) AS lon, round(lat, 6) AS lat FROM inside""",
     EVENTS, EDGES, INSIDE,
 )
 ORACLES["geo_point_in_region_grid"] = ORACLES["geo_point_in_region"]
@@ -480,6 +506,10 @@ _oracle(
     EVENTS,
     "spans AS (SELECT user_id AS region_id, lon, min(lat) AS low, max(lat) AS high FROM ev GROUP BY ALL)",
 )
+_oracle(
+    "scan_gazetteer",
+    f"SELECT 'user ' || region_id AS name, lon, lat, CAST(5 AS BIGINT) AS points FROM ({ORACLES['region_centroids']})",
+)
 _oracle(
     "geolocate",
     """SELECT source, id_, row_number() OVER (PARTITION BY source, id_ ORDER BY field_ix, loc_id) - 1 AS ix,
@@ -521,6 +551,13 @@ _oracle(
         WHERE length(text) >= 20""",
     DOCS, *LANGUAGE, TRANSLATED, TERMS, SCORES, PLACES, NAMES,
 )
+_oracle(
+    "stage_totals",
+    """SELECT CAST(ix AS BIGINT) AS ix, stage, CASE ix WHEN 0 THEN n ELSE k END AS messages
+       FROM (VALUES (0, 'extract'), (1, 'filter'), (2, 'translate'), (3, 'classify'), (4, 'anonymize'), (5, 'processed'))
+            AS stages(ix, stage),
+            (SELECT count(*) AS n, count(*) FILTER (WHERE length(text) >= 20) AS k FROM documents)""",
+)
 RECORDS = f"""uniq AS (
   SELECT *, lower(country) AS workspace, country || '-2024-01-01-2024-02-01' AS dataset FROM translated
   QUALIFY row_number() OVER (PARTITION BY text ORDER BY datetime_, num) = 1),
@@ -546,6 +583,16 @@ ANSWERS = f"""answers AS (
 _REVIEW = (DOCS, *LANGUAGE, TRANSLATED, TERMS, SCORES, RECORDS)
 _oracle("review_export", "SELECT * EXCLUDE (datetime_) FROM records", *_REVIEW)
 _oracle("review_numbering", "SELECT workspace, dataset, external_id, number FROM records", *_REVIEW)
+_oracle(
+    "review_set_round_trip",
+    "SELECT workspace, dataset, external_id, text_original, number FROM records WHERE workspace = 'gbr'",
+    *_REVIEW,
+)
+_oracle(
+    "metadata_decode",
+    "SELECT external_id, number, keyword_flag, channel, group_members, datetime FROM records",
+    *_REVIEW,
+)
 _oracle(
     "review_import",
     """SELECT external_id AS id_, datetime_, country, channel, text_original AS text, group_members,

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from feedlens.functions.text import dataset_name
 from feedlens.operators.filters import min_length, non_empty
 from feedlens.operators.review import review_export
+from feedlens.operators.totals import StageTotals
 from feedlens.session import cut_lineage
-from feedlens.sources.raw import read_messages
+from feedlens.sources.raw import InputCheck, read_messages
 from feedlens.sources.reviewset import write_review_set
 from feedlens.sources.store import MessageStore
 
@@ -30,11 +31,17 @@ def enrich(
     classify: Step | None = None,
     geolocate: Step | None = None,
     anonymize: Step | None = None,
+    totals: StageTotals | None = None,
 ) -> DataFrame:
-    """The stages that are given, always in this order. Nothing runs before an action."""
-    for step in (translate, classify, geolocate, anonymize):
+    """The stages that are given, always in this order. Nothing runs before an action.
+
+    With ``totals`` the rows that leave each stage are counted by that action.
+    """
+    for name, step in zip(STAGES, (translate, classify, geolocate, anonymize)):
         if step is not None:
             messages = messages.transform(step)
+            if totals is not None:
+                messages = totals.watch(messages, name)
     return messages
 
 
@@ -85,22 +92,29 @@ def run_listening(
     stages: dict[str, Step] | None = None,
     days: int = 14,
     minimum: int = 20,
+    max_malformed: float = 1.0,
     **source_options,
-) -> dict[str, str | int]:
+) -> dict[str, str | int | dict[str, int]]:
     """Landed exports of the last ``days`` days to the store and to a review set.
 
     The review set is made from the stored rows of the same window, so the
-    enrichment is computed once.
+    enrichment is computed once. Rows are counted at every stage while it runs.
+    Nothing is stored if more than the share ``max_malformed`` of the landed
+    records is malformed; by default they are only counted.
     """
     country = country.upper()
     first, last = spark.sql(
         "SELECT CAST(date_sub(DATE(:d), :n) AS STRING), CAST(DATE(:d) AS STRING)", {"d": as_of, "n": days}
     ).first()
-    messages = read_messages(spark, source, path, first, country, scraped_at, **source_options)
+    totals, check = StageTotals(), InputCheck(max_malformed)
+    messages = read_messages(spark, source, path, first, country, scraped_at, check=check, **source_options)
+    extracted = totals.watch(messages, "extract")
+    kept = totals.watch(min_length(non_empty(extracted), minimum), "filter")
     # the upsert looks at its batch twice; engines must not run twice for that
-    ready = cut_lineage(enrich(min_length(non_empty(messages), minimum), **(stages or {})))
-    processed = ready.count()
-    log.info("processed %s messages", processed)
+    ready = cut_lineage(totals.watch(enrich(kept, **(stages or {}), totals=totals), "processed"))
+    landed = check.refuse()
+    counts = totals.counts()
+    log.info("%s of %s landed records malformed; rows by stage: %s", landed["malformed"], landed["records"], counts)
     store.upsert(ready)
 
     name = f"{country}-{first}-{last}"
@@ -112,7 +126,10 @@ def run_listening(
         "dataset": name,
         "start": first,
         "end": last,
-        "processed": processed,
+        "processed": counts["processed"],
+        "landed": landed["records"],
+        "malformed": landed["malformed"],
+        "stages": counts,
     }
 
 

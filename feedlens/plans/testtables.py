@@ -261,6 +261,17 @@ def form_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.to_json(export).alias("value"))
 
 
+def faulty_channel_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``channel, value``: ``documents`` as channel rows in JSON text, some cut short, some with a text for an id, some without a message."""
+    rest = F.pmod("id", F.lit(10))
+    rows = raw_documents(spark, sf_dir).withColumn("message", F.when(rest != 5, F.col("message")))
+    line = F.to_json(F.struct(*rows.columns))
+    cut = F.expr("left(line, length(line) - 1)")
+    wrong = F.regexp_replace("line", '"id":[0-9]+', '"id":"x"')
+    lines = rows.select(F.coalesce("channel", F.lit("none")).alias("channel"), line.alias("line"), rest.alias("rest"))
+    return lines.select("channel", F.when(F.col("rest") == 3, cut).when(F.col("rest") == 7, wrong).otherwise(F.col("line")).alias("value"))
+
+
 def translated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages that carry a reversed text as translation from their language to English."""
     docs = documents(spark, sf_dir, keep_lang=True)
@@ -322,6 +333,26 @@ def activity_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select(F.col("user_id").alias("region_id"), ring.alias("ring"))
 
 
+def region_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``activity_regions`` as GeoJSON, one polygon a line."""
+    pairs = F.transform("ring", lambda p: F.array(p["x"], p["y"]))
+    feature = F.struct(
+        F.lit("Feature").alias("type"),
+        F.struct(F.concat(F.lit("User "), F.col("region_id").cast("string")).alias("name")).alias("properties"),
+        F.struct(
+            F.lit("Polygon").alias("type"), F.array(F.concat(pairs, F.slice(pairs, 1, 1))).alias("coordinates")
+        ).alias("geometry"),
+    )
+    return activity_regions(spark, sf_dir).select(F.to_json(feature).alias("value"))
+
+
+def source_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sources of ``documents`` in order, as a label dictionary in JSON text."""
+    names = table(spark, sf_dir, "documents").agg(F.array_sort(F.collect_set("source")).alias("names"))
+    entries = F.transform("names", lambda name, i: F.struct(i.cast("string"), name))
+    return names.select(F.to_json(F.map_from_entries(entries)).alias("value"))
+
+
 def review_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers derived from ``labels``: a good text is submitted, a bad one discarded."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")

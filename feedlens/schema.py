@@ -67,19 +67,22 @@ def parse_datetime(value: Column) -> Column:
     return value.cast("string").try_cast("timestamp_ntz")
 
 
+def not_nan(value: Column) -> Column:
+    """A floating value; null where it is not a number, as tools without nulls write what is absent."""
+    return F.when(~F.isnan(value), value)
+
+
 def info_struct(
     group_members: Column | None = None,
     lon: Column | None = None,
     lat: Column | None = None,
     extra: Column | None = None,
 ) -> Column:
-    """An ``info`` value; ``coordinates`` is null unless both numbers are known."""
+    """An ``info`` value; ``coordinates`` is null unless both are numbers."""
     coordinates = F.lit(None).cast(COORDINATES)
     if lon is not None and lat is not None:
-        coordinates = F.when(
-            lon.isNotNull() & lat.isNotNull(),
-            F.struct(lon.cast("double").alias("lon"), lat.cast("double").alias("lat")),
-        )
+        lon, lat = (not_nan(x.cast("double")) for x in (lon, lat))
+        coordinates = F.when(lon.isNotNull() & lat.isNotNull(), F.struct(lon.alias("lon"), lat.alias("lat")))
     members = F.lit(None) if group_members is None else group_members
     return F.struct(
         members.cast("bigint").alias("group_members"),
@@ -95,7 +98,7 @@ def to_messages(df: DataFrame) -> DataFrame:
     """Project any frame with the mandatory columns onto ``MESSAGE_SCHEMA``.
 
     Absent optional columns become their defaults; datetimes given as text are
-    parsed; ids become strings.
+    parsed; ids become strings; floating values that are no numbers are absent.
     """
     missing = [name for name in MANDATORY_COLUMNS if name not in df.columns]
     if missing:
@@ -110,6 +113,8 @@ def to_messages(df: DataFrame) -> DataFrame:
             value = parse_datetime(F.col(name))
         else:
             value = F.col(f"`{name}`")
+            if types[name] in ("float", "double"):
+                value = not_nan(value)
         if name in ("translations", "classifications"):
             value = F.coalesce(value.cast(field.dataType), F.array().cast(field.dataType))
         elif name == "info":

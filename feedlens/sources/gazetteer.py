@@ -58,7 +58,7 @@ def features_to_places(features: DataFrame, fields: list[str]) -> DataFrame:
 
     rings = F.flatten(F.transform(parts, lambda polygon: F.transform(polygon, ring)))
     # an id that depends on the feature alone, not on the order of reading
-    loc_id = F.pmod(F.hash("properties", "geometry"), F.lit(2**31 - 1)).cast("int")
+    loc_id = F.xxhash64("properties", "geometry")
     placed = features.select(
         loc_id.alias("loc_id"),
         *[F.lower(F.col(f"properties.`{f}`")).alias(f) for f in fields],

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +15,7 @@ from feedlens.operators.contains import contains_join
 from feedlens.operators.dedupe import first_per_key
 from feedlens.operators.filters import non_empty, originals_only
 from feedlens.operators.threads import posts_with_replies
+from feedlens.operators.totals import observed
 from feedlens.schema import info_struct, parse_datetime, to_messages
 
 CHANNEL_SCHEMA = T.StructType(
@@ -62,6 +64,68 @@ def read_json(spark: SparkSession, paths: str | list[str], schema: T.StructType,
     return reader.option("multiLine", multi_line).json(paths)
 
 
+def read_records(spark: SparkSession, paths: str | list[str], schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """Every landed record with its file: ``file, malformed, record``.
+
+    A record is a line that is not blank, or with ``multi_line`` a file. It is
+    malformed if it is no JSON or if any field, read later or not, does not have
+    its declared type; the fields that could be read are in ``record``.
+    """
+    marked = T.StructType([*schema.fields, T.StructField("_malformed", T.StringType())])
+    lines = spark.read.option("ignoreMissingFiles", True).text(paths, wholetext=multi_line)
+    # an explicit option keeps Spark from parsing only the fields that are used
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}
+    parsed = lines.where(F.trim("value") != "").select(
+        F.col("_metadata.file_path").alias("file"), F.from_json("value", marked, options).alias("record")
+    )
+    malformed = F.col("record").isNull() | F.col("record._malformed").isNotNull()
+    return parsed.select("file", malformed.alias("malformed"), F.col("record").dropFields("_malformed").alias("record"))
+
+
+def input_account(records: DataFrame, empty: Column) -> DataFrame:
+    """Per file: ``records, good, malformed, empty``; ``empty`` tells of a whole record that it holds nothing to read.
+
+    Files without any record have no row.
+    """
+    bad = F.col("malformed")
+    hollow = ~bad & F.coalesce(empty, F.lit(True))
+    return records.groupBy("file").agg(
+        F.count("*").alias("records"), F.count_if(~bad & ~hollow).alias("good"),
+        F.count_if(bad).alias("malformed"), F.count_if(hollow).alias("empty"),
+    )
+
+
+class InputCheck:
+    """Counts records and malformed ones while a job reads them, and refuses too large a share."""
+
+    def __init__(self, max_malformed: float):
+        self.max_malformed = max_malformed
+        self.seen = Observation(f"input-{uuid.uuid4().hex}")
+
+    def watch(self, records: DataFrame) -> DataFrame:
+        """The fields of the records, counted when an action reads them."""
+        counted = records.observe(
+            self.seen, F.count(F.lit(1)).alias("records"), F.count_if(F.col("malformed")).alias("malformed")
+        )
+        return counted.select("record.*")
+
+    def refuse(self) -> dict[str, int]:
+        """After the action: the two counts, or an error if too many records were malformed."""
+        counts = observed(self.seen, ["records", "malformed"])
+        if counts["malformed"] > self.max_malformed * counts["records"]:
+            raise RuntimeError(
+                f"{counts['malformed']} of {counts['records']} landed records are malformed, "
+                f"more than the stated share of {self.max_malformed}"
+            )
+        return counts
+
+
+def _landed(spark: SparkSession, path, schema: T.StructType, check: InputCheck | None, multi_line: bool = False) -> DataFrame:
+    if check is None:
+        return read_json(spark, path, schema, multi_line)
+    return check.watch(read_records(spark, path, schema, multi_line))
+
+
 def _from_day(column: Column, since: datetime | date | str) -> Column:
     return column >= F.to_date(F.lit(str(since)).cast("timestamp_ntz")).cast("timestamp_ntz")
 
@@ -199,18 +263,20 @@ def scan_forms(exports: DataFrame, country: str, asset: str, scraped_at: datetim
     )
 
 
-def _read_channels(spark: SparkSession, path, since, country, scraped_at, channels=None, members=None, **options):
-    raw = read_json(spark, path, CHANNEL_SCHEMA)
+def _read_channels(
+    spark: SparkSession, path, since, country, scraped_at, channels=None, members=None, check=None, **options
+):
+    raw = _landed(spark, path, CHANNEL_SCHEMA, check)
     return scan_channels(raw, channels or [], since, country, scraped_at, members, **options)
 
 
-def _read_posts(spark: SparkSession, path, since, country, scraped_at, users=None, queries=None):
-    posts = read_json(spark, path, POST_SCHEMA).where(_from_day(F.col("created_at"), since))
+def _read_posts(spark: SparkSession, path, since, country, scraped_at, users=None, queries=None, check=None):
+    posts = _landed(spark, path, POST_SCHEMA, check).where(_from_day(F.col("created_at"), since))
     return scan_posts(posts, country, scraped_at, users, queries)
 
 
-def _read_forms(spark: SparkSession, path, since, country, scraped_at, asset=""):
-    exports = read_json(spark, path, FORM_SCHEMA, multi_line=True)
+def _read_forms(spark: SparkSession, path, since, country, scraped_at, asset="", check=None):
+    exports = _landed(spark, path, FORM_SCHEMA, check, multi_line=True)
     return scan_forms(exports, country, asset, scraped_at).where(_from_day(F.col("datetime_"), since))
 
 
@@ -231,7 +297,10 @@ def read_messages(
     until: datetime | str | None = None,
     **options,
 ) -> DataFrame:
-    """Messages of a landed source by its name; ``until``, when given, is exclusive."""
+    """Messages of a landed source by its name; ``until``, when given, is exclusive.
+
+    With a ``check=InputCheck(share)`` malformed records are counted as they are read.
+    """
     if source not in READERS:
         raise ValueError(f"source {source} is not supported, use one of {', '.join(READERS)}")
     messages = READERS[source](spark, path, since, country.upper(), scraped_at, **options)

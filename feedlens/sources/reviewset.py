@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def write_review_set(records: DataFrame, path: str, replace: bool = True) -> None:
@@ -33,6 +34,6 @@ def read_review_set(spark: SparkSession, path: str, dataset: str, workspace: str
     return stored.where((F.col("workspace") == workspace.lower()) & (F.col("dataset") == dataset))
 
 
-def decode_metadata(records: DataFrame, schema: str) -> DataFrame:
+def decode_metadata(records: DataFrame, schema: str | StructType) -> DataFrame:
     """Metadata that arrives as JSON text becomes a struct."""
     return records.withColumn("metadata", F.from_json("metadata", schema))
