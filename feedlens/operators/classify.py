@@ -21,7 +21,7 @@ from feedlens.operators.engines import run_on_distinct_texts
 from feedlens.operators.sizing import MAX_INLINE_ROWS
 from feedlens.operators.tokens import class_votes, vote_terms, votes_for
 from feedlens.schema import CLASSIFICATION
-from feedlens.session import cut_lineage
+from feedlens.session import cut_lineage, scratch_dir
 
 NO_CLASSIFICATIONS = "array<struct<topic:string,score:double,agent:string>>"
 POSITIVE, NEGATIVE = "POSITIVE", "NEGATIVE"
@@ -124,7 +124,12 @@ def centroid_scores(vectors: DataFrame, labels: list[int], vector: str = "embedd
 
 
 def fit_topics(labelled: DataFrame, features: int = 1 << 14, text: str = "text", label: str = "label") -> PipelineModel:
-    """A bag-of-words logistic model over ``(text, label index)`` rows, which are computed once."""
+    """A bag-of-words logistic model over ``(text, label index)`` rows, which are computed once.
+
+    The model is written to the shared folder and loaded from there: a fresh one
+    carries its training summary, and with it the session, into every task, which
+    fails once anything was observed in that session.
+    """
     labelled = cut_lineage(labelled.select(text, label))
     stages = [
         RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=r"[^\p{L}\p{N}_]+"),
@@ -135,11 +140,13 @@ def fit_topics(labelled: DataFrame, features: int = 1 << 14, text: str = "text",
             predictionCol="_prediction", regParam=0.01, maxIter=20,
         ),
     ]
-    return Pipeline(stages=stages).fit(labelled)
+    path = scratch_dir(labelled.sparkSession, "model")
+    Pipeline(stages=stages).fit(labelled).write().save(path)
+    return PipelineModel.load(path)
 
 
 def classify_trained(messages: DataFrame, model: PipelineModel, labels: list[str], lang: str | None = None) -> DataFrame:
-    """One entry per class in index order, with the label of that index."""
+    """One entry per class in index order, with the label of that index. The model comes from ``fit_topics`` or from files."""
     text = text_to_classify(lang)
     tokenizer = model.stages[0].getInputCol()
     original = messages.columns

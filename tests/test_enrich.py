@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pandas as pd
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from feedlens.functions import nested
@@ -67,6 +68,7 @@ def test_labels_keep_their_order_and_count_terms_once(make, spark):
 def test_trained_model_scores_every_class(make, spark):
     rows = [("water well", 0.0), ("water pump", 0.0), ("roof tent", 1.0), ("tent camp", 1.0)] * 3
     model = classify.fit_topics(spark.createDataFrame(rows, "text string, label double"))
+    spark.range(3).observe(Observation("any"), F.count(F.lit(1)).alias("n")).collect()  # as the store does
     got = classify.classify_trained(make({"text": "the water"}, {"text": None}), model, ["water", "shelter"]).orderBy("id_").collect()
     first = got[0].classifications
     assert [c.topic for c in first] == ["water", "shelter"] and first[0].score > 0.5
