@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from feedlens.functions.geometry import bounding_box, in_box, in_rings, rings_centroid
 from feedlens.functions.nested import add_locations
 from feedlens.functions.text import fold
+from feedlens.operators.cells import INSIDE, OUTSIDE, cell_of, code_at, region_cells, with_level
 from feedlens.operators.contains import contains_join
 from feedlens.operators.dedupe import first_per_key
 from feedlens.operators.joins import TEXT_KEY, with_text_key
@@ -17,7 +18,6 @@ from feedlens.operators.tokens import MESSAGE_KEY
 MAX_INLINE_NAMES = 200
 MAX_INLINE_REGIONS = 50
 MAX_INLINE_POINTS = 2_000
-FINEST_LEVEL = -7  # cells of 1/128 degree for the smallest regions
 
 HIT = "field_ix:int,loc_id:bigint,name:string,lon:double,lat:double"
 HITS = f"array<struct<{HIT}>>"
@@ -126,6 +126,22 @@ def _region_hits(shapes: list[dict], lon: Column, lat: Column) -> Column:
     return F.flatten(F.transform(inside, locations))
 
 
+def region_candidates(points: DataFrame, shapes: DataFrame, key: list[str]) -> DataFrame:
+    """``(key…, lon, lat, _shape, _sure)``: points and the regions they may be in, or surely are in.
+
+    Each point is listed once for every grid in use and meets the cells of regions
+    there: an equi-join on small rows.
+    """
+    cells = region_cells(shapes).distinct()
+    levels = [row["_level"] for row in shapes.select("_level").distinct().collect()]  # a score at most: powers of two
+    placed = points.withColumn("_level", F.explode(F.array(*map(F.lit, levels)) if levels else F.array().cast("array<int>")))
+    lon, lat = F.col("lon"), F.col("lat")
+    placed = placed.withColumn("_cx", cell_of(lon)).withColumn("_cy", cell_of(lat))
+    met = placed.join(cells, ["_level", "_cx", "_cy"]).where(in_box(lon, lat, F.col("box")))
+    known = met.withColumn("_code", code_at(lon, lat)).where(F.col("_code") != OUTSIDE)
+    return known.select(*key, "lon", "lat", "_shape", (F.col("_code") == INSIDE).alias("_sure"))
+
+
 def match_regions(
     messages: DataFrame,
     regions: DataFrame,
@@ -137,11 +153,10 @@ def match_regions(
 
     ``regions`` has ``loc_id`` (or ``region_id``), the name ``fields`` (default
     ``name``) and ``rings`` (or one ``ring``), as ``read_features`` gives them. A
-    few short regions are tested in place. Otherwise each region is listed under
-    the at most four cells of a grid as coarse as its bounding box, and each point
-    under its cell of every grid in use: an equi-join on small rows. Candidates
-    whose box holds the point fetch the rings, once per region, and are verified
-    by ray casting. Pairs cannot repeat, so nothing is de-duplicated.
+    few short regions are tested in place. Otherwise points meet the cells of
+    regions (``cells``), which tell for most of them whether they are inside; the
+    others, near a border, are verified by ray casting. Pairs cannot repeat, so
+    nothing is de-duplicated.
     """
     key = list(key or MESSAGE_KEY)
     shapes = _shapes(regions, fields or ["name"])
@@ -152,26 +167,12 @@ def match_regions(
     if few is not None:
         return points.select(*key, F.inline(_region_hits(few, F.col("lon"), F.col("lat"))))
 
-    def cell_of(value: Column) -> Column:
-        return F.floor(value / F.pow(F.lit(2.0), F.col("_level"))).cast("int")
-
-    extent = F.greatest(F.col("box.x1") - F.col("box.x0"), F.col("box.y1") - F.col("box.y0"))
-    level = F.greatest(F.coalesce(F.ceil(F.log2(F.when(extent > 0, extent))), F.lit(FINEST_LEVEL)), F.lit(FINEST_LEVEL))
-    shapes = shapes.withColumn("_shape", F.xxhash64("loc_id", "rings")).withColumn("_level", level.cast("int"))
-    covered = (
-        shapes.select("_shape", "box", "_level")
-        .withColumn("_cx", F.explode(F.sequence(cell_of(F.col("box.x0")), cell_of(F.col("box.x1")))))
-        .withColumn("_cy", F.explode(F.sequence(cell_of(F.col("box.y0")), cell_of(F.col("box.y1")))))
-        .distinct()
-    )
-    levels = [row["_level"] for row in shapes.select("_level").distinct().collect()]  # a score at most: powers of two
-    placed = points.withColumn("_level", F.explode(F.array(*map(F.lit, levels)) if levels else F.array().cast("array<int>")))
-    placed = placed.withColumn("_cx", cell_of(F.col("lon"))).withColumn("_cy", cell_of(F.col("lat")))
+    shapes = with_level(shapes.withColumn("_shape", F.xxhash64("loc_id", "rings")))
+    candidates = region_candidates(points, shapes, key)
     lon, lat = F.col("lon"), F.col("lat")
-    candidates = placed.join(covered, ["_level", "_cx", "_cy"]).where(in_box(lon, lat, F.col("box")))
-    inside = candidates.select(*key, "lon", "lat", "_shape").join(
-        shapes.select("_shape", "loc_id", "names", "rings"), "_shape"
-    ).where(in_rings(lon, lat, F.col("rings")))
+    inside = candidates.join(shapes.select("_shape", "loc_id", "names", "rings"), "_shape").where(
+        F.col("_sure") | in_rings(lon, lat, F.col("rings"))
+    )
     named = inside.select(*key, F.explode("names").alias("n"), "loc_id", "lon", "lat")
     return named.select(*key, "n.field_ix", "loc_id", "n.name", "lon", "lat")
 
