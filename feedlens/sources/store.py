@@ -421,19 +421,3 @@ class MessageStore:
                 self._rewrite(base, crowded)
         except RuntimeError as error:
             log.info("left as it is: %s", error)
-
-
-def append_jdbc(messages: DataFrame, url: str, table: str, **options: str) -> None:
-    """Append to a SQL table; nested parts as JSON text."""
-    from feedlens.functions.codec import encode_rows
-
-    encode_rows(messages).write.format("jdbc").options(url=url, dbtable=table, **options).mode("append").save()
-
-
-def read_jdbc(spark: SparkSession, url: str, table: str, start, end, country: str, source: str, **options: str) -> DataFrame:
-    """Rows of a SQL table; the four filters are pushed to the database, the identity column is not read."""
-    from feedlens.functions.codec import decode_nested
-    from feedlens.schema import to_messages
-
-    rows = spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
-    return to_messages(decode_nested(required_range(rows, start, end, country, source).drop("ID")))
