@@ -13,7 +13,7 @@ from feedlens.functions.text import dataset_name
 from feedlens.operators.filters import min_length, non_empty
 from feedlens.operators.review import review_export
 from feedlens.operators.totals import StageTotals
-from feedlens.session import cut_lineage
+from feedlens.session import cut_lineage, job_scratch
 from feedlens.sources.raw import InputCheck, read_messages
 from feedlens.sources.reviewset import write_review_set
 from feedlens.sources.store import MessageStore
@@ -107,20 +107,20 @@ def run_listening(
         "SELECT CAST(date_sub(DATE(:d), :n) AS STRING), CAST(DATE(:d) AS STRING)", {"d": as_of, "n": days}
     ).first()
     totals, check = StageTotals(), InputCheck(max_malformed)
-    messages = read_messages(spark, source, path, first, country, scraped_at, check=check, **source_options)
-    extracted = totals.watch(messages, "extract")
-    kept = totals.watch(min_length(non_empty(extracted), minimum), "filter")
-    # the upsert looks at its batch twice; engines must not run twice for that
-    ready = cut_lineage(totals.watch(enrich(kept, **(stages or {}), totals=totals), "processed"))
-    landed = check.refuse()
-    counts = totals.counts()
-    log.info("%s of %s landed records malformed; rows by stage: %s", landed["malformed"], landed["records"], counts)
-    store.upsert(ready)
-
     name = f"{country}-{first}-{last}"
-    stamped = F.col("datetime_scraped_") == F.lit(scraped_at).cast("timestamp_ntz")
-    saved = store.read(start=first, country=country).where(stamped)
-    write_review_set(review_export(saved, keywords, name, country), review_path)
+    with job_scratch(spark):
+        messages = read_messages(spark, source, path, first, country, scraped_at, check=check, **source_options)
+        extracted = totals.watch(messages, "extract")
+        kept = totals.watch(min_length(non_empty(extracted), minimum), "filter")
+        # the upsert looks at its batch twice; engines must not run twice for that
+        ready = cut_lineage(totals.watch(enrich(kept, **(stages or {}), totals=totals), "processed"))
+        landed = check.refuse()
+        counts = totals.counts()
+        log.info("%s of %s landed records malformed; rows by stage: %s", landed["malformed"], landed["records"], counts)
+        store.upsert(ready)
+        stamped = F.col("datetime_scraped_") == F.lit(scraped_at).cast("timestamp_ntz")
+        saved = store.read(start=first, country=country).where(stamped)
+        write_review_set(review_export(saved, keywords, name, country), review_path)
     return {
         "country": country,
         "dataset": name,

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
+log = logging.getLogger(__name__)
+
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -31,6 +38,9 @@ RUNTIME_CONF = [k for k in SESSION_CONF if k.startswith(("spark.sql.adaptive.",
 #: of a table, as Spark estimates it, that each core may get in an exchange made only to use all cores
 SPREAD_BYTES = 32 << 20
 
+# the folder of the job that this thread is running, if it has one
+_job_dir: ContextVar[str | None] = ContextVar("job_dir", default=None)
+
 # application id -> folder of a local session that names none
 _local_dirs: dict[str, str] = {}
 
@@ -70,8 +80,28 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder, or below that of the running job."""
+    return f"{_job_dir.get() or shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job_scratch(spark: SparkSession) -> Iterator[None]:
+    """For a job that ends with everything saved: its intermediate tables are removed when it ends or fails.
+
+    No frame made inside may be used afterwards, unless it reads saved data alone.
+    Only the folder that is made here is removed.
+    """
+    folder = scratch_dir(spark, "job")
+    outer = _job_dir.set(folder)
+    try:
+        yield
+    finally:
+        _job_dir.reset(outer)
+        try:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        except Py4JError as error:  # what remains is waste, not a fault of the job
+            log.warning("%s is left: %s", folder, error)
 
 
 def lookup_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

@@ -40,7 +40,7 @@ from feedlens.operators.dedupe import batch_bounds, insert_counts, last_version,
 from feedlens.operators.filters import optional_range, require_not_null, required_range
 from feedlens.operators.sizing import rows_if_small
 from feedlens.schema import MESSAGE_COLUMNS, MESSAGE_SCHEMA
-from feedlens.session import cut_lineage
+from feedlens.session import cut_lineage, job_scratch
 from feedlens.sources.commitlog import CommitLog
 
 log = logging.getLogger(__name__)
@@ -370,6 +370,13 @@ class MessageStore:
         stream = None if batch is None else f"stream/{batch[0]}"
         if stream is not None and state.get(stream, -1) >= batch[1]:
             return
+        with job_scratch(self.spark):
+            self._merge(incoming, version, stream, batch, base, state)
+        self._tidy()
+
+    def _merge(
+        self, incoming: DataFrame, version: list[Column], stream: str | None, batch: tuple[str, int] | None, base: int, state: dict
+    ) -> None:
         incoming = cut_lineage(_with_day(require_not_null(incoming, ["country", "id_"])))
         offered = incoming.groupBy("country", "day").count()
         stored_days = self._days_of(incoming.select("country", "id_"), _runs_of(state)).distinct()
@@ -388,7 +395,6 @@ class MessageStore:
         if stream is not None:
             put[stream] = batch[1]
         self._commit(base, put, [p.key for p in old])
-        self._tidy()
 
     def _rewrite(self, base: int, parts: list[Part]) -> None:
         rows, seen = self._rows_checked(parts)
