@@ -256,7 +256,8 @@ def channel_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dedupe_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = tt.documents(spark, sf_dir).unionByName(tt.pages(spark, sf_dir)).unionByName(tt.conversations(spark, sf_dir))
+    whole = tt.pages(spark, sf_dir, heavy=True)
+    both = tt.documents(spark, sf_dir).unionByName(whole).unionByName(tt.conversations(spark, sf_dir))
     kept = dedupe.first_per_key(both, order=[F.col("datetime_"), F.col("source")])
     return kept.select("id_", "source", "datetime_", "text")
 

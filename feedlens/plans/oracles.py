@@ -259,7 +259,7 @@ _oracle(
     """SELECT id_, source, datetime_, text FROM (
          SELECT * FROM both_ UNION ALL SELECT id_, num, datetime_, country, source, channel, text FROM conv)
        QUALIFY row_number() OVER (PARTITION BY id_ ORDER BY datetime_, source) = 1""",
-    DOCS, PAGES, CONV, _BOTH,
+    DOCS, PAGE_BODIES, CONV, _BOTH,
 )
 _oracle(
     "dedupe_by_text",
