@@ -180,8 +180,9 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def csv_in_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One CSV file of all documents, with their line breaks, read in byte ranges."""
-    rows = tt.translated_documents(spark, sf_dir).drop("lang").coalesce(1)
+    """CSV files of all documents, one up to ``LANDED_BYTES``, with their line breaks, read in byte ranges."""
+    n = tt.landed_files(spark, sf_dir, "documents")
+    rows = tt.translated_documents(spark, sf_dir).drop("lang").coalesce(n)
     back = files.read_csv(spark, files.write_csv(rows, scratch_dir(spark, "csv")), in_ranges=True)
     return back.select(
         "id_", "datetime_", "country", _channel(), "text", "reply",

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from feedlens.functions.nested import translation
 from feedlens.schema import info_struct, to_messages
-from feedlens.session import lookup_table, spread
+from feedlens.session import estimated_bytes, lookup_table, spread
 
 EPOCH = "2024-01-01 00:00:00"
 SCRAPED_AT = "2024-02-01 12:00:00"
+#: of a table, in each file that it is landed as
+LANDED_BYTES = 128 << 20
 
 # Fixed values of the fixtures.
 COUNTRY_OF_LANG = {"en": "GBR", "de": "DEU", "fr": "FRA", "es": "ESP"}
@@ -55,6 +57,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def landed_files(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """As how many files a table is landed, so that no task writes more of it than about ``LANDED_BYTES``."""
+    return max(1, -(-estimated_bytes(table(spark, sf_dir, name)) // LANDED_BYTES))
+
+
 def texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
     """A table whose rows cost much work each: dealt out when the scan is too narrow."""
     return spread(table(spark, sf_dir, name), key)

@@ -115,6 +115,11 @@ def lookup_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFra
     return spark.createDataFrame(pa.Table.from_arrays(columns, names=kind.fieldNames()), kind)
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of a frame by Spark's estimate; of a table read from files, their size."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal out the rows of a scan that cannot use the cluster.
 
@@ -128,8 +133,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     cores = spark.sparkContext.defaultParallelism
     if df.isStreaming or df.rdd.getNumPartitions() >= 2 * cores:
         return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores, *keys) if size <= cores * SPREAD_BYTES else df
+    return df.repartition(cores, *keys) if estimated_bytes(df) <= cores * SPREAD_BYTES else df
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
