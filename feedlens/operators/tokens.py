@@ -26,9 +26,9 @@ def class_votes(
     """Add ``column``: for each label of ``table(label, word)`` found, its number of hits.
 
     ``distinct`` counts each word once. A short table is folded into an expression:
-    nothing is shuffled. A long one is joined to the distinct words of each text;
-    what comes back is a text's hits only, and the votes are counted in the
-    message's own row, so both ways give the same votes.
+    nothing is shuffled. A long one is joined to the words of each text, and hits
+    are summed up by text and label before anything is exchanged; a text's copies
+    share what was counted in all of them, so both ways give the same votes.
     """
     pairs = vote_terms(table, label)
     rows = rows_if_small(pairs, max_inline)
@@ -59,22 +59,28 @@ def class_votes(
 
     keyed = with_text_key(with_words, text)
     single, several = (pairs.where(F.contains(F.col("word"), F.lit(" ")) == c) for c in (False, True))
-    hits = keyed.select(*TEXT_KEY, F.explode(F.array_distinct("_words")).alias("word")).join(single, "word")
+    # each message adds an empty word, which no term is: so the copies of its text are counted along
+    mark = messages.sparkSession.range(1).select(
+        F.lit(None).cast(pairs.schema["label"].dataType).alias("label"), F.lit("").alias("word"))
+    listed = F.array_distinct("_words") if distinct else F.col("_words")
+    every = keyed.select(*TEXT_KEY, F.explode(F.array_append(listed, F.lit(""))).alias("word"))
+    hits = every.join(single.unionByName(mark), "word").select(
+        *TEXT_KEY, "label", (F.col("word") == "").alias("_mark"), F.lit(1).cast("bigint").alias("n"))
     spaced = keyed.select(*TEXT_KEY, F.concat(F.lit(" "), F.array_join("_words", " "), F.lit(" ")).alias("_spaced"))
     phrases = several.withColumn("_phrase", F.concat(F.lit(" "), F.col("word"), F.lit(" ")))
     met = contains_join(spaced, "_spaced", phrases, "_phrase")
-    hits = hits.select(*TEXT_KEY, "label", "word").unionByName(met.select(*TEXT_KEY, "label", "word"))
-    gathered = hits.groupBy(*TEXT_KEY).agg(F.collect_set(F.struct("label", "word")).alias("_hits"))
-    joined = keyed.join(gathered, TEXT_KEY, "left")
-    labels = F.array_sort(F.array_distinct(F.transform("_hits", lambda h: h["label"])))
-
-    def vote(name: Column) -> Column:
-        own = F.filter("_hits", lambda h: h["label"] == name)
-        n = F.size(own) if distinct else F.aggregate(own, F.lit(0), lambda total, h: total + _uses(h["word"]))
-        return F.struct(name.alias("label"), n.cast("bigint").alias("n"))
-
-    votes = F.coalesce(F.transform(labels, vote).cast(VOTES), F.array().cast(VOTES))
-    return joined.withColumn(column, votes).drop("_hits", "_words", *TEXT_KEY)
+    met = met.withColumn("_words", F.array_remove(F.split("_spaced", " "), ""))
+    uses = F.lit(1) if distinct else _uses(F.col("word"))
+    hits = hits.unionByName(met.select(*TEXT_KEY, "label", F.lit(False).alias("_mark"), uses.cast("bigint").alias("n")))
+    counted = hits.groupBy(*TEXT_KEY, "label", "_mark").agg(F.sum("n").alias("n"))
+    gathered = counted.groupBy(*TEXT_KEY).agg(
+        F.array_sort(F.collect_list(F.when(~F.col("_mark"), F.struct("label", "n")))).alias("_hits"),
+        F.sum(F.when(F.col("_mark"), F.col("n"))).alias("_copies"),
+    )
+    own = F.transform("_hits", lambda h: F.struct(h["label"], F.call_function("div", h["n"], F.col("_copies")).alias("n")))
+    votes = gathered.where(F.size("_hits") > 0).select(*TEXT_KEY, own.cast(VOTES).alias(column))
+    joined = with_text_key(messages, text).join(votes, TEXT_KEY, "left")
+    return joined.withColumn(column, F.coalesce(F.col(column), F.array().cast(VOTES))).drop(*TEXT_KEY)
 
 
 def vote_terms(table: DataFrame, label: str) -> DataFrame:

@@ -115,6 +115,26 @@ def test_class_votes_count_phrases_and_ignore_empty_terms(make, spark):
         assert got.select(tokens.votes_for(F.col("_votes"), "x")).first()[0] == 3
 
 
+def test_votes_of_a_long_table_are_counted_before_anything_is_exchanged(make, spark, capsys):
+    table = spark.createDataFrame([("x", "a b"), ("x", "ok"), ("y", "ok"), ("y", "b")], "label string, word string")
+    texts = ["a b ok ok", "a b ok ok", "OK, b a", "a b a b", None, "", "none", "none"]
+    rows = make(*({"text": t} for t in texts))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for distinct in (True, False):
+            found = []
+            for limit in (10, 0):
+                got = tokens.class_votes(rows, table, "label", F.col("text"), distinct=distinct, max_inline=limit)
+                found.append({r.id_: [tuple(v) for v in r._votes] for r in got.collect()})
+            assert found[0] == found[1] and len(found[0]) == len(texts)
+        got.explain("formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    exchanged = [part for part in capsys.readouterr().out.split("\n\n") if ") Exchange" in part]
+    assert exchanged and not any("_words" in part for part in exchanged)
+
+
 def test_word_frequency(make, spark):
     stop = spark.createDataFrame([("en", "the")], "lang string, word string")
     got = wordfreq.word_frequency(make({"text": "Food, food! The 12 tents."}), stop)
