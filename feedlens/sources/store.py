@@ -8,6 +8,10 @@ nothing that a commit names is ever overwritten. So a write that stops at any po
 leaves the store as it was, and running it again completes it; what it left behind
 is never read.
 
+A part holds one day of a country; where that would make more than about
+``MAX_PARTS`` parts of a write, it holds as many days as keeps to that number, so
+the folders, the log and the listing of a version do not grow with the days.
+
 The index tells in which days an id is stored. Each write adds a run of
 (country, id, day) rows, cut by hash into buckets of about ``BUCKET_IDS`` ids, so
 an upsert reads the buckets of its own ids, whatever the store holds (beyond
@@ -26,7 +30,7 @@ import logging
 import math
 import re
 import uuid
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
@@ -45,7 +49,11 @@ from feedlens.sources.commitlog import CommitLog
 
 log = logging.getLogger(__name__)
 
+_EPOCH = date(1970, 1, 1).toordinal()
+
 MAX_BOUNDS = 300
+MAX_PARTS = 1000  # that a write aims at; days are put together until there are no more
+SPANS = [4**i for i in range(10)]  # days to a part: 1 if that makes few parts; each divides the next
 BUCKET_IDS = 1 << 16
 MAX_BUCKETS = 4096
 MAX_NAMED_BUCKETS = 1000  # of one upsert; beyond, whole runs are read
@@ -68,6 +76,18 @@ def balanced(messages: DataFrame) -> DataFrame:
     return gathered.sortWithinPartitions("country", "day", "datetime_")
 
 
+def _first_day(span: int) -> Column:
+    """The first day of the part that a row's ``day`` falls into; spans are counted from 1970."""
+    day = F.unix_date("day")
+    first = F.date_from_unix_date(day - F.pmod(day, F.lit(span)))
+    return F.col("day") if span == 1 else F.when(first.isNotNull(), F.greatest(first, F.lit("0001-01-01").cast("date")))
+
+
+def _block(day: date, span: int) -> int:
+    """Which span of days, counted from 1970, a day falls into."""
+    return (day.toordinal() - _EPOCH) // span
+
+
 def _with_day(messages: DataFrame) -> DataFrame:
     columns = [F.col(f"`{c}`") for c in MESSAGE_COLUMNS]
     return messages.select(*columns, F.col("datetime_").cast("date").alias("day"))
@@ -82,7 +102,7 @@ def _folder_value(name: str) -> str | None:
 
 
 class Part:
-    """The rows of one country and day in one version."""
+    """The rows of one country and day, or span of days from that day on, in one version."""
 
     def __init__(self, key: str, value: list):
         self.key = key
@@ -92,12 +112,35 @@ class Part:
         self.day: date | None = date.fromisoformat(value[1]) if value[1] else None
         self.rows: int = value[2]
         self.beside: int = value[3]  # parts that its version was written with
+        self.span: int = value[4] if len(value) > 4 else 1
+
+    @property
+    def last(self) -> date:
+        """The last day that its rows can have."""
+        after = (_block(self.day, self.span) + 1) * self.span + _EPOCH
+        return date.fromordinal(min(after - 1, date.max.toordinal()))
+
+    def at(self, span: int) -> tuple:
+        """Its country, and the span of so many days that it lies in."""
+        return self.country, None if self.day is None else _block(self.day, span)
 
 
 def _parts_of(state: dict) -> list[Part]:
     return [Part(k, v) for k, v in state.items() if k.startswith("part/")]
 
 
+def _crowded(parts: list[Part]) -> list[Part]:
+    """The parts that hold days which lie in more than ``CROWDED`` versions; spans lie within each other or apart."""
+    spans = sorted({p.span for p in parts})
+    own = Counter((p.span, *p.at(p.span)) for p in parts)
+    full = set()
+    for p in {(p.span, *p.at(p.span)): p for p in parts}.values():
+        over = [(s, *p.at(s)) for s in spans if s >= p.span]
+        if sum(own[key] for key in over) > CROWDED:
+            full.update(over)
+    return [p for p in parts if (p.span, *p.at(p.span)) in full]
+
+
 def _runs_of(state: dict) -> dict[str, dict]:
     return {k.removeprefix("run/"): v for k, v in state.items() if k.startswith("run/")}
 
@@ -158,15 +201,23 @@ class MessageStore:
         listed = self.spark._jvm.org.apache.commons.lang3.ArrayUtils.toString(files.listStatus(at))
         return sorted(re.findall(r"/([^/]+=[^/]*?); isDirectory=true", listed))
 
-    def _write(self, rows: DataFrame, indexed: Callable[[str], dict] | None = None) -> dict:
-        """Writes rows with their day as a new version; the parts for the commit.
+    @staticmethod
+    def _span(rows: DataFrame, least: int = 1) -> int:
+        """How many days a part of these rows gets: as few as make about ``MAX_PARTS`` parts of them."""
+        spans = [s for s in SPANS if s >= least]
+        parts = [F.approx_count_distinct(F.xxhash64("country", _first_day(s))).alias(str(s)) for s in spans]
+        made = rows.select("country", "day").agg(*parts).first()
+        return next((s for s in spans if made[str(s)] <= MAX_PARTS), spans[-1])
+
+    def _write(self, rows: DataFrame, span: int, indexed: Callable[[str], dict] | None = None) -> dict:
+        """Writes rows with their day as a new version of parts of ``span`` days; the parts for the commit.
 
         ``indexed`` gets the version's path and brings more for the commit, while
         the rows of the parts are counted.
         """
         version = f"version={uuid.uuid4().hex}"
         path = f"{self.path}/data/{version}"
-        balanced(rows).write.partitionBy("country", "day").parquet(path)
+        balanced(rows.withColumn("day", _first_day(span))).write.partitionBy("country", "day").parquet(path)
 
         def counted() -> dict:
             made = self.spark.read.schema(STORED_SCHEMA).option("basePath", f"{self.path}/data").parquet(path)
@@ -176,13 +227,13 @@ class MessageStore:
             for country, day in found:
                 named, on = _folder_value(country), _folder_value(day)
                 n = rows_of.get((named, date.fromisoformat(on) if on else None), 0)
-                put[f"part/{version}/{country}/{day}"] = [named, on, n, len(found)]
+                put[f"part/{version}/{country}/{day}"] = [named, on, n, len(found), span]
             return put
 
         return counted() if indexed is None else _side_by_side(counted, lambda: indexed(path))
 
     def _live(self, parts: list[Part]) -> DataFrame:
-        """All rows of the parts, with version and day; a version that is whole is opened by its own folder."""
+        """All rows of the parts, with version and first day of the part; a version that is whole is opened by its own folder."""
         if not parts:
             return self.spark.createDataFrame([], STORED_SCHEMA)
         by_version = defaultdict(list)
@@ -253,7 +304,7 @@ class MessageStore:
         parts = [p for p in _parts_of(state) if country is None or p.country == country]
         timed = [
             p for p in parts
-            if (first is None or (p.day is not None and p.day.isoformat() >= first))
+            if (first is None or (p.day is not None and p.last.isoformat() >= first))
             and (last is None or (p.day is not None and p.day.isoformat() <= last))
         ]
         return timed or parts[:1]  # where no day fits, the filters find that in one part
@@ -291,10 +342,12 @@ class MessageStore:
         def indexed(path: str) -> dict:
             added = self.spark.read.schema(STORED_SCHEMA).option("basePath", f"{self.path}/data").parquet(path)
             entries = added.where(F.col("id_").isNotNull()).select(
-                "country", "id_", "day", F.lit(base + 1).cast("long").alias("seq"), F.lit(False).alias("sole"))
+                "country", "id_", F.col("datetime_").cast("date").alias("day"),
+                F.lit(base + 1).cast("long").alias("seq"), F.lit(False).alias("sole"))
             return self._write_run(entries, _counted(seen), base + 1)
 
-        put = self._write(_with_day(messages).observe(seen, F.count(F.lit(1)).alias("rows")), indexed)
+        rows = _with_day(messages)
+        put = self._write(rows.observe(seen, F.count(F.lit(1)).alias("rows")), self._span(rows), indexed)
         if not any(key.startswith("part/") for key in put):
             return
         for tried in range(APPEND_TRIES):
@@ -349,7 +402,8 @@ class MessageStore:
     def _rows_checked(self, parts: list[Part]) -> tuple[DataFrame, Observation]:
         """The rows of parts that are about to be replaced, counted as they are read."""
         seen = Observation(f"read-{uuid.uuid4().hex}")
-        return self._live(parts).observe(seen, F.count(F.lit(1)).alias("rows")), seen
+        found = self._live(parts).observe(seen, F.count(F.lit(1)).alias("rows"))
+        return found.withColumn("day", F.col("datetime_").cast("date")).drop("version"), seen
 
     @staticmethod
     def _refuse_lost_rows(parts: list[Part], seen: Observation) -> None:
@@ -381,14 +435,18 @@ class MessageStore:
         offered = incoming.groupBy("country", "day").count()
         stored_days = self._days_of(incoming.select("country", "id_"), _runs_of(state)).distinct()
         days = offered.unionByName(stored_days.withColumn("count", F.lit(0).cast("long"))).collect()
-        touched = {(r["country"], r["day"]) for r in days}  # parts, not messages
-        old = [p for p in _parts_of(state) if (p.country, p.day) in touched]
+        parts = _parts_of(state)
+        touched = {  # parts, not messages
+            (s, r["country"], None if r["day"] is None else _block(r["day"], s)) for r in days for s in {p.span for p in parts}
+        }
+        old = [p for p in parts if (p.span, *p.at(p.span)) in touched]
         stored, seen = self._rows_checked(old)
-        stored = stored.drop("version")
         with_id = last_version(stored.where(F.col("id_").isNotNull()), incoming, ["country", "id_"], version)
         entries = incoming.select("country", "id_", "day", F.lit(base + 1).cast("long").alias("seq"), F.lit(True).alias("sole"))
+        # whoever replaces parts of many days makes no smaller ones of them, or their number would grow again
+        span = self._span(incoming, max((p.span for p in old), default=1))
         put = _side_by_side(
-            lambda: self._write(with_id.unionByName(stored.where(F.col("id_").isNull()))),
+            lambda: self._write(with_id.unionByName(stored.where(F.col("id_").isNull())), span),
             lambda: self._write_run(entries, sum(r["count"] for r in days), base + 1) if days else {},
         )
         self._refuse_lost_rows(old, seen)
@@ -396,9 +454,9 @@ class MessageStore:
             put[stream] = batch[1]
         self._commit(base, put, [p.key for p in old])
 
-    def _rewrite(self, base: int, parts: list[Part]) -> None:
+    def _rewrite(self, base: int, parts: list[Part], least: int = 1) -> None:
         rows, seen = self._rows_checked(parts)
-        put = self._write(rows.drop("version"))
+        put = self._write(rows, self._span(self._live(parts).withColumn("day", F.col("datetime_").cast("date")), least))
         self._refuse_lost_rows(parts, seen)
         self._commit(base, put, [p.key for p in parts])
 
@@ -419,11 +477,8 @@ class MessageStore:
                     entries = self._standing(self._index(runs).drop("run", "bucket"))
                     made = self._write_run(entries, sum(a["rows"] for a in runs.values()), max(a["seq"] for a in runs.values()))
                     base = self._commit(base, made, [f"run/{run}" for run in runs])
-            by_day = defaultdict(list)
-            for p in _parts_of(state):
-                by_day[p.country, p.day].append(p)
-            crowded = [p for parts in by_day.values() if len(parts) > CROWDED for p in parts]
+            crowded = _crowded(_parts_of(state))
             if crowded:
-                self._rewrite(base, crowded)
+                self._rewrite(base, crowded, max(p.span for p in crowded))
         except RuntimeError as error:
             log.info("left as it is: %s", error)
