@@ -771,7 +771,8 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw JSON landed in several files, ingested in micro-batches of two files."""
     landed, out = scratch_dir(spark, "landed"), scratch_dir(spark, "ingested")
-    tt.raw_documents(spark, sf_dir).repartition(4, "id").write.json(landed)
+    n = max(4, tt.landed_files(spark, sf_dir, "documents"))
+    tt.raw_documents(spark, sf_dir).repartition(n, "id").write.json(landed)
     rows = streams.stream_files(spark, landed, raw.CHANNEL_SCHEMA, max_files=2)
     messages = filters.non_empty(raw.normalize_channel_rows(rows, "GBR", tt.SCRAPED_AT))
     streams.write_stream(messages, out, f"{out}-progress").awaitTermination()

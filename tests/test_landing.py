@@ -33,3 +33,10 @@ def test_csv_in_ranges_is_landed_by_more_than_one_task(spark, landed_in):
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert len(glob.glob(f"{landed_in}/csv/messages.csv/*.csv")) in (6, 7)
     assert sorted((int(r.id_), r.text) for r in got) == [(i, f'a "text"\nof {i}') for i in range(240)]
+
+
+def test_stream_ingest_lands_files_of_bounded_size(spark, landed_in):
+    got = catalog.QUERIES["stream_ingest"](spark, str(landed_in)).collect()
+    assert len(glob.glob(f"{landed_in}/landed/*.json")) in (6, 7)
+    assert len(glob.glob(f"{landed_in}/ingested-progress/commits/[0-9]*")) >= 3  # two files a batch
+    assert sorted((int(r.id_), r.text) for r in got) == [(i, f'a "text"\nof {i}') for i in range(240)]
