@@ -77,6 +77,16 @@ def map_batches(df: DataFrame, function: Callable[..., pa.RecordBatch], schema:
     return df.mapInArrow(run, schema)
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """A side of a join of two tables that grow with the input: both are sorted and merged, none goes through the driver.
+
+    Spark takes a written table for as large as its files, and what Python makes of a
+    table for no larger than that table, however many rows come of one. Either may be
+    under its limit for a broadcast and be many times as large in the driver's memory.
+    """
+    return df.hint("merge")
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it in any case."""
     taken = {c.lower() for c in df.columns}

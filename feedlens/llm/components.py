@@ -5,8 +5,8 @@ of the larger neighbours, then from the side of the smaller ones, until only
 stars are left (Kiveris et al., "Connected Components in MapReduce and Beyond").
 Each task first replaces its links by a spanning forest. Every round is written
 to the shared folder; minima come from partial aggregation and are joined back
-from a written table, so that a node with very many links is split by the
-adaptive skew join.
+from a written table by sorted merge, so that a node with very many links is
+split by the adaptive skew join and no table goes through the driver.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedlens.llm.common import merged
 from feedlens.session import cut_lineage
 
 
@@ -51,7 +52,7 @@ def _local_forest(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _hung(links: DataFrame, hub: str, minima: DataFrame) -> DataFrame:
-    return links.join(minima, hub)
+    return links.join(merged(minima), hub)
 
 
 def _large_star(links: DataFrame) -> DataFrame:

@@ -12,7 +12,9 @@ verified. No pair is missed.
 
 Fingerprints are made distinct first, so copies never meet each other. Keys
 are held by distinct fingerprints only; what a key's fingerprints link to leaves
-the task as a spanning forest, not as all pairs.
+the task as a spanning forest, not as all pairs. Joins are sorted merges
+(``merged``): a fingerprint has some fifty keys, which Spark would size as the
+fingerprint alone, and no table made here is bounded.
 
 Rows, one by one: a null or wordless text has fingerprint zero and links like any
 other; a text of one or two words is one shingle; equal rows share a fingerprint
@@ -31,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import batches, map_batches, unused, utf8, with_fields
+from feedlens.llm.common import batches, map_batches, merged, unused, utf8, with_fields
 from feedlens.llm.components import components
 from feedlens.session import cut_lineage
 
@@ -161,7 +163,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         raise ValueError(f"the keys are complete up to {MAX_BITS} bits")
     near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
     own, others = _keyed(distinct, own_keys, "a"), _keyed(distinct, near_keys, "b")
-    return own.join(others, (own["key"] == others["key"]) & near).select("a", "b")
+    return own.join(merged(others), (own["key"] == others["key"]) & near).select("a", "b")
 
 
 def _labels(marked: DataFrame, max_bits: int) -> DataFrame:
@@ -170,12 +172,13 @@ def _labels(marked: DataFrame, max_bits: int) -> DataFrame:
     found = components(links(distinct, max_bits))
     roots = found.select(F.col("component").alias("node"), "component").distinct()
     members = cut_lineage(
-        found.unionByName(roots).join(distinct, F.col("node") == F.col("fp")).select("fp", "component", "first")
+        found.unionByName(roots).join(merged(distinct), F.col("node") == F.col("fp")).select("fp", "component", "first")
     )
     least = cut_lineage(members.groupBy("component").agg(F.min("first").alias("component_id")))
-    linked = cut_lineage(members.join(least, "component").select("fp", "component_id"))
+    linked = cut_lineage(members.join(merged(least), "component").select("fp", "component_id"))
     return cut_lineage(
-        distinct.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
+        distinct.join(merged(linked), "fp", "left")
+        .select("fp", F.coalesce("component_id", "first").alias("component_id"))
     )
 
 
@@ -184,7 +187,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_i
     """One row per document: ``doc_id, fingerprint, component_id`` (smallest id of its group)."""
     marked = fingerprints(docs, text, id_column, shingle)
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
-    return marked.join(_labels(marked, max_bits), "fp").select("doc_id", hexed, "component_id")
+    return marked.join(merged(_labels(marked, max_bits)), "fp").select("doc_id", hexed, "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_id", shingle: int = SHINGLE,

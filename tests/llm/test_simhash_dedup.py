@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 import xxhash
 
+from feedlens.llm import components as cc
 from feedlens.llm import simhash_dedup as sd
 from feedlens.llm.components import components, forest
 
@@ -107,6 +109,40 @@ def test_components_of_random_links(spark):
     assert dict(zip(node.tolist(), root.tolist())) == got
 
 
+@pytest.fixture
+def plans(monkeypatch):
+    """The plans of the tables written by an operator, as Spark first makes them."""
+    made = []
+
+    def kept(df, write=sd.cut_lineage):
+        made.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df)
+
+    monkeypatch.setattr(sd, "cut_lineage", kept)
+    monkeypatch.setattr(cc, "cut_lineage", kept)
+    return made
+
+
+def test_links_are_not_broadcast(spark, tmp_path):
+    # a written table counts as large as its files, its fifty keys a row do not count at all
+    spark.range(1000).selectExpr("xxhash64(id) fp").write.parquet(str(tmp_path / "fps"))
+    plan = sd.links(spark.read.parquet(str(tmp_path / "fps")))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("operator, joins", [(sd.near_duplicates, 5)])
+def test_nothing_that_grows_is_broadcast(edge_docs, plans, operator, joins):
+    sd.cut_lineage(operator(edge_docs))
+    assert sum(plan.count("SortMergeJoin") for plan in plans) >= joins
+    assert not any("Broadcast" in plan for plan in plans)
+
+
+def test_minima_are_not_broadcast(spark, plans):
+    components(spark.createDataFrame([[i, i + 1] for i in range(100)], "x long, y long").repartition(5))
+    assert sum(plan.count("SortMergeJoin") for plan in plans) >= 2
+    assert not any("Broadcast" in plan for plan in plans)
+
+
 def test_empty(spark, no_docs):
     assert sd.near_duplicates(no_docs).collect() == []
     assert sd.drop_near_duplicates(no_docs).collect() == []
