@@ -12,7 +12,7 @@ verified. No pair is missed.
 
 Fingerprints are made distinct first, so copies never meet each other. Keys
 are held by distinct fingerprints only; what a key's fingerprints link to leaves
-the task as a spanning forest, not as all pairs. Joins are sorted merges
+the task as a spanning forest, not as all pairs. Every join is a sorted merge
 (``merged``): a fingerprint has some fifty keys, which Spark would size as the
 fingerprint alone, and no table made here is bounded.
 
@@ -199,7 +199,8 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "
     marked = fingerprints(docs, text, id_column, shingle)
     fp, place, keep = unused(docs, "fp"), unused(docs, "place"), unused(docs, "keep_id")
     keepers = (
-        marked.join(_labels(marked, max_bits), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        marked.join(merged(_labels(marked, max_bits)), "fp")
+        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("component_id").agg(F.min("fp").alias(fp)).withColumnRenamed("component_id", keep)
     )
     keepers = cut_lineage(keepers)
@@ -211,6 +212,6 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "
 
     tagged = map_batches(docs, mark, with_fields(docs.schema, (fp, "long")))
     same = tagged[fp].eqNullSafe(keepers[fp]) & tagged[id_column].eqNullSafe(keepers[keep])
-    kept = tagged.join(keepers, same, "left_semi")
+    kept = tagged.join(merged(keepers), same, "left_semi")
     best = Window.partitionBy(fp, id_column).orderBy(text)
     return kept.withColumn(place, F.row_number().over(best)).where(F.col(place) == 1).select(docs.columns)

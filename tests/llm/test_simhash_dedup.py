@@ -130,7 +130,7 @@ def test_links_are_not_broadcast(spark, tmp_path):
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
-@pytest.mark.parametrize("operator, joins", [(sd.near_duplicates, 5)])
+@pytest.mark.parametrize("operator, joins", [(sd.near_duplicates, 5), (sd.drop_near_duplicates, 6)])
 def test_nothing_that_grows_is_broadcast(edge_docs, plans, operator, joins):
     sd.cut_lineage(operator(edge_docs))
     assert sum(plan.count("SortMergeJoin") for plan in plans) >= joins
